@@ -27,36 +27,43 @@ def top_k(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
 
 
 def prefix_totals(keyed: DataFrame, key: str, value_cols: list[str],
-                  ranges: int | None = None) -> DataFrame:
-    """For each distinct ``key`` (ascending, nulls first) add ``<v>_before``, the
-    sum of ``v`` over all smaller keys, and ``<v>_total``, the sum over all keys.
+                  group_cols: list[str] | None = None, ranges: int | None = None) -> DataFrame:
+    """For each distinct ``key`` (ascending, nulls first), within each group if
+    ``group_cols`` are given, add ``<v>_before``, the sum of ``v`` over all
+    smaller keys, and ``<v>_total``, the sum over all keys.
 
-    ``keyed`` must hold one row per key. Steps: range-partition the keys (Spark
-    samples the bounds, so ranges are balanced over distinct keys), total each
-    range (one row per range), running offsets over those few rows, then a
-    running sum inside each range plus its offset.
+    ``keyed`` must hold one row per (group, key). Steps: range-partition on
+    (group, key) (Spark samples the bounds, so ranges are balanced over
+    distinct keys and a big group spans many ranges), total each (group, range)
+    pair, running offsets over those few rows, then a running sum inside each
+    range plus its offset.
     """
+    g = list(group_cols or [])
     n = ranges or shuffle_partitions(keyed.sparkSession)
-    ranged = keyed.repartitionByRange(n, F.col(key).asc_nulls_first()) \
-        .withColumn("_range", F.spark_partition_id())
-    per_range = ranged.groupBy("_range").agg(*[F.sum(v).alias(f"_r_{v}") for v in value_cols])
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding,
-                                                      Window.unboundedFollowing)
+    order = [F.col(c).asc_nulls_first() for c in g + [key]]
+    ranged = keyed.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
+    per_range = ranged.groupBy(*g, "_range").agg(*[F.sum(v).alias(f"_r_{v}") for v in value_cols])
+    by_group = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    before = by_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = by_group.orderBy("_range").rowsBetween(Window.unboundedPreceding,
+                                                        Window.unboundedFollowing)
     offsets = per_range.select(
-        "_range",
+        *g, "_range",
         *[F.coalesce(F.sum(f"_r_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in value_cols],
         *[F.sum(f"_r_{v}").over(everything).alias(f"{v}_total") for v in value_cols])
-    inside = Window.partitionBy("_range").orderBy(F.col(key).asc_nulls_first()) \
+    inside = Window.partitionBy(*g, "_range").orderBy(F.col(key).asc_nulls_first()) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    # offsets has one row per range: its size is bounded by ``n``, not the data.
-    out = ranged.join(F.broadcast(offsets), "_range")
-    out = out.select(
+    if g:
+        # At most ranges + groups rows; AQE broadcasts it when it measures small.
+        out = ranged.join(offsets, g + ["_range"])
+    else:
+        # One row per range: bounded by ``n``, not by the data.
+        out = ranged.join(F.broadcast(offsets), "_range")
+    return out.select(
         *keyed.columns,
         *[(F.col(f"_off_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}_before")
           for v in value_cols],
         *[F.col(f"{v}_total") for v in value_cols])
-    return out
 
 
 def percent_rank(df: DataFrame, key: str, out_col: str = "percent_rank",
@@ -69,7 +76,7 @@ def percent_rank(df: DataFrame, key: str, out_col: str = "percent_rank",
     back on the key (AQE splits a skewed key's partition on the big side).
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = prefix_totals(counts, key, ["_n"], ranges)
+    ranks = prefix_totals(counts, key, ["_n"], ranges=ranges)
     pr = F.when(F.col("_n_total") > 1,
                 F.col("_n_before").cast("double") / (F.col("_n_total") - 1)).otherwise(F.lit(0.0))
     ranks = ranks.select(F.col(key).alias("_rank_key"), pr.alias(out_col))

@@ -89,3 +89,128 @@ FROM top1 t
 CROSS JOIN generate_series(1, 31) d(day)
 CROSS JOIN generate_series(0, 23) h(hour)
 LEFT JOIN hits ON hits.country_code = t.country_code AND hits.day = d.day AND hits.hour = h.hour"""
+
+# ---------------------------------------------------------------- claims
+_CLAIMS = """
+WITH lines AS (
+  SELECT l_orderkey, COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE l_returnflag = 'R') AS n_returned
+  FROM lineitem GROUP BY 1
+),
+claims AS (
+  SELECT o.o_orderkey AS IDpol, CAST(COALESCE(l.n_returned, 0) AS INTEGER) AS ClaimNb,
+         (COALESCE(l.n_lines, 0) + 1) / 8.0 AS Exposure,
+         o.o_orderpriority, o.o_orderstatus, c.c_mktsegment, o.o_totalprice, c.c_acctbal,
+         CASE WHEN COALESCE(l.n_returned, 0) > 0 THEN 1 ELSE 0 END AS hasClaim
+  FROM orders o LEFT JOIN lines l ON o.o_orderkey = l.l_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+),
+split AS (
+  SELECT *, CASE WHEN CAST(('0x' || substr(md5('claims' || CAST(IDpol AS VARCHAR)), 1, 8)) AS BIGINT)
+                      / 4294967296.0 < 0.7 THEN 'train' ELSE 'test' END AS part
+  FROM claims
+),
+ix1 AS (SELECT o_orderpriority AS label, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, o_orderpriority) - 1 AS DOUBLE) AS idx,
+               COUNT(*) OVER () AS k FROM claims GROUP BY 1),
+ix2 AS (SELECT o_orderstatus AS label, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, o_orderstatus) - 1 AS DOUBLE) AS idx,
+               COUNT(*) OVER () AS k FROM claims GROUP BY 1),
+ix3 AS (SELECT c_mktsegment AS label, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, c_mktsegment) - 1 AS DOUBLE) AS idx,
+               COUNT(*) OVER () AS k FROM claims GROUP BY 1),
+coded AS (
+  SELECT c.IDpol, a.idx AS i1, a.k - 1 AS w1, b.idx AS i2, b.k - 1 AS w2, d.idx AS i3, d.k - 1 AS w3,
+         c.Exposure, c.o_totalprice, c.c_acctbal
+  FROM claims c JOIN ix1 a ON c.o_orderpriority = a.label JOIN ix2 b ON c.o_orderstatus = b.label
+  JOIN ix3 d ON c.c_mktsegment = d.label
+),
+long AS (
+  SELECT IDpol, CAST(g.p AS INTEGER) AS position, CASE WHEN i1 = g.p THEN 1.0 ELSE 0.0 END AS value
+  FROM coded, LATERAL (SELECT * FROM range(w1)) g(p)
+  UNION ALL
+  SELECT IDpol, CAST(w1 + g.p AS INTEGER), CASE WHEN i2 = g.p THEN 1.0 ELSE 0.0 END
+  FROM coded, LATERAL (SELECT * FROM range(w2)) g(p)
+  UNION ALL
+  SELECT IDpol, CAST(w1 + w2 + g.p AS INTEGER), CASE WHEN i3 = g.p THEN 1.0 ELSE 0.0 END
+  FROM coded, LATERAL (SELECT * FROM range(w3)) g(p)
+  UNION ALL SELECT IDpol, CAST(w1 + w2 + w3 AS INTEGER), Exposure FROM coded
+  UNION ALL SELECT IDpol, CAST(w1 + w2 + w3 + 1 AS INTEGER), o_totalprice FROM coded
+  UNION ALL SELECT IDpol, CAST(w1 + w2 + w3 + 2 AS INTEGER), c_acctbal FROM coded
+),
+mu AS (SELECT o_orderpriority, AVG(ClaimNb) AS mu, AVG(hasClaim) AS p FROM split WHERE part = 'train' GROUP BY 1),
+scored AS (
+  SELECT s.ClaimNb, s.hasClaim, m.mu, m.p, CASE WHEN m.p > 0.5 THEN 1 ELSE 0 END AS pred
+  FROM split s JOIN mu m USING (o_orderpriority) WHERE s.part = 'test'
+)
+"""
+
+SQL["claim_flag"] = _CLAIMS + "SELECT * FROM claims"
+
+SQL["stratified_split"] = _CLAIMS + "SELECT IDpol, hasClaim, part FROM split"
+
+SQL["set_difference"] = _CLAIMS + """
+SELECT IDpol, ClaimNb, Exposure, o_orderpriority, o_orderstatus, c_mktsegment, o_totalprice, c_acctbal, hasClaim
+FROM claims
+EXCEPT
+SELECT IDpol, ClaimNb, Exposure, o_orderpriority, o_orderstatus, c_mktsegment, o_totalprice, c_acctbal, hasClaim
+FROM split WHERE part = 'train'"""
+
+SQL["set_difference_all"] = _CLAIMS + """
+SELECT hasClaim, o_orderpriority, c_mktsegment FROM claims
+EXCEPT ALL
+SELECT hasClaim, o_orderpriority, c_mktsegment FROM split WHERE part = 'train'"""
+
+SQL["category_index"] = _CLAIMS + """
+SELECT IDpol, i1 AS o_orderpriority_index, i2 AS o_orderstatus_index, i3 AS c_mktsegment_index FROM coded"""
+
+SQL["one_hot"] = _CLAIMS + """
+SELECT IDpol, 'o_orderpriority' AS feature, CAST(w1 AS INTEGER) AS width,
+       CAST(CASE WHEN i1 < w1 THEN i1 ELSE -1 END AS INTEGER) AS hot FROM coded
+UNION ALL
+SELECT IDpol, 'o_orderstatus', CAST(w2 AS INTEGER), CAST(CASE WHEN i2 < w2 THEN i2 ELSE -1 END AS INTEGER) FROM coded
+UNION ALL
+SELECT IDpol, 'c_mktsegment', CAST(w3 AS INTEGER), CAST(CASE WHEN i3 < w3 THEN i3 ELSE -1 END AS INTEGER) FROM coded"""
+
+SQL["assembled_features"] = _CLAIMS + "SELECT IDpol, position, value FROM long"
+
+SQL["scaled_features"] = _CLAIMS + """
+, sd AS (SELECT position, stddev_samp(value) AS sd FROM long GROUP BY 1)
+SELECT IDpol, position,
+       round(CASE WHEN sd.sd = 0 OR sd.sd IS NULL THEN 0.0 ELSE value * (1.0 / sd.sd) END, 6) AS value
+FROM long JOIN sd USING (position)"""
+
+SQL["poisson_rates"] = _CLAIMS + "SELECT o_orderpriority, round(mu, 6) AS rate FROM mu"
+
+SQL["logistic_rates"] = _CLAIMS + "SELECT o_orderpriority, round(p, 6) AS rate FROM mu"
+
+SQL["regression_metrics"] = _CLAIMS + """
+SELECT round(sqrt(avg((mu - ClaimNb) * (mu - ClaimNb))), 6) AS rmse,
+       round(avg((mu - ClaimNb) * (mu - ClaimNb)), 6) AS mse,
+       round(avg(abs(mu - ClaimNb)), 6) AS mae, COUNT(*) AS n
+FROM scored"""
+
+SQL["accuracy"] = _CLAIMS + """
+SELECT round(avg(CASE WHEN pred = hasClaim THEN 1.0 ELSE 0.0 END), 6) AS accuracy, COUNT(*) AS n FROM scored"""
+
+SQL["weighted_f1"] = _CLAIMS + """
+, cls AS (SELECT hasClaim AS c, COUNT(*) AS n_actual FROM scored GROUP BY 1),
+per AS (
+  SELECT c, n_actual,
+         (SELECT COUNT(*) FROM scored WHERE hasClaim = c AND pred = c) AS tp,
+         (SELECT COUNT(*) FROM scored WHERE pred = c) AS n_pred
+  FROM cls
+),
+f AS (
+  SELECT n_actual,
+         CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS pr, tp / n_actual AS rc FROM per
+)
+SELECT round(SUM(n_actual * CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END) / SUM(n_actual), 6)
+       AS weighted_f1, SUM(n_actual) AS n
+FROM f"""
+
+_AUC = """
+, per AS (SELECT {s} AS s, COUNT(*) FILTER (WHERE hasClaim = 1) AS np, COUNT(*) FILTER (WHERE hasClaim <> 1) AS nn
+          FROM scored GROUP BY 1),
+cum AS (SELECT np, nn, COALESCE(SUM(nn) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+        FROM per)
+SELECT round(SUM(np * (nb + nn / 2.0)) / (SUM(np) * SUM(nn)), 6) AS {name}, SUM(np) + SUM(nn) AS n FROM cum"""
+
+SQL["auc_scores"] = _CLAIMS + _AUC.format(s="p", name="auc")
+SQL["auc_hard"] = _CLAIMS + _AUC.format(s="pred", name="auc_hard")
