@@ -214,3 +214,59 @@ SELECT round(SUM(np * (nb + nn / 2.0)) / (SUM(np) * SUM(nn)), 6) AS {name}, SUM(
 
 SQL["auc_scores"] = _CLAIMS + _AUC.format(s="p", name="auc")
 SQL["auc_hard"] = _CLAIMS + _AUC.format(s="pred", name="auc_hard")
+
+# ---------------------------------------------------------------- ratings
+_RATINGS = """
+WITH pairs AS (
+  SELECT o.o_custkey, l.l_partkey, SUM(l.l_quantity) AS q, COUNT(*) AS n, MAX(o.o_orderdate) AS d
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2
+),
+ratings AS (
+  SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
+         q / (CAST(n AS DOUBLE) * 10.0) AS rating, CAST(epoch(d) AS BIGINT) AS "timestamp"
+  FROM pairs
+),
+ranked AS (SELECT *, percent_rank() OVER (ORDER BY "timestamp") AS percent_rank FROM ratings),
+splits(split) AS (VALUES (0.4::DOUBLE), (0.6::DOUBLE), (0.8::DOUBLE)),
+train AS (SELECT s.split, r.* FROM ranked r JOIN splits s ON r.percent_rank < s.split),
+seg AS (SELECT c_mktsegment AS cluster, COUNT(*) AS n FROM customer GROUP BY 1),
+members AS (
+  SELECT CAST(c_custkey AS INTEGER) AS id FROM customer
+  WHERE c_mktsegment = (SELECT cluster FROM seg ORDER BY n DESC, cluster ASC LIMIT 1)
+),
+liked AS (
+  SELECT split, movieId, AVG(rating) AS average_rating, COUNT(*) AS n_ratings
+  FROM train WHERE rating >= 4 AND userId IN (SELECT id FROM members)
+  GROUP BY 1, 2 HAVING AVG(rating) >= 4
+),
+movies AS (
+  SELECT CAST(p_partkey AS INTEGER) AS movieId,
+         array_to_string(CASE WHEN p_size >= 45
+                              THEN string_split(p_name, ' ') || [p_type] || [string_split(p_name, ' ')[1]]
+                              ELSE string_split(p_name, ' ') || [p_type] END, '|') AS genres
+  FROM part
+)
+"""
+
+SQL["time_percent_rank"] = _RATINGS + "SELECT * FROM ranked"
+
+SQL["time_split_sizes"] = _RATINGS + """
+SELECT s.split AS fraction, COUNT(*) FILTER (WHERE r.percent_rank < s.split) AS train_rows,
+       COUNT(*) FILTER (WHERE r.percent_rank >= s.split) AS test_rows
+FROM splits s CROSS JOIN ranked r GROUP BY 1"""
+
+SQL["liked_items"] = _RATINGS + """
+SELECT split, movieId, round(average_rating, 6) AS average_rating, n_ratings FROM liked"""
+
+SQL["top_tags_rows"] = _RATINGS + """
+, tag_rows AS (SELECT l.split, unnest(string_split(m.genres, '|')) AS genre FROM liked l JOIN movies m USING (movieId)),
+counts AS (SELECT split, genre, COUNT(*) AS count FROM tag_rows GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY count DESC, genre) AS INTEGER) AS rank FROM counts)
+SELECT split, rank, genre, count FROM r WHERE rank <= 10"""
+
+SQL["top_tags_items"] = _RATINGS + """
+, tag_rows AS (SELECT l.split, l.movieId, unnest(list_distinct(string_split(m.genres, '|'))) AS genre
+               FROM liked l LEFT JOIN movies m USING (movieId)),
+counts AS (SELECT split, genre, COUNT(*) AS count FROM tag_rows WHERE genre IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY count DESC, genre) AS INTEGER) AS rank FROM counts)
+SELECT split, rank, genre, count FROM r WHERE rank <= 10"""

@@ -195,8 +195,9 @@ def fit_claim_models(spark, sf_dir, folds: int = 3, parallelism: int = 4):
             row = {"model": name, "cv_metric": cv.getEvaluator().getMetricName(),
                    "cv_best": float(max(cv.avgMetrics) if cv.getEvaluator().isLargerBetter()
                                     else min(cv.avgMetrics))}
-            reg = metrics.regression_metrics(scored, label).first()
-            row["rmse"] = float(reg["rmse"])
+            row["rmse"] = None
+            if name == "poisson":
+                row["rmse"] = float(metrics.regression_metrics(scored, label).first()["rmse"])
             if name != "poisson":
                 row["auc"] = float(metrics.area_under_roc(scored, label, metrics.positive_score()).first()["auc"])
                 row["accuracy"] = float(metrics.accuracy(scored, label).first()["accuracy"])
