@@ -270,3 +270,26 @@ SQL["top_tags_items"] = _RATINGS + """
 counts AS (SELECT split, genre, COUNT(*) AS count FROM tag_rows WHERE genre IS NOT NULL GROUP BY 1, 2),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY count DESC, genre) AS INTEGER) AS rank FROM counts)
 SELECT split, rank, genre, count FROM r WHERE rank <= 10"""
+
+# ---------------------------------------------------------------- classifiers
+_COLLISION = """
+WITH feats AS (SELECT vec_id, CAST(label >= 5 AS DOUBLE) AS label FROM embeddings),
+cc AS (SELECT label, COUNT(*) AS n FROM feats GROUP BY 1),
+cls AS (
+  SELECT label, n, n / SUM(n) OVER () AS fraction, SUM(n) OVER () / (COUNT(*) OVER () * n) AS weight,
+         MIN(n) OVER () / n AS keep_fraction
+  FROM cc
+)
+"""
+
+SQL["class_balance"] = _COLLISION + """
+SELECT label, n, round(fraction, 6) AS fraction, round(weight, 6) AS weight,
+       round(keep_fraction, 6) AS keep_fraction FROM cls"""
+
+SQL["class_weights"] = _COLLISION + """
+SELECT f.vec_id, f.label, round(c.weight, 6) AS weight FROM feats f JOIN cls c USING (label)"""
+
+SQL["rebalanced"] = _COLLISION + """
+SELECT f.vec_id, f.label FROM feats f JOIN cls c USING (label)
+WHERE CAST(('0x' || substr(md5('collision' || CAST(f.vec_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0
+      < c.keep_fraction"""
