@@ -74,9 +74,8 @@ def log_time_of(time_text: Column) -> Column:
 
 
 def country_of(host: Column, codes: list[str]) -> Column:
-    """Suffix code of the host when it ends in ``.<code>`` for one of ``codes``."""
-    expr = None
-    for code in codes:
-        cond = host.endswith(f".{code}")
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr
+    """Suffix code of the host when it ends in ``.<code>`` for one of ``codes``,
+    else null. The host is referenced once, so a pushed-down filter does not
+    repeat the host pattern per code."""
+    suffix = F.regexp_extract(host, r"\.([^.]*)$", 1)
+    return F.when(suffix.isin(*codes), suffix)

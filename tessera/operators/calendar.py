@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.logparse import day_of, hour_of
-from .rollup import COUNTRIES, country_top_hosts, with_country
+from .ranking import top_k
+from .rollup import COUNTRIES, country_spine, with_country
 
 
 def day_hour_spine(keys: DataFrame, days: int = 31, hours: int = 24) -> DataFrame:
@@ -19,20 +20,27 @@ def busiest_host_grid(logs: DataFrame, countries: dict[str, str] | None = None)
     """Requests by day of month and hour of the busiest host of each country,
     dense over 31 days x 24 hours with 0 where the host was idle.
 
+    One scan: requests are counted per (country, host, day, hour), with null
+    day / hour for times that do not parse; host totals, the busiest host and
+    the grid all come from that aggregate (at most hosts x 745 rows per
+    country), so its shuffle is shared and no raw row is read twice.
     Day and hour are read from the log text by position (the log's own clock).
-    The busiest hosts (one per country) are joined back, not collected.
     """
     countries = countries or COUNTRIES
-    busiest = country_top_hosts(logs, 1, countries).select("country_code", "country", "host")
-    rows = with_country(logs, countries).select("country_code", "host", "timestamp")
+    ts = F.col("timestamp")
+    slot_ok = day_of(ts).between(1, 31) & hour_of(ts).between(0, 23)
+    slots = with_country(logs, countries).select(
+        "country_code", "host",
+        F.when(slot_ok, day_of(ts)).alias("day"), F.when(slot_ok, hour_of(ts)).alias("hour")) \
+        .groupBy("country_code", "host", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+    totals = slots.groupBy("country_code", "host").agg(F.sum("n").alias("total"))
+    busiest = top_k(totals, ["country_code"], [F.col("total").desc(), F.col("host").asc()], 1) \
+        .select("country_code", "host")
     # busiest has at most one row per requested country: a bounded broadcast.
-    visits = rows.join(F.broadcast(busiest.select("country_code", "host")),
-                       ["country_code", "host"], "left_semi")
-    hits = visits.select("country_code", day_of(F.col("timestamp")).alias("day"),
-                         hour_of(F.col("timestamp")).alias("hour")) \
-        .filter(F.col("day").between(1, 31) & F.col("hour").between(0, 23)) \
-        .groupBy("country_code", "day", "hour").agg(F.count(F.lit(1)).alias("count"))
-    spine = day_hour_spine(busiest)
-    return spine.join(hits, ["country_code", "day", "hour"], "left") \
+    hits = slots.filter(F.col("day").isNotNull()) \
+        .join(F.broadcast(busiest), ["country_code", "host"], "left_semi")
+    spine = day_hour_spine(busiest.join(F.broadcast(country_spine(logs.sparkSession, countries)),
+                                        "country_code"))
+    return spine.join(hits, ["country_code", "host", "day", "hour"], "left") \
         .select("country_code", "country", "host", "day", "hour",
-                F.coalesce("count", F.lit(0)).alias("count"))
+                F.coalesce("n", F.lit(0)).alias("count"))

@@ -66,16 +66,22 @@ def country_top_hosts(logs: DataFrame, k: int = 9, countries: dict[str, str] | N
 
 def host_share_rest(logs: DataFrame, k: int = 9, countries: dict[str, str] | None = None) -> DataFrame:
     """Top-k hosts per country plus a ``Rest`` row (rank k+1) with every other
-    request, each as a percentage of the country's requests."""
+    request, each as a percentage of the country's requests.
+
+    Totals come from the same host counts as the ranking (one scan; the
+    aggregate's shuffle is reused by both branches)."""
     countries = countries or COUNTRIES
-    top = country_top_hosts(logs, k, countries)
-    totals = country_requests(logs, countries).filter(F.col("requests") > 0)
+    counts = host_counts(logs, countries)
+    names = country_spine(logs.sparkSession, countries)
+    top = top_k(counts, ["country_code"], [F.col("count").desc(), F.col("host").asc()], k) \
+        .select("country_code", "rank", "host", "count")
+    totals = counts.groupBy("country_code").agg(F.sum("count").alias("requests"))
     top_sum = top.groupBy("country_code").agg(F.sum("count").alias("top_sum"))
     rest = totals.join(top_sum, "country_code", "left").select(
-        "country_code", "country", F.lit(k + 1).alias("rank"), F.lit("Rest").alias("host"),
+        "country_code", F.lit(k + 1).alias("rank"), F.lit("Rest").alias("host"),
         (F.col("requests") - F.coalesce("top_sum", F.lit(0))).alias("count"))
     rows = top.unionByName(rest)
-    # totals has one row per requested country: bounded by the caller's list.
-    return rows.join(F.broadcast(totals.select("country_code", "requests")), "country_code") \
+    # totals and names have one row per requested country: bounded broadcasts.
+    return rows.join(F.broadcast(totals), "country_code").join(F.broadcast(names), "country_code") \
         .select("country_code", "country", "rank", "host", "count",
                 F.round(F.col("count") / F.col("requests") * 100.0, 6).alias("percent"))

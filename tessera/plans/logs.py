@@ -2,18 +2,46 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.logparse import day_of, hour_of, log_time_of, parse_access_log
 from ..operators import calendar, rollup
-from ..sources.files import table
+from ..session import scratch_path
+from ..sources.files import read_text_lines, table, write_text_lines
 from ..sources.standins import access_log_lines
 
 
+_TEXT_LOGS: dict[tuple[str, str], str] = {}
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The access log as gzip text, the original input format.
+
+    Lines are built from ``events`` once per application and written under
+    the shared checkpoint folder (at least one file per core, since a gzip
+    file is one split); every log query then scans that text. The write also
+    cuts the lineage, so the parser's filters meet a plain ``value`` column
+    instead of re-evaluating the line-building expression.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _TEXT_LOGS.get(key)
+    if path is None:
+        lines = access_log_lines(table(spark, sf_dir, "events"))
+        target = spark.sparkContext.defaultParallelism
+        if lines.rdd.getNumPartitions() < target:
+            lines = lines.repartition(target)
+        path = scratch_path(spark, "access-log")
+        write_text_lines(lines, path)
+        _TEXT_LOGS[key] = path
+    return read_text_lines(spark, path)
+
+
 def parsed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines built from ``events`` and parsed back (C1)."""
-    return parse_access_log(access_log_lines(table(spark, sf_dir, "events")))
+    return parse_access_log(log_lines(spark, sf_dir))
 
 
 def log_parse(spark, sf_dir):
