@@ -3,6 +3,8 @@ setting, user segments, the largest segment's liked items and top tags."""
 
 from __future__ import annotations
 
+import os
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,39 +75,56 @@ def _fit_score(train: DataFrame, test: DataFrame, setting: dict):
     return model, model.transform(test)
 
 
-def als_errors(spark, sf_dir, settings: dict | None = None):
+def als_errors(spark, sf_dir, settings: dict | None = None, concurrency: int = 3):
     """RMSE / MSE / MAE of each setting on each time split, with the share of
-    test ratings the model could score (cold-start rows are dropped)."""
+    test ratings the model could score (cold-start rows are dropped).
+
+    The six fits are independent distributed jobs; a few run at once so the
+    cluster is not idle between the short iterations of each."""
     settings = settings or SETTINGS
-    rows = []
     data = ranked(spark, sf_dir).select("userId", "movieId", "rating", "percent_rank")
-    with persisted(data):
-        for f in FRACTIONS:
-            train, test = split.time_split(data, f)
-            for name, s in settings.items():
-                _, scored = _fit_score(train, test, s)
-                m = metrics.regression_metrics(scored, "rating").first()
-                n_test = test.count()
-                rows.append((f, name, s["rank"], s["max_iter"], s["reg_param"], float(m["rmse"]),
-                             float(m["mse"]), float(m["mae"]), int(m["n"]), n_test,
-                             float(m["n"]) / n_test if n_test else None))
+
+    def one(job):
+        f, name, s = job
+        train, test = split.time_split(data, f)
+        _, scored = _fit_score(train, test, s)
+        m = metrics.regression_metrics(scored, "rating").first()
+        n_test = test.count()
+        return (f, name, s["rank"], s["max_iter"], s["reg_param"], float(m["rmse"]),
+                float(m["mse"]), float(m["mae"]), int(m["n"]), n_test,
+                float(m["n"]) / n_test if n_test else None)
+
+    jobs = [(f, name, s) for f in FRACTIONS for name, s in settings.items()]
+    with persisted(data), ThreadPoolExecutor(max_workers=concurrency) as pool:
+        rows = list(pool.map(one, jobs))
     schema = ("split double, setting string, rank int, max_iter int, reg_param double, rmse double, "
               "mse double, mae double, n_scored bigint, n_test bigint, covered double")
     return spark.createDataFrame(rows, schema)
 
 
+_CLUSTERS: dict = {}
+
+
 def _split_clusters(spark, sf_dir, setting: str = "setting2"):
-    """For each split: factorise its training ratings, cluster the user factors."""
+    """For each split: factorise its training ratings, cluster the user factors.
+    Seeded; kept per application and data folder."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), setting)
+    if key in _CLUSTERS:
+        return _CLUSTERS[key]
     s = SETTINGS[setting]
     data = ranked(spark, sf_dir).select("userId", "movieId", "rating", "percent_rank")
-    parts = []
-    for f in FRACTIONS:
+
+    def one(f):
         train, _ = split.time_split(data, f)
         model = models.als(seed=SEED, rank=s["rank"], max_iter=s["max_iter"],
                            reg_param=s["reg_param"]).fit(train)
         clusters = segments.cluster_factors(model.userFactors, CLUSTERS, SEED)
-        parts.append(clusters.withColumn("split", F.lit(f)))
-    return reduce(DataFrame.unionByName, parts)
+        return clusters.withColumn("split", F.lit(f))
+
+    with ThreadPoolExecutor(max_workers=len(FRACTIONS)) as pool:
+        parts = list(pool.map(one, FRACTIONS))
+    _CLUSTERS[key] = reduce(DataFrame.unionByName, parts)
+    return _CLUSTERS[key]
 
 
 def user_clusters(spark, sf_dir):
