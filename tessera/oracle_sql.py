@@ -293,3 +293,67 @@ SQL["rebalanced"] = _COLLISION + """
 SELECT f.vec_id, f.label FROM feats f JOIN cls c USING (label)
 WHERE CAST(('0x' || substr(md5('collision' || CAST(f.vec_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0
       < c.keep_fraction"""
+
+SQL["chart_series"] = _LOGS + """
+, totals AS (SELECT country_code, COUNT(*) AS requests FROM clogs GROUP BY 1),
+share_rows AS (
+  SELECT country_code, rank, host, count FROM ranked WHERE rank <= 9
+  UNION ALL
+  SELECT t.country_code, 10, 'Rest',
+         t.requests - COALESCE((SELECT SUM(count) FROM ranked r WHERE r.rank <= 9
+                                AND r.country_code = t.country_code), 0)
+  FROM totals t
+),
+top1 AS (SELECT country_code, country, host FROM ranked WHERE rank = 1),
+hits AS (
+  SELECT l.country_code, TRY_CAST(substr(l."timestamp", 1, 2) AS INTEGER) AS day,
+         TRY_CAST(split_part(l."timestamp", ':', 2) AS INTEGER) AS hour, COUNT(*) AS n
+  FROM clogs l JOIN top1 t ON l.country_code = t.country_code AND l.host = t.host
+  GROUP BY 1, 2, 3
+)
+SELECT 'requests' AS series, c.country AS x, CAST(COUNT(l.host) AS DOUBLE) AS y
+FROM countries c LEFT JOIN clogs l ON l.country_code = c.country_code GROUP BY c.country
+UNION ALL
+SELECT 'unique_hosts', c.country, CAST(COUNT(DISTINCT l.host) AS DOUBLE)
+FROM countries c LEFT JOIN clogs l ON l.country_code = c.country_code GROUP BY c.country
+UNION ALL
+SELECT 'share:' || c.country, s.host, round(s.count / t.requests * 100.0, 6)
+FROM share_rows s JOIN totals t USING (country_code) JOIN countries c USING (country_code)
+UNION ALL
+SELECT 'activity:' || t.country, lpad(CAST(d.day AS VARCHAR), 2, '0') || '-' || lpad(CAST(h.hour AS VARCHAR), 2, '0'),
+       CAST(COALESCE(hits.n, 0) AS DOUBLE)
+FROM top1 t CROSS JOIN generate_series(1, 31) d(day) CROSS JOIN generate_series(0, 23) h(hour)
+LEFT JOIN hits ON hits.country_code = t.country_code AND hits.day = d.day AND hits.hour = h.hour"""
+
+SQL["csv_round_trip"] = SQL["claim_flag"]
+
+SQL["poisson_coefficients"] = _CLAIMS + """
+, tr AS (SELECT * FROM split WHERE part = 'train'),
+ixt AS (
+  SELECT o_orderpriority AS label, row_number() OVER (ORDER BY COUNT(*) DESC, o_orderpriority) - 1 AS idx,
+         COUNT(*) OVER () AS k, AVG(ClaimNb) AS mu
+  FROM tr GROUP BY 1
+),
+base AS (SELECT mu AS mu0 FROM ixt WHERE idx = k - 1)
+SELECT '(intercept)' AS feature, CAST(-1 AS INTEGER) AS position, round(ln(mu0), 6) AS coefficient FROM base
+UNION ALL
+SELECT 'o_orderpriority_index_ohe_' || label, CAST(idx AS INTEGER), round(ln(mu) - ln(mu0), 6)
+FROM ixt, base WHERE idx < k - 1"""
+
+_FEATURE_COLS = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(64))
+
+SQL["parquet_round_trip"] = f"""
+SELECT vec_id, CAST(label >= 5 AS DOUBLE) AS label, {_FEATURE_COLS} FROM embeddings"""
+
+SQL["headerless_csv"] = f"""
+SELECT CAST(vec_id AS DOUBLE) AS vec_id, CAST(label >= 5 AS DOUBLE) AS label, {_FEATURE_COLS} FROM embeddings"""
+
+SQL["tag_indicators"] = """
+WITH movies AS (
+  SELECT CAST(p_partkey AS INTEGER) AS movieId,
+         array_to_string(CASE WHEN p_size >= 45
+                              THEN string_split(p_name, ' ') || [p_type] || [string_split(p_name, ' ')[1]]
+                              ELSE string_split(p_name, ' ') || [p_type] END, '|') AS genres
+  FROM part
+)
+SELECT movieId, unnest(list_distinct(string_split(genres, '|'))) AS genre FROM movies"""

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import metrics, models, split, tune
-from ..sources.files import persisted, table
+from ..session import scratch_path
+from ..sources.files import persisted, read_csv, table, write_csv
 from ..sources.standins import claims_table
 
 FEATURES = ["Exposure", "o_orderpriority", "o_orderstatus", "c_mktsegment", "o_totalprice", "c_acctbal"]
@@ -101,21 +102,25 @@ def _one_feature_pipeline(estimator):
     """A single categorical feature: the fitted model is saturated, so its
     fitted value per category is that category's mean."""
     cats = ["o_orderpriority"]
-    return Pipeline(stages=[feat.indexer(cats, "keep"), feat.encoder(cats),
+    return Pipeline(stages=[feat.indexer(cats), feat.encoder(cats),
                             VectorAssembler(inputCols=["o_orderpriority_index_ohe"], outputCol="features"),
                             estimator])
 
 
+def _saturated_poisson():
+    return models.poisson_glm("ClaimNb").setTol(1e-12).setMaxIter(100)
+
+
 def _poisson_scored(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
-    model = _one_feature_pipeline(models.poisson_glm("ClaimNb")).fit(train)
+    model = _one_feature_pipeline(_saturated_poisson()).fit(train)
     return model, model.transform(test)
 
 
 def _saturated_logistic():
     """Unpenalised, solved to a tight tolerance so the fitted probabilities
-    reach the group rates (the default 1e-6 stops a few ulps of 1e-6 short)."""
-    return models.logistic("hasClaim").setTol(1e-12).setMaxIter(500)
+    reach the group rates (the default 1e-6 stops about 1e-6 short)."""
+    return models.logistic("hasClaim").setTol(1e-10).setMaxIter(500)
 
 
 def _logistic_scored(spark, sf_dir):
@@ -126,11 +131,19 @@ def _logistic_scored(spark, sf_dir):
 
 def poisson_rates(spark, sf_dir):
     train, _ = train_test(spark, sf_dir)
-    model = _one_feature_pipeline(models.poisson_glm("ClaimNb")).fit(train)
+    model = _one_feature_pipeline(_saturated_poisson()).fit(train)
     cats = claims(spark, sf_dir).select("o_orderpriority").distinct()
     return model.transform(cats).select("o_orderpriority", F.round("prediction", 6).alias("rate"))
 
 
+def poisson_coefficients(spark, sf_dir):
+    """Intercept and one coefficient per kept category of the saturated
+    Poisson model: log of the dropped category's mean, and log rate ratios."""
+    model, scored = _poisson_scored(spark, sf_dir)
+    coefs = models.coefficients_table(spark, model, scored, "features", "poisson")
+    return coefs.select("feature", "position", F.round("coefficient", 6).alias("coefficient"))
+
+
 def logistic_rates(spark, sf_dir):
     train, _ = train_test(spark, sf_dir)
     model = _one_feature_pipeline(_saturated_logistic()).fit(train)
@@ -252,6 +265,14 @@ def claim_coefficients(spark, sf_dir):
     return reduce(DataFrame.unionByName, tables)
 
 
+def csv_round_trip(spark, sf_dir):
+    """The claims table written as headered CSV and read back with its schema."""
+    data = claims(spark, sf_dir)
+    path = scratch_path(spark, "claims-csv")
+    write_csv(data, path)
+    return read_csv(spark, path, schema=data.schema)
+
+
 def claim_grid(spark, sf_dir):
     """Every (model, penalty) with its mean and spread over the folds."""
     fitted, _ = fit_claim_models(spark, sf_dir)

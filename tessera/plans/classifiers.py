@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics, models, split, tune
-from ..sources.files import persisted, table
+from ..session import scratch_path
+from ..sources.files import (cast_strings, persisted, read_parquet, rename_positional, table,
+                             write_csv, write_parquet)
 from ..sources.standins import collision_features
 
 SALT = "collision"
@@ -66,6 +68,24 @@ def seeded_sample(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+def headerless_csv(spark, sf_dir):
+    """Features written as headerless CSV, read back untyped (``_c0..``),
+    renamed by position and cast from text to double in one projection."""
+    data = features(spark, sf_dir)
+    path = scratch_path(spark, "collision-csv")
+    write_csv(data, path, header=False)
+    raw = spark.read.csv(path)
+    return cast_strings(rename_positional(raw, data.columns), "double")
+
+
+def parquet_round_trip(spark, sf_dir):
+    """Features written to parquet and scanned back."""
+    data = features(spark, sf_dir)
+    path = scratch_path(spark, "collision-parquet")
+    write_parquet(data, path)
+    return read_parquet(spark, path)
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
     """Balanced rows, split by key hash, features assembled once (the assembler
     is stateless, so it need not run inside every fold)."""

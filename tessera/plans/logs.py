@@ -80,3 +80,22 @@ def host_share_rest(spark, sf_dir):
 
 def busiest_host_grid(spark, sf_dir):
     return calendar.busiest_host_grid(parsed_log(spark, sf_dir))
+
+
+def chart_series(spark, sf_dir):
+    """Chart-ready tidy rows ``(series, x, y)``: requests and unique hosts by
+    country, host shares, and the busiest hosts' day-hour activity."""
+    logs = parsed_log(spark, sf_dir)
+    req = rollup.country_requests(logs).select(
+        F.lit("requests").alias("series"), F.col("country").alias("x"), F.col("requests").cast("double").alias("y"))
+    uniq = rollup.country_unique_hosts(logs).select(
+        F.lit("unique_hosts").alias("series"), F.col("country").alias("x"),
+        F.col("unique_hosts").cast("double").alias("y"))
+    share = rollup.host_share_rest(logs).select(
+        F.concat(F.lit("share:"), F.col("country")).alias("series"), F.col("host").alias("x"),
+        F.col("percent").alias("y"))
+    grid = calendar.busiest_host_grid(logs).select(
+        F.concat(F.lit("activity:"), F.col("country")).alias("series"),
+        F.format_string("%02d-%02d", F.col("day"), F.col("hour")).alias("x"),
+        F.col("count").cast("double").alias("y"))
+    return req.unionByName(uniq).unionByName(share).unionByName(grid)

@@ -69,6 +69,11 @@ def top_tags_items(spark, sf_dir):
     return tags.top_tags_items(_segment_liked(spark, sf_dir), movies(spark, sf_dir), 10, ["split"])
 
 
+def tag_indicators(spark, sf_dir):
+    """Per item, each distinct tag once (the indicator table in long form)."""
+    return tags.tag_indicators(movies(spark, sf_dir))
+
+
 def _fit_score(train: DataFrame, test: DataFrame, setting: dict):
     model = models.als(seed=SEED, rank=setting["rank"], max_iter=setting["max_iter"],
                        reg_param=setting["reg_param"]).fit(train)
