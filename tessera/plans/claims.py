@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import metrics, models, split, tune
-from ..session import scratch_path
+from ..session import materialized, scratch_path
 from ..sources.files import persisted, read_csv, table, write_csv
 from ..sources.standins import claims_table
 
@@ -31,9 +31,12 @@ REG_GRID = [0.001, 0.01, 0.1, 1.0, 10.0]
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The claims table with the binary label ``hasClaim``."""
-    base = claims_table(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
-                        table(spark, sf_dir, "customer"))
-    return base.withColumn("hasClaim", F.when(F.col("ClaimNb") > 0, 1).otherwise(0))
+    def build():
+        base = claims_table(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
+                            table(spark, sf_dir, "customer"))
+        return base.withColumn("hasClaim", F.when(F.col("ClaimNb") > 0, 1).otherwise(0))
+    # Materialised once: splits, set differences and model folds all read it.
+    return materialized(spark, "claims", sf_dir, build)
 
 
 def train_test(spark, sf_dir):

@@ -112,8 +112,8 @@ def _grid(name: str, est, axes: dict, n_features: int) -> list:
     return tune.param_grid(est, axes)
 
 
-# Seeded fits, kept per application and data folder for the queries that
-# read the same search (comparison, grid, best parameters).
+# Seeded fits, kept per application, data folder and model for the queries
+# that read the same search (comparison, grid, best parameters).
 _TUNED: dict = {}
 
 
@@ -122,32 +122,35 @@ def tune_models(spark, sf_dir, names=("random_forest", "gbt", "perceptron"), gri
     """Cross-validate each model on the train part by weighted F1 (the
     multiclass evaluator's default), refit the best, score the test part."""
     grids = grids or QUERY_GRIDS
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), tuple(names),
-           repr(sorted(grids.items())), folds)
-    if key in _TUNED:
-        return _TUNED[key]
-    train, test, width = prepared(spark, sf_dir)
     out = []
-    with persisted(train), persisted(test):
-        for name in names:
-            est = _estimator(name, width)
-            cv = tune.cross_validate(est, _grid(name, est, grids[name], width),
-                                     MulticlassClassificationEvaluator(), train,
-                                     folds=folds, seed=SEED, parallelism=parallelism)
-            scored = cv.bestModel.transform(test).select(
-                "label", "prediction", metrics.positive_score().alias("score"))
-            row = {"model": name, "cv_f1": float(max(cv.avgMetrics))}
-            row["accuracy"] = float(metrics.accuracy(scored, "label").first()["accuracy"])
-            row["weighted_f1"] = float(metrics.weighted_f1(scored, "label").first()["weighted_f1"])
-            row["auc_hard"] = float(metrics.hard_label_auc(scored, "label").first()["auc_hard"])
-            row["auc"] = float(metrics.area_under_roc(scored, "label", "score").first()["auc"])
-            row["base_rate"] = float(metrics.base_rate(scored, "label").first()["base_rate"])
-            row["n_test"] = int(metrics.accuracy(scored, "label").first()["n"])
-            out.append((name, cv, row))
-    _TUNED[key] = out
+    for name in names:
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name,
+               repr(grids[name]), folds)
+        if key not in _TUNED:
+            _TUNED[key] = _tune_one(spark, sf_dir, name, grids[name], folds, parallelism)
+        out.append(_TUNED[key])
     return out
 
 
+def _tune_one(spark, sf_dir, name, axes, folds, parallelism):
+    train, test, width = prepared(spark, sf_dir)
+    with persisted(train), persisted(test):
+        est = _estimator(name, width)
+        cv = tune.cross_validate(est, _grid(name, est, axes, width),
+                                 MulticlassClassificationEvaluator(), train,
+                                 folds=folds, seed=SEED, parallelism=parallelism)
+        scored = cv.bestModel.transform(test).select(
+            "label", "prediction", metrics.positive_score().alias("score"))
+        row = {"model": name, "cv_f1": float(max(cv.avgMetrics))}
+        acc = metrics.accuracy(scored, "label").first()
+        row["accuracy"], row["n_test"] = float(acc["accuracy"]), int(acc["n"])
+        row["weighted_f1"] = float(metrics.weighted_f1(scored, "label").first()["weighted_f1"])
+        row["auc_hard"] = float(metrics.hard_label_auc(scored, "label").first()["auc_hard"])
+        row["auc"] = float(metrics.area_under_roc(scored, "label", "score").first()["auc"])
+        row["base_rate"] = float(metrics.base_rate(scored, "label").first()["base_rate"])
+    return name, cv, row
+
+
 _SCHEMA = ("model string, params string, cv_f1 double, accuracy double, weighted_f1 double, "
            "auc_hard double, auc double, base_rate double, n_test bigint")
 

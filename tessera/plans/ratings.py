@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics, models, segments, split, tags
-from ..sources.files import persisted, table
+from ..session import materialized
+from ..sources.files import table
 from ..sources.standins import movies_table, ratings_table, segments_table
 
 FRACTIONS = [0.4, 0.6, 0.8]
@@ -25,12 +26,17 @@ CLUSTERS = 25
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratings_table(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+    """One rating per (user, item), materialised once: the rank counts, the
+    ranked rows and every split read it."""
+    return materialized(spark, "ratings", sf_dir, lambda: ratings_table(
+        table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")))
 
 
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratings with their exact global percent rank by time."""
-    return split.time_ranked(ratings(spark, sf_dir), "timestamp")
+    """Ratings with their exact global percent rank by time, materialised once:
+    every split, model and liked-item query filters it."""
+    return materialized(spark, "ranked-ratings", sf_dir,
+                        lambda: split.time_ranked(ratings(spark, sf_dir), "timestamp"))
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,33 +80,48 @@ def tag_indicators(spark, sf_dir):
     return tags.tag_indicators(movies(spark, sf_dir))
 
 
-def _fit_score(train: DataFrame, test: DataFrame, setting: dict):
-    model = models.als(seed=SEED, rank=setting["rank"], max_iter=setting["max_iter"],
-                       reg_param=setting["reg_param"]).fit(train)
-    return model, model.transform(test)
+_ALS: dict = {}
 
 
-def als_errors(spark, sf_dir, settings: dict | None = None, concurrency: int = 3):
+def _ranked_input(spark, sf_dir) -> DataFrame:
+    return ranked(spark, sf_dir).select("userId", "movieId", "rating", "percent_rank")
+
+
+def als_model(spark, sf_dir, fraction: float, setting: str):
+    """The factorisation of one split's training ratings under one setting.
+    Seeded, so it is fitted once per application and shared by the error
+    table and the user clustering."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), fraction, setting)
+    if key not in _ALS:
+        s = SETTINGS[setting]
+        train, _ = split.time_split(_ranked_input(spark, sf_dir), fraction)
+        _ALS[key] = models.als(seed=SEED, rank=s["rank"], max_iter=s["max_iter"],
+                               reg_param=s["reg_param"]).fit(train)
+    return _ALS[key]
+
+
+def als_errors(spark, sf_dir, settings: list[str] | None = None, concurrency: int = 3):
     """RMSE / MSE / MAE of each setting on each time split, with the share of
     test ratings the model could score (cold-start rows are dropped).
 
     The six fits are independent distributed jobs; a few run at once so the
     cluster is not idle between the short iterations of each."""
-    settings = settings or SETTINGS
-    data = ranked(spark, sf_dir).select("userId", "movieId", "rating", "percent_rank")
+    names = settings or list(SETTINGS)
+    data = _ranked_input(spark, sf_dir)
 
     def one(job):
-        f, name, s = job
-        train, test = split.time_split(data, f)
-        _, scored = _fit_score(train, test, s)
+        f, name = job
+        s = SETTINGS[name]
+        _, test = split.time_split(data, f)
+        scored = als_model(spark, sf_dir, f, name).transform(test)
         m = metrics.regression_metrics(scored, "rating").first()
         n_test = test.count()
         return (f, name, s["rank"], s["max_iter"], s["reg_param"], float(m["rmse"]),
                 float(m["mse"]), float(m["mae"]), int(m["n"]), n_test,
                 float(m["n"]) / n_test if n_test else None)
 
-    jobs = [(f, name, s) for f in FRACTIONS for name, s in settings.items()]
-    with persisted(data), ThreadPoolExecutor(max_workers=concurrency) as pool:
+    jobs = [(f, name) for f in FRACTIONS for name in names]
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
         rows = list(pool.map(one, jobs))
     schema = ("split double, setting string, rank int, max_iter int, reg_param double, rmse double, "
               "mse double, mae double, n_scored bigint, n_test bigint, covered double")
@@ -111,20 +132,15 @@ _CLUSTERS: dict = {}
 
 
 def _split_clusters(spark, sf_dir, setting: str = "setting2"):
-    """For each split: factorise its training ratings, cluster the user factors.
+    """For each split: the user factors of its factorisation, clustered.
     Seeded; kept per application and data folder."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), setting)
     if key in _CLUSTERS:
         return _CLUSTERS[key]
-    s = SETTINGS[setting]
-    data = ranked(spark, sf_dir).select("userId", "movieId", "rating", "percent_rank")
 
     def one(f):
-        train, _ = split.time_split(data, f)
-        model = models.als(seed=SEED, rank=s["rank"], max_iter=s["max_iter"],
-                           reg_param=s["reg_param"]).fit(train)
-        clusters = segments.cluster_factors(model.userFactors, CLUSTERS, SEED)
-        return clusters.withColumn("split", F.lit(f))
+        factors = als_model(spark, sf_dir, f, setting).userFactors
+        return segments.cluster_factors(factors, CLUSTERS, SEED).withColumn("split", F.lit(f))
 
     with ThreadPoolExecutor(max_workers=len(FRACTIONS)) as pool:
         parts = list(pool.map(one, FRACTIONS))

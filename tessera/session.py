@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults every job here relies on. AQE re-plans joins and shuffle sizes at run
 # time, splits skewed join partitions and turns small joins into broadcasts only
@@ -69,3 +69,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+_MATERIALIZED: dict = {}
+
+
+def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """A derived table built once per application and cut from its lineage by a
+    reliable checkpoint into the shared folder.
+
+    For inputs that several branches of a plan read (rank counts and the rows
+    they are attached to, train and test parts): without the cut each branch
+    recomputes the joins and aggregates behind it.
+    """
+    key = (spark.sparkContext.applicationId, name, os.path.abspath(sf_dir))
+    if key not in _MATERIALIZED:
+        ensure_checkpoint_dir(spark)
+        _MATERIALIZED[key] = build().checkpoint(eager=True)
+    return _MATERIALIZED[key]
