@@ -1,13 +1,14 @@
 """Exact distributed ranking: top-k per group, prefix totals, percent rank.
 
 None of these sends a whole table, group or key to one task. A global order
-is cut into key ranges by range partitioning; only one row per range is ever
-collected in a single window, and that table is bounded by the number of
-ranges, not by the data.
+is cut into key ranges at quantile cut points of the distinct keys; only one
+row per range is ever handled in a single window, and that table is bounded
+by the number of ranges, not by the data.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,22 +27,45 @@ def top_k(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
+def key_cut_points(keyed: DataFrame, key: str, ranges: int) -> list[float]:
+    """About ``ranges - 1`` cut points splitting the distinct keys evenly
+    (quantiles of the key over one row per key, so a hot key weighs one).
+    The list is bounded by ``ranges``, whatever the data size."""
+    if ranges <= 1:
+        return []
+    k = F.col(key).cast("double")
+    probs = [i / ranges for i in range(1, ranges)]
+    cuts = keyed.select(k.alias("_k")).where(F.col("_k").isNotNull() & ~F.isnan("_k")) \
+        .approxQuantile("_k", probs, 0.25 / ranges)
+    return sorted(set(cuts))
+
+
+def with_key_range(keyed: DataFrame, key: str, cuts: list[float], out_col: str = "_range") -> DataFrame:
+    """Range index of each key: -1 for null, then one range per gap between
+    cut points (a key equal to a cut starts the next range), NaN last. A pure
+    function of the key, so every branch and every retried task agrees."""
+    if not cuts:
+        return keyed.withColumn(out_col, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    splits = [float("-inf"), *cuts, float("inf")]
+    with_k = keyed.withColumn("_k", F.col(key).cast("double"))
+    bucketed = Bucketizer(splits=splits, inputCol="_k", outputCol="_b", handleInvalid="keep").transform(with_k)
+    return bucketed.withColumn(out_col, F.coalesce(F.col("_b").cast("int"), F.lit(-1))).drop("_k", "_b")
+
+
 def prefix_totals(keyed: DataFrame, key: str, value_cols: list[str],
                   group_cols: list[str] | None = None, ranges: int | None = None) -> DataFrame:
-    """For each distinct ``key`` (ascending, nulls first), within each group if
-    ``group_cols`` are given, add ``<v>_before``, the sum of ``v`` over all
-    smaller keys, and ``<v>_total``, the sum over all keys.
-
-    ``keyed`` must hold one row per (group, key). Steps: range-partition on
-    (group, key) (Spark samples the bounds, so ranges are balanced over
-    distinct keys and a big group spans many ranges), total each (group, range)
-    pair, running offsets over those few rows, then a running sum inside each
-    range plus its offset.
+    """For each distinct numeric ``key`` (ascending, nulls first), within each
+    group if ``group_cols`` are given, add ``<v>_before``, the sum of ``v``
+    over all smaller keys, and ``<v>_total``, the sum over all keys.
+
+    ``keyed`` must hold one row per (group, key). Steps: cut the key domain
+    into ranges of about equal numbers of distinct keys (so a big group spans
+    many ranges), total each (group, range) pair, running offsets over those
+    few rows, then a running sum inside each range plus its offset.
     """
     g = list(group_cols or [])
     n = ranges or shuffle_partitions(keyed.sparkSession)
-    order = [F.col(c).asc_nulls_first() for c in g + [key]]
-    ranged = keyed.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
+    ranged = with_key_range(keyed, key, key_cut_points(keyed, key, n))
     per_range = ranged.groupBy(*g, "_range").agg(*[F.sum(v).alias(f"_r_{v}") for v in value_cols])
     by_group = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     before = by_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,7 +78,7 @@ def prefix_totals(keyed: DataFrame, key: str, value_cols: list[str],
     inside = Window.partitionBy(*g, "_range").orderBy(F.col(key).asc_nulls_first()) \
         .rowsBetween(Window.unboundedPreceding, -1)
     if g:
-        # At most ranges + groups rows; AQE broadcasts it when it measures small.
+        # At most ranges x groups rows; AQE broadcasts it when it measures small.
         out = ranged.join(offsets, g + ["_range"])
     else:
         # One row per range: bounded by ``n``, not by the data.
