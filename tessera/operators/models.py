@@ -57,12 +57,18 @@ def perceptron(n_features: int, hidden: tuple[int, ...] = (5, 4), n_classes: int
 
 
 def als(user: str = "userId", item: str = "movieId", rating: str = "rating",
-        seed: int = 230123766, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1) -> ALS:
+        seed: int = 230123766, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1,
+        blocks: int | None = None) -> ALS:
     """Matrix factorisation; cold-start rows are dropped when scoring. Periodic
-    checkpoints (to the session's checkpoint folder) cut the iteration lineage."""
-    return ALS(userCol=user, itemCol=item, ratingCol=rating, seed=seed, rank=rank,
-               maxIter=max_iter, regParam=reg_param, coldStartStrategy="drop",
-               checkpointInterval=5)
+    checkpoints (to the session's checkpoint folder) cut the iteration lineage.
+    ``blocks`` sets the user and item block counts (parallelism of each
+    half-step); size it to the cluster's cores."""
+    est = ALS(userCol=user, itemCol=item, ratingCol=rating, seed=seed, rank=rank,
+              maxIter=max_iter, regParam=reg_param, coldStartStrategy="drop",
+              checkpointInterval=5)
+    if blocks:
+        est = est.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+    return est
 
 
 def kmeans(k: int = 25, seed: int = 230123766, features: str = "features",

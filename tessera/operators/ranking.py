@@ -23,7 +23,12 @@ def top_k(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
     shuffle (WindowGroupLimit), so a hot group sends at most k rows per map
     partition, never all its rows.
     """
-    w = Window.partitionBy(*group_cols).orderBy(*order) if group_cols else Window.orderBy(*order)
+    if not group_cols:
+        # Global top-k: each partition keeps its k best, then one merge of
+        # k x partitions rows (TakeOrderedAndProject); only k rows are ranked.
+        best = df.orderBy(*order).limit(k)
+        return best.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+    w = Window.partitionBy(*group_cols).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics, models, segments, split, tags
-from ..session import materialized
+from ..session import ensure_checkpoint_dir, materialized
 from ..sources.files import table
 from ..sources.standins import movies_table, ratings_table, segments_table
 
@@ -95,8 +95,10 @@ def als_model(spark, sf_dir, fraction: float, setting: str):
     if key not in _ALS:
         s = SETTINGS[setting]
         train, _ = split.time_split(_ranked_input(spark, sf_dir), fraction)
+        ensure_checkpoint_dir(spark)
+        blocks = max(10, spark.sparkContext.defaultParallelism)
         _ALS[key] = models.als(seed=SEED, rank=s["rank"], max_iter=s["max_iter"],
-                               reg_param=s["reg_param"]).fit(train)
+                               reg_param=s["reg_param"], blocks=blocks).fit(train)
     return _ALS[key]
 
 

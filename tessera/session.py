@@ -21,6 +21,22 @@ DEFAULT_CONF = {
 }
 
 
+# A starting point for a large cluster (hundreds of executors, ~100 TB of
+# input): many initial shuffle partitions that AQE coalesces to ~256 MB, skew
+# splitting of partitions 5x the median, 256 MB scan splits, and broadcasts
+# only below 64 MB measured at run time.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "tessera",
                   shuffle_partitions: int | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
