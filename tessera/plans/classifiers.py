@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics, models, split, tune
 from ..session import scratch_path
-from ..sources.files import (cast_strings, persisted, read_parquet, rename_positional, table,
-                             write_csv, write_parquet)
+from ..sources.files import (cast_strings, persisted, read_parquet, read_part, rename_positional,
+                             table, write_csv, write_parquet, write_parts)
 from ..sources.standins import collision_features
 
 SALT = "collision"
@@ -86,15 +86,28 @@ def parquet_round_trip(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+_PREPARED: dict = {}
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
     """Balanced rows, split by key hash, features assembled once (the assembler
-    is stateless, so it need not run inside every fold)."""
-    data = split.rebalance(features(spark, sf_dir), "vec_id", "label", SALT)
-    cols = feature_cols(data)
-    assembled = VectorAssembler(inputCols=cols, outputCol="features").transform(data) \
-        .select("vec_id", "label", "features")
-    train, test = split.hash_split(assembled, "vec_id", TRAIN_FRACTION, SALT + "-split")
-    return train, test, len(cols)
+    is stateless, so it need not run inside every fold). Both parts are
+    written together as parquet under the shared folder and read back per
+    part, so the searches read compact files, not the plan behind them."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _PREPARED:
+        data = split.rebalance(features(spark, sf_dir), "vec_id", "label", SALT)
+        cols = feature_cols(data)
+        assembled = VectorAssembler(inputCols=cols, outputCol="features").transform(data) \
+            .select("vec_id", "label", "features")
+        labelled = assembled.withColumn(
+            "part", F.when(split.hash_uniform("vec_id", SALT + "-split") < TRAIN_FRACTION, F.lit("train"))
+            .otherwise(F.lit("test")))
+        path = scratch_path(spark, "collision-parts")
+        write_parts(labelled, "part", path)
+        _PREPARED[key] = (path, len(cols))
+    path, width = _PREPARED[key]
+    return read_part(spark, path, "part", "train"), read_part(spark, path, "part", "test"), width
 
 
 def _estimator(name: str, n_features: int):

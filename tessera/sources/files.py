@@ -88,6 +88,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_parts(df: DataFrame, part_col: str, path: str) -> None:
+    """Write every part of a labelled split in one job, one folder per part."""
+    df.write.mode("overwrite").partitionBy(part_col).parquet(path)
+
+
+def read_part(spark: SparkSession, path: str, part_col: str, part: str) -> DataFrame:
+    """One part of a split written by ``write_parts``; the filter prunes folders."""
+    return spark.read.parquet(path).filter(F.col(part_col) == part).drop(part_col)
+
+
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Persist a reused result for the scope of a block, then release it."""
