@@ -45,11 +45,18 @@ def weighted_f1(df: DataFrame, label: str, prediction: str = "prediction",
     g = list(group_cols or [])
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     conf = df.groupBy(*g, y.alias("_y"), p.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
-    tp = conf.filter(F.col("_y") == F.col("_p")).select(*g, F.col("_y").alias("_cls"), F.col("_c").alias("tp"))
-    actual = conf.groupBy(*g, F.col("_y").alias("_cls")).agg(F.sum("_c").alias("n_actual"))
-    predicted = conf.groupBy(*g, F.col("_p").alias("_cls")).agg(F.sum("_c").alias("n_pred"))
-    per = actual.join(tp, g + ["_cls"], "left").join(predicted, g + ["_cls"], "left") \
-        .fillna(0, subset=["tp", "n_pred"])
+    # Each confusion cell counts once for its true class and once for its
+    # predicted class; one aggregate over the (tiny) cells gives per class
+    # the true positives, actual and predicted totals.
+    hit = F.when(F.col("_y") == F.col("_p"), F.col("_c")).otherwise(F.lit(0))
+    zero = F.lit(0).cast("bigint")
+    sides = F.array(
+        F.struct(F.col("_y").alias("cls"), F.col("_c").alias("a"), hit.alias("t"), zero.alias("p")),
+        F.struct(F.col("_p").alias("cls"), zero.alias("a"), zero.alias("t"), F.col("_c").alias("p")))
+    per = conf.select(*g, F.explode(sides).alias("s")) \
+        .groupBy(*g, F.col("s.cls").alias("_cls")) \
+        .agg(F.sum("s.a").alias("n_actual"), F.sum("s.t").alias("tp"), F.sum("s.p").alias("n_pred")) \
+        .filter(F.col("n_actual") > 0)
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(F.lit(0.0))
     rec = F.col("tp") / F.col("n_actual")
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
