@@ -202,7 +202,7 @@ f AS (
          CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS pr, tp / n_actual AS rc FROM per
 )
 SELECT round(SUM(n_actual * CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END) / SUM(n_actual), 6)
-       AS weighted_f1, SUM(n_actual) AS n
+       AS weighted_f1, CAST(SUM(n_actual) AS BIGINT) AS n
 FROM f"""
 
 _AUC = """
@@ -210,7 +210,8 @@ _AUC = """
           FROM scored GROUP BY 1),
 cum AS (SELECT np, nn, COALESCE(SUM(nn) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
         FROM per)
-SELECT round(SUM(np * (nb + nn / 2.0)) / (SUM(np) * SUM(nn)), 6) AS {name}, SUM(np) + SUM(nn) AS n FROM cum"""
+SELECT round(SUM(np * (nb + nn / 2.0)) / (SUM(np) * SUM(nn)), 6) AS {name},
+       CAST(SUM(np) + SUM(nn) AS BIGINT) AS n FROM cum"""
 
 SQL["auc_scores"] = _CLAIMS + _AUC.format(s="p", name="auc")
 SQL["auc_hard"] = _CLAIMS + _AUC.format(s="pred", name="auc_hard")

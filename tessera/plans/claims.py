@@ -52,6 +52,13 @@ def stratified_split(spark, sf_dir):
     return labelled.select("IDpol", "hasClaim", "part")
 
 
+def bernoulli_sample(spark, sf_dir, fraction: float = 0.1, seed: int = 23766):
+    """A seeded Bernoulli sample of the train part (sampling is the feature
+    here). Rows move with partitioning; each row is kept independently."""
+    train, _ = train_test(spark, sf_dir)
+    return split.seeded_sample(train, fraction, seed).select("IDpol", "ClaimNb", "hasClaim")
+
+
 def set_difference(spark, sf_dir):
     """All rows minus the train rows (distinct): the test part, as the original."""
     data = claims(spark, sf_dir)
@@ -218,6 +225,7 @@ def fit_claim_models(spark, sf_dir, folds: int = 3, parallelism: int = 4):
                                                  handle_invalid="keep")).fit(train)
     cols = ["IDpol", "ClaimNb", "hasClaim", "features"]
     tr, te = layout.transform(train).select(cols), layout.transform(test).select(cols)
+
     def one(spec):
         name, est, ev = spec
         scaler = StandardScaler(inputCol="features", outputCol="scaledFeatures",

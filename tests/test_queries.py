@@ -76,3 +76,11 @@ def test_user_clusters_sizes(spark):
 def test_classifiers_beat_nothing_worse_than_chance(spark):
     rows = E.queries()["forest"](spark, SF_SMALL).collect()
     assert len(rows) == 1 and 0 <= rows[0]["accuracy"] <= 1 and 0 <= rows[0]["auc"] <= 1
+
+
+def test_bernoulli_sample_is_a_subset_of_train(spark):
+    sample = E.queries()["bernoulli_sample"](spark, SF_SMALL)
+    train = E.queries()["stratified_split"](spark, SF_SMALL).filter("part = 'train'")
+    n, n_train = sample.count(), train.count()
+    assert 0 < n < n_train
+    assert sample.join(train, "IDpol", "left_anti").count() == 0
