@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.logparse import day_of, hour_of
+from ..session import checkpointed
 from .ranking import top_k
 from .rollup import COUNTRIES, country_spine, with_country
 
@@ -23,7 +24,7 @@ def busiest_host_grid(logs: DataFrame, countries: dict[str, str] | None = None)
     One scan: requests are counted per (country, host, day, hour), with null
     day / hour for times that do not parse; host totals, the busiest host and
     the grid all come from that aggregate (at most hosts x 745 rows per
-    country), so its shuffle is shared and no raw row is read twice.
+    country), which is checkpointed so no raw row is read twice.
     Day and hour are read from the log text by position (the log's own clock).
     """
     countries = countries or COUNTRIES
@@ -33,6 +34,7 @@ def busiest_host_grid(logs: DataFrame, countries: dict[str, str] | None = None)
         "country_code", "host",
         F.when(slot_ok, day_of(ts)).alias("day"), F.when(slot_ok, hour_of(ts)).alias("hour")) \
         .groupBy("country_code", "host", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+    slots = checkpointed(slots)
     totals = slots.groupBy("country_code", "host").agg(F.sum("n").alias("total"))
     busiest = top_k(totals, ["country_code"], [F.col("total").desc(), F.col("host").asc()], 1) \
         .select("country_code", "host")

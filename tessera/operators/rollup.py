@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.logparse import country_of
+from ..session import checkpointed
 from .ranking import top_k
 
 # The countries the original analysis reports, by host suffix.
@@ -68,10 +69,11 @@ def host_share_rest(logs: DataFrame, k: int = 9, countries: dict[str, str] | Non
     """Top-k hosts per country plus a ``Rest`` row (rank k+1) with every other
     request, each as a percentage of the country's requests.
 
-    Totals come from the same host counts as the ranking (one scan; the
-    aggregate's shuffle is reused by both branches)."""
+    Totals come from the same host counts as the ranking. Those counts (a
+    row per host, far fewer than requests) are checkpointed, so the log is
+    scanned once although four branches read them."""
     countries = countries or COUNTRIES
-    counts = host_counts(logs, countries)
+    counts = checkpointed(host_counts(logs, countries))
     names = country_spine(logs.sparkSession, countries)
     top = top_k(counts, ["country_code"], [F.col("count").desc(), F.col("host").asc()], k) \
         .select("country_code", "rank", "host", "count")

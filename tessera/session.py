@@ -103,3 +103,11 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFram
         ensure_checkpoint_dir(spark)
         _MATERIALIZED[key] = build().checkpoint(eager=True)
     return _MATERIALIZED[key]
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut a result that several branches of one plan read: written once to
+    the shared folder (reliable checkpoint), then every branch reads the
+    files instead of recomputing the plan behind them."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
