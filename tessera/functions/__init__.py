@@ -1 +1 @@
-
+"""Column-expression functions (log line parsing)."""

@@ -1 +1 @@
-
+"""The four analyses as functions (spark, sf_dir) -> DataFrame, one per registered query."""

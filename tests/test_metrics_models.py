@@ -64,3 +64,17 @@ def test_best_params_honours_direction(spark):
               "std_metric double, larger_is_better boolean")
     best = {r["model"]: r["params"] for r in tune.best_params(spark.createDataFrame(rows, schema)).collect()}
     assert best == {"m": "a=2", "n": "b=2"}
+
+
+def test_poisson_offset_recovers_rate(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+    from tessera.operators import models
+    # counts = exposure x rate, rate 0.5 for x=0 and 2.0 for x=1
+    rows = [(float(x), float(e), float(e * (2.0 if x else 0.5))) for x in (0, 1) for e in (2, 4, 6, 8)]
+    df = spark.createDataFrame(rows, "x double, exposure double, y double") \
+        .withColumn("log_exposure", F.log("exposure"))
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    m = models.poisson_glm("y", offset="log_exposure").fit(df)
+    assert abs(m.intercept - __import__("math").log(0.5)) < 1e-4
+    assert abs(m.coefficients[0] - __import__("math").log(4.0)) < 1e-4
