@@ -41,6 +41,16 @@ ORDER BY try_strptime("timestamp", '%d/%b/%Y:%H:%M:%S %z') NULLS LAST, host, "ti
          "HTTP reply code", "bytes in the reply"
 LIMIT 20"""
 
+SQL["country_preview"] = _LOGS + """
+, p AS (
+  SELECT host, "timestamp", request, "HTTP reply code", "bytes in the reply", country_code,
+         CAST(row_number() OVER (PARTITION BY country_code
+              ORDER BY try_strptime("timestamp", '%d/%b/%Y:%H:%M:%S %z') NULLS LAST, host, "timestamp", request,
+                       "HTTP reply code", "bytes in the reply") AS INTEGER) AS rank
+  FROM clogs
+)
+SELECT * FROM p WHERE rank <= 5"""
+
 SQL["log_time"] = _LOGS + """
 SELECT host, "timestamp",
        TRY_CAST(substr("timestamp", 1, 2) AS INTEGER) AS day,

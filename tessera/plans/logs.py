@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.logparse import day_of, hour_of, log_time_of, parse_access_log
 from ..operators import calendar, rollup
+from ..operators.ranking import top_k
 from ..session import scratch_path
 from ..sources.files import read_text_lines, table, write_text_lines
 from ..sources.standins import access_log_lines
@@ -54,6 +55,14 @@ def log_preview(spark, sf_dir, n: int = 20):
     return logs.orderBy(log_time_of(F.col("timestamp")).asc_nulls_last(), *logs.columns).limit(n)
 
 
+def country_preview(spark, sf_dir, n: int = 5):
+    """First n parsed rows of each country by log time (then every column)."""
+    logs = rollup.with_country(parsed_log(spark, sf_dir))
+    order = [log_time_of(F.col("timestamp")).asc_nulls_last()] + \
+        [F.col(f"`{c}`").asc() for c in logs.columns if c != "country_code"]
+    return top_k(logs, ["country_code"], order, n)
+
+
 def log_time(spark, sf_dir):
     """Day and hour by position, and the true UTC instant as epoch seconds."""
     logs = parsed_log(spark, sf_dir)
