@@ -39,7 +39,7 @@ def write_text_lines(df: DataFrame, path: str, column: str = "value",
         .option("compression", compression).text(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              header: bool = True) -> DataFrame:
     """CSV with a header. Pass a schema: inference costs a full extra pass."""
     reader = spark.read.option("header", header)
