@@ -84,3 +84,17 @@ def test_bernoulli_sample_is_a_subset_of_train(spark):
     n, n_train = sample.count(), train.count()
     assert 0 < n < n_train
     assert sample.join(train, "IDpol", "left_anti").count() == 0
+
+
+def test_claim_models_properties(spark):
+    rows = {r["model"]: r for r in E.queries()["claim_models"](spark, SF_SMALL).collect()}
+    assert set(rows) == {"poisson", "logistic_l1", "logistic_l2"}
+    for r in rows.values():
+        assert r["reg_param"] in (0.001, 0.01, 0.1, 1.0, 10.0)
+        assert 0.5 <= r["base_rate"] <= 1.0
+    assert rows["poisson"]["rmse"] > 0 and rows["poisson"]["auc"] is None
+    for name in ("logistic_l1", "logistic_l2"):
+        assert 0 <= rows[name]["auc"] <= 1 and 0 <= rows[name]["accuracy"] <= 1
+    assert rows["logistic_l1"]["n_nonzero"] <= rows["logistic_l1"]["n_coefficients"]
+    grid = E.queries()["claim_grid"](spark, SF_SMALL)
+    assert grid.count() == 15 and grid.select("model").distinct().count() == 3
