@@ -72,3 +72,18 @@ def test_rebalance_shrinks_majority(spark):
     df = spark.createDataFrame([(i, 1.0 if i < 300 else 0.0) for i in range(1000)], "k long, label double")
     counts = {r["label"]: r["count"] for r in split.rebalance(df, "k", "label").groupBy("label").count().collect()}
     assert counts[1.0] == 300 and 200 < counts[0.0] < 400
+
+
+def test_percent_rank_empty_and_all_null(spark):
+    empty = spark.createDataFrame([], "id long, t int")
+    assert ranking.percent_rank(empty, "t").count() == 0
+    nulls = spark.createDataFrame([(1, None), (2, None)], "id long, t int")
+    assert [r["percent_rank"] for r in ranking.percent_rank(nulls, "t").collect()] == [0.0, 0.0]
+
+
+def test_prefix_totals_nan_sorts_last(spark):
+    rows = [(float("nan"), 1), (1.0, 1), (2.0, 1), (None, 1)]
+    df = spark.createDataFrame(rows, "k double, v long")
+    got = {("nan" if r["k"] != r["k"] else r["k"]): r["v_before"]
+           for r in ranking.prefix_totals(df, "k", ["v"], ranges=3).collect()}
+    assert got == {None: 0, 1.0: 1, 2.0: 2, "nan": 3}
