@@ -4,6 +4,7 @@ grid search with cross-validation, scores on held-out rows."""
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -135,14 +136,19 @@ def tune_models(spark, sf_dir, names=("random_forest", "gbt", "perceptron"), gri
     """Cross-validate each model on the train part by weighted F1 (the
     multiclass evaluator's default), refit the best, score the test part."""
     grids = grids or QUERY_GRIDS
-    out = []
-    for name in names:
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name,
-               repr(grids[name]), folds)
-        if key not in _TUNED:
-            _TUNED[key] = _tune_one(spark, sf_dir, name, grids[name], folds, parallelism)
-        out.append(_TUNED[key])
-    return out
+
+    def key(name):
+        return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, repr(grids[name]), folds)
+
+    todo = [n for n in names if key(n) not in _TUNED]
+    if todo:
+        prepared(spark, sf_dir)  # write the parts once before the searches start
+        # Independent searches of many short jobs each: run them together.
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            done = pool.map(lambda n: _tune_one(spark, sf_dir, n, grids[n], folds, parallelism), todo)
+            for n, result in zip(todo, done):
+                _TUNED[key(n)] = result
+    return [_TUNED[key(n)] for n in names]
 
 
 def _tune_one(spark, sf_dir, name, axes, folds, parallelism):
