@@ -73,8 +73,29 @@ def host_share_rest(logs: DataFrame, k: int = 9, countries: dict[str, str] | Non
     row per host, far fewer than requests) are checkpointed, so the log is
     scanned once although four branches read them."""
     countries = countries or COUNTRIES
-    counts = checkpointed(host_counts(logs, countries))
-    names = country_spine(logs.sparkSession, countries)
+    return shares_from_counts(checkpointed(host_counts(logs, countries)), k, countries)
+
+
+def requests_from_counts(counts: DataFrame, countries: dict[str, str] | None = None) -> DataFrame:
+    """Requests per requested country from ``host_counts`` (0 when none)."""
+    countries = countries or COUNTRIES
+    per = counts.groupBy("country_code").agg(F.sum("count").alias("requests"))
+    return country_spine(counts.sparkSession, countries).join(per, "country_code", "left") \
+        .select("country_code", "country", F.coalesce("requests", F.lit(0)).alias("requests"))
+
+
+def unique_from_counts(counts: DataFrame, countries: dict[str, str] | None = None) -> DataFrame:
+    """Distinct hosts per requested country from ``host_counts`` (a row per host)."""
+    countries = countries or COUNTRIES
+    per = counts.groupBy("country_code").agg(F.count(F.lit(1)).alias("unique_hosts"))
+    return country_spine(counts.sparkSession, countries).join(per, "country_code", "left") \
+        .select("country_code", "country", F.coalesce("unique_hosts", F.lit(0)).alias("unique_hosts"))
+
+
+def shares_from_counts(counts: DataFrame, k: int = 9, countries: dict[str, str] | None = None) -> DataFrame:
+    """Top-k shares and the Rest row from ``host_counts``."""
+    countries = countries or COUNTRIES
+    names = country_spine(counts.sparkSession, countries)
     top = top_k(counts, ["country_code"], [F.col("count").desc(), F.col("host").asc()], k) \
         .select("country_code", "rank", "host", "count")
     totals = counts.groupBy("country_code").agg(F.sum("count").alias("requests"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.logparse import day_of, hour_of, log_time_of, parse_access_log
 from ..operators import calendar, rollup
 from ..operators.ranking import top_k
-from ..session import scratch_path
+from ..session import checkpointed, scratch_path
 from ..sources.files import read_text_lines, table, write_text_lines
 from ..sources.standins import access_log_lines
 
@@ -93,14 +93,17 @@ def busiest_host_grid(spark, sf_dir):
 
 def chart_series(spark, sf_dir):
     """Chart-ready tidy rows ``(series, x, y)``: requests and unique hosts by
-    country, host shares, and the busiest hosts' day-hour activity."""
+    country, host shares, and the busiest hosts' day-hour activity. The first
+    three come from one checkpointed host-count table; the grid has its own
+    (country, host, day, hour) counts: two scans of the log in all."""
     logs = parsed_log(spark, sf_dir)
-    req = rollup.country_requests(logs).select(
+    counts = checkpointed(rollup.host_counts(logs))
+    req = rollup.requests_from_counts(counts).select(
         F.lit("requests").alias("series"), F.col("country").alias("x"), F.col("requests").cast("double").alias("y"))
-    uniq = rollup.country_unique_hosts(logs).select(
+    uniq = rollup.unique_from_counts(counts).select(
         F.lit("unique_hosts").alias("series"), F.col("country").alias("x"),
         F.col("unique_hosts").cast("double").alias("y"))
-    share = rollup.host_share_rest(logs).select(
+    share = rollup.shares_from_counts(counts).select(
         F.concat(F.lit("share:"), F.col("country")).alias("series"), F.col("host").alias("x"),
         F.col("percent").alias("y"))
     grid = calendar.busiest_host_grid(logs).select(
