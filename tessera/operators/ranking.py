@@ -116,3 +116,13 @@ def percent_rank(df: DataFrame, key: str, out_col: str = "percent_rank",
     ranks = ranks.select(F.col(key).alias("_rank_key"), pr.alias(out_col))
     joined = df.join(ranks, df[key].eqNullSafe(ranks["_rank_key"]))
     return joined.drop("_rank_key")
+
+
+def dense_index(df: DataFrame, col: str, out_col: str) -> DataFrame:
+    """``(col, out_col)``: a contiguous 0-based int for each distinct non-null
+    value, in value order, computed with the distributed prefix totals (no
+    driver-side numbering, no single task). For keys that must fit in int,
+    such as matrix-factorisation ids over bigint keys."""
+    ids = df.select(F.col(col)).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
+    numbered = prefix_totals(ids, col, ["_one"])
+    return numbered.select(col, F.col("_one_before").cast("int").alias(out_col))

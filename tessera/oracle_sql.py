@@ -233,7 +233,7 @@ WITH pairs AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2
 ),
 ratings AS (
-  SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
+  SELECT CAST(o_custkey AS BIGINT) AS userId, CAST(l_partkey AS BIGINT) AS movieId,
          q / (CAST(n AS DOUBLE) * 10.0) AS rating, CAST(epoch(d) AS BIGINT) AS "timestamp"
   FROM pairs
 ),
@@ -242,7 +242,7 @@ splits(split) AS (VALUES (0.4::DOUBLE), (0.6::DOUBLE), (0.8::DOUBLE)),
 train AS (SELECT s.split, r.* FROM ranked r JOIN splits s ON r.percent_rank < s.split),
 seg AS (SELECT c_mktsegment AS cluster, COUNT(*) AS n FROM customer GROUP BY 1),
 members AS (
-  SELECT CAST(c_custkey AS INTEGER) AS id FROM customer
+  SELECT CAST(c_custkey AS BIGINT) AS id FROM customer
   WHERE c_mktsegment = (SELECT cluster FROM seg ORDER BY n DESC, cluster ASC LIMIT 1)
 ),
 liked AS (
@@ -251,7 +251,7 @@ liked AS (
   GROUP BY 1, 2 HAVING AVG(rating) >= 4
 ),
 movies AS (
-  SELECT CAST(p_partkey AS INTEGER) AS movieId,
+  SELECT CAST(p_partkey AS BIGINT) AS movieId,
          array_to_string(CASE WHEN p_size >= 45
                               THEN string_split(p_name, ' ') || [p_type] || [string_split(p_name, ' ')[1]]
                               ELSE string_split(p_name, ' ') || [p_type] END, '|') AS genres
@@ -361,7 +361,7 @@ SELECT CAST(vec_id AS DOUBLE) AS vec_id, CAST(label >= 5 AS DOUBLE) AS label, {_
 
 SQL["tag_indicators"] = """
 WITH movies AS (
-  SELECT CAST(p_partkey AS INTEGER) AS movieId,
+  SELECT CAST(p_partkey AS BIGINT) AS movieId,
          array_to_string(CASE WHEN p_size >= 45
                               THEN string_split(p_name, ' ') || [p_type] || [string_split(p_name, ' ')[1]]
                               ELSE string_split(p_name, ' ') || [p_type] END, '|') AS genres

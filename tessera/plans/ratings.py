@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import metrics, models, segments, split, tags
+from ..operators import metrics, models, ranking, segments, split, tags
 from ..session import ensure_checkpoint_dir, materialized
 from ..sources.files import table
 from ..sources.standins import movies_table, ratings_table, segments_table
@@ -83,8 +83,20 @@ def tag_indicators(spark, sf_dir):
 _ALS: dict = {}
 
 
+def _index(spark, sf_dir, col: str, out_col: str) -> DataFrame:
+    """Dense int index of a bigint key, built once per application."""
+    return materialized(spark, f"index-{col}", sf_dir,
+                        lambda: ranking.dense_index(ratings(spark, sf_dir), col, out_col))
+
+
 def _ranked_input(spark, sf_dir) -> DataFrame:
-    return ranked(spark, sf_dir).select("userId", "movieId", "rating", "percent_rank")
+    """Ranked ratings with int user / item indices for the factorisation
+    (ALS needs int ids; the keys are bigint). Built once per application."""
+    def build():
+        base = ranked(spark, sf_dir).select("userId", "movieId", "rating", "percent_rank")
+        return base.join(_index(spark, sf_dir, "userId", "user"), "userId") \
+            .join(_index(spark, sf_dir, "movieId", "item"), "movieId")
+    return materialized(spark, "als-input", sf_dir, build)
 
 
 def als_model(spark, sf_dir, fraction: float, setting: str):
@@ -97,8 +109,9 @@ def als_model(spark, sf_dir, fraction: float, setting: str):
         train, _ = split.time_split(_ranked_input(spark, sf_dir), fraction)
         ensure_checkpoint_dir(spark)
         blocks = max(10, spark.sparkContext.defaultParallelism)
-        _ALS[key] = models.als(seed=SEED, rank=s["rank"], max_iter=s["max_iter"],
-                               reg_param=s["reg_param"], blocks=blocks).fit(train)
+        _ALS[key] = models.als(user="user", item="item", seed=SEED, rank=s["rank"],
+                               max_iter=s["max_iter"], reg_param=s["reg_param"],
+                               blocks=blocks).fit(train)
     return _ALS[key]
 
 
@@ -140,9 +153,15 @@ def _split_clusters(spark, sf_dir, setting: str = "setting2"):
     if key in _CLUSTERS:
         return _CLUSTERS[key]
 
+    users = _index(spark, sf_dir, "userId", "user")
+
     def one(f):
         factors = als_model(spark, sf_dir, f, setting).userFactors
-        return segments.cluster_factors(factors, CLUSTERS, SEED).withColumn("split", F.lit(f))
+        clusters = segments.cluster_factors(factors, CLUSTERS, SEED)
+        # Factor ids are the dense indices: map them back to the user keys.
+        keyed = clusters.join(users, clusters["id"] == users["user"]) \
+            .select(F.col("userId").alias("id"), "cluster")
+        return keyed.withColumn("split", F.lit(f))
 
     with ThreadPoolExecutor(max_workers=len(FRACTIONS)) as pool:
         parts = list(pool.map(one, FRACTIONS))

@@ -27,7 +27,7 @@ def access_log_lines(events: DataFrame) -> DataFrame:
     suffix = F.element_at(F.array(*[F.lit(s) for s in LOG_SUFFIXES]),
                           (F.pmod(F.col("user_id"), F.lit(len(LOG_SUFFIXES))) + 1).cast("int"))
     host = F.concat(F.lit("h"), F.col("user_id").cast("string"), F.lit("."), suffix)
-    user = F.when(F.get_json_object("props", "$.k").cast("int") == 0, F.lit("bob")).otherwise(F.lit("-"))
+    user = F.when(F.get_json_object("props", "$.k").try_cast("int") == 0, F.lit("bob")).otherwise(F.lit("-"))
     when_text = F.concat(F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(LOG_ZONE_TEXT))
     request = F.concat(F.lit("GET /"), F.col("event_type"), F.lit(" HTTP/1.0"))
     status = F.when(F.col("event_type") == "error", F.lit("404")).otherwise(F.lit("200"))
@@ -64,13 +64,14 @@ def collision_features(embeddings: DataFrame, width: int | None = None) -> DataF
     ``label`` = 1.0 when the class is 5 or more; features ``x0..x{width-1}``.
     """
     n = width if width is not None else 64
-    cols = [F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(n)]
+    cols = [F.get(F.col("embedding"), i).cast("double").alias(f"x{i}") for i in range(n)]
     return embeddings.select(F.col("vec_id"),
                              (F.col("label") >= 5).cast("double").alias("label"), *cols)
 
 
 def ratings_table(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """One rating per (user, item): user = customer, item = part.
+    """One rating per (user, item): user = customer, item = part (keys stay
+    bigint; the factorisation re-indexes them densely to int).
 
     rating = mean of ``l_quantity / 10`` over the pair's lines (summed as whole
     quantities so every engine gets the same double); timestamp = the pair's
@@ -84,8 +85,8 @@ def ratings_table(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
             F.max("o_orderdate").alias("last_date"))
     epoch = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', last_date)")
     return pairs.select(
-        F.col("o_custkey").cast("int").alias("userId"),
-        F.col("l_partkey").cast("int").alias("movieId"),
+        F.col("o_custkey").alias("userId"),
+        F.col("l_partkey").alias("movieId"),
         (F.col("q") / (F.col("n") * 10.0)).alias("rating"),
         epoch.alias("timestamp"))
 
@@ -100,12 +101,12 @@ def movies_table(part: DataFrame) -> DataFrame:
     tags = F.when(F.col("p_size") >= 45,
                   F.concat(words, F.array(F.col("p_type")), F.slice(words, 1, 1))) \
         .otherwise(F.concat(words, F.array(F.col("p_type"))))
-    return part.select(F.col("p_partkey").cast("int").alias("movieId"),
+    return part.select(F.col("p_partkey").alias("movieId"),
                        F.col("p_name").alias("title"),
                        F.array_join(tags, "|").alias("genres"))
 
 
 def segments_table(customer: DataFrame) -> DataFrame:
     """A deterministic user segmentation: the customer's market segment."""
-    return customer.select(F.col("c_custkey").cast("int").alias("id"),
+    return customer.select(F.col("c_custkey").alias("id"),
                            F.col("c_mktsegment").alias("cluster"))

@@ -87,3 +87,10 @@ def test_prefix_totals_nan_sorts_last(spark):
     got = {("nan" if r["k"] != r["k"] else r["k"]): r["v_before"]
            for r in ranking.prefix_totals(df, "k", ["v"], ranges=3).collect()}
     assert got == {None: 0, 1.0: 1, 2.0: 2, "nan": 3}
+
+
+def test_dense_index_contiguous_in_value_order(spark):
+    big = 3_000_000_000  # beyond int: the case the index exists for
+    df = spark.createDataFrame([(big + 7,), (big + 7,), (5,), (big,), (None,)], "k long")
+    got = sorted((r["k"], r["i"]) for r in ranking.dense_index(df, "k", "i").collect())
+    assert got == [(5, 0), (big, 1), (big + 7, 2)]
