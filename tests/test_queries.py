@@ -8,6 +8,7 @@ import __spark_entry__ as E
 from conftest import SF_ORACLE, SF_SMALL
 
 EXACT = sorted(E.oracle_sql())
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 def _norm(v):
@@ -28,6 +29,10 @@ def test_exact_against_duckdb(spark, duck, name):
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {c: _SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    rel = duck.sql(E.oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
     assert _rows([tuple(r) for r in df.collect()], df.columns) == _rows(orows, ocols)
 
 
