@@ -33,7 +33,7 @@ REFERENCE_GRIDS = {
 QUERY_GRIDS = {
     "random_forest": {"maxDepth": [5, 10], "numTrees": [5, 10]},
     "gbt": {"maxDepth": [1, 5], "maxIter": [10, 20]},
-    "perceptron": {"layers": [(5, 4), (6, 5)]},
+    "perceptron": {"maxIter": [100, 150], "layers": [(5, 4), (6, 5)]},
 }
 FOLDS = 3
 
