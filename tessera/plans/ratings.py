@@ -83,6 +83,22 @@ def tag_indicators(spark, sf_dir):
 _ALS: dict = {}
 
 
+_INT_MAX = 2**31 - 1
+_FITS_INT: dict = {}
+
+
+def _keys_fit_int(spark, sf_dir) -> bool:
+    """Whether every user and item key is already a non-negative int (one
+    bounded aggregate decides). If so the factorisation uses the keys as they
+    are; otherwise it works on dense indices."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _FITS_INT:
+        b = ratings(spark, sf_dir).agg(F.min("userId"), F.max("userId"),
+                                       F.min("movieId"), F.max("movieId")).first()
+        _FITS_INT[key] = all(v is None or 0 <= v <= _INT_MAX for v in b)
+    return _FITS_INT[key]
+
+
 def _index(spark, sf_dir, col: str, out_col: str) -> DataFrame:
     """Dense int index of a bigint key, built once per application."""
     return materialized(spark, f"index-{col}", sf_dir,
@@ -90,15 +106,27 @@ def _index(spark, sf_dir, col: str, out_col: str) -> DataFrame:
 
 
 def _ranked_input(spark, sf_dir) -> DataFrame:
-    """Ranked ratings with int user / item indices for the factorisation
-    (ALS needs int ids; the keys are bigint). Built once per application."""
+    """Ranked ratings with int user / item ids for the factorisation (ALS
+    needs int ids; the keys are bigint). Built once per application."""
     def build():
         base = ranked(spark, sf_dir).select("userId", "movieId", "rating", "percent_rank")
+        if _keys_fit_int(spark, sf_dir):
+            return base.withColumn("user", F.col("userId").cast("int")) \
+                .withColumn("item", F.col("movieId").cast("int"))
         return base.join(_index(spark, sf_dir, "userId", "user"), "userId") \
             .join(_index(spark, sf_dir, "movieId", "item"), "movieId")
     return materialized(spark, "als-input", sf_dir, build)
 
 
+def _factor_keys(spark, sf_dir, factors: DataFrame) -> DataFrame:
+    """Factor rows keyed by the original user key instead of the ALS id."""
+    if _keys_fit_int(spark, sf_dir):
+        return factors.withColumn("id", F.col("id").cast("bigint"))
+    users = _index(spark, sf_dir, "userId", "user")
+    return factors.join(users, factors["id"] == users["user"]) \
+        .select(F.col("userId").alias("id"), "features")
+
+
 def als_model(spark, sf_dir, fraction: float, setting: str):
     """The factorisation of one split's training ratings under one setting.
     Seeded, so it is fitted once per application and shared by the error
@@ -153,15 +181,11 @@ def _split_clusters(spark, sf_dir, setting: str = "setting2"):
     if key in _CLUSTERS:
         return _CLUSTERS[key]
 
-    users = _index(spark, sf_dir, "userId", "user")
+    _ranked_input(spark, sf_dir)  # build the shared input before the threads start
 
     def one(f):
-        factors = als_model(spark, sf_dir, f, setting).userFactors
-        clusters = segments.cluster_factors(factors, CLUSTERS, SEED)
-        # Factor ids are the dense indices: map them back to the user keys.
-        keyed = clusters.join(users, clusters["id"] == users["user"]) \
-            .select(F.col("userId").alias("id"), "cluster")
-        return keyed.withColumn("split", F.lit(f))
+        factors = _factor_keys(spark, sf_dir, als_model(spark, sf_dir, f, setting).userFactors)
+        return segments.cluster_factors(factors, CLUSTERS, SEED).withColumn("split", F.lit(f))
 
     with ThreadPoolExecutor(max_workers=len(FRACTIONS)) as pool:
         parts = list(pool.map(one, FRACTIONS))

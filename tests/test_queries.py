@@ -103,3 +103,31 @@ def test_claim_models_properties(spark):
     assert rows["logistic_l1"]["n_nonzero"] <= rows["logistic_l1"]["n_coefficients"]
     grid = E.queries()["claim_grid"](spark, SF_SMALL)
     assert grid.count() == 15 and grid.select("model").distinct().count() == 3
+
+
+def test_factorisation_on_dense_indices(spark):
+    """Force the path taken when keys exceed int: ALS on dense indices, user
+    factors mapped back to the keys."""
+    import os
+
+    from tessera import session
+    from tessera.plans import ratings
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(SF_SMALL))
+
+    def reset():
+        ratings._ALS.clear()
+        ratings._CLUSTERS.clear()
+        ratings._FITS_INT.pop(key, None)
+        session._MATERIALIZED.pop((key[0], "als-input", key[1]), None)
+
+    reset()
+    ratings._FITS_INT[key] = False
+    try:
+        clusters = ratings._split_clusters(spark, SF_SMALL)
+        users = {r["userId"] for r in ratings.ratings(spark, SF_SMALL).select("userId").distinct().collect()}
+        ids = {r["id"] for r in clusters.select("id").distinct().collect()}
+        assert ids and ids <= users
+        assert len(E.queries()["als_errors"](spark, SF_SMALL).collect()) == 6
+    finally:
+        reset()
