@@ -15,7 +15,7 @@ SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
 
 KEY_BITS = 60
-ROWS_PER_RANGE = 4096
+ROWS_PER_RANGE = 512
 MAX_RANGES = 4096
 
 
