@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, quality, sharding, toxicity
+from . import exact_dedup, line_dedup, mixing, packing, quality, sharding, toxicity
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", F.col("dedup.n_lines").cast("bigint").alias("n_lines"),
@@ -38,6 +42,7 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_packing": op3_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_source_mix": op7_source_mix,
