@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, packing, quality, sharding, toxicity
+from . import exact_dedup, line_dedup, mixing, ngram_join, packing, quality, sharding, toxicity
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_source_mix": op7_source_mix,
+    "op8_ngram_join": op8_ngram_join,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
 }
