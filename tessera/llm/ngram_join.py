@@ -40,11 +40,11 @@ from .graph import components
 
 SHINGLE = 5
 SIMILARITY = (80, 100)
-FREQUENT = 32  # documents of a shingle, as summed from counts of 2 and more per batch
+FREQUENT = 8  # documents of a shingle, as summed from counts of 2 and more per batch
 MAX_FREQUENT = 1_000_000  # frequent shingles put last; which ones only moves cost
 MAX_SMALL = 12
-CELL = 2000  # sets per block of a cluster
-COUNT_BATCH = 2_000_000
+CELL = 500  # sets per block of a cluster
+COUNT_BATCH = 8_000_000
 
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                    0x85EBCA77C2B2AE63], dtype=np.uint64)  # odd multipliers, one per word place
