@@ -340,7 +340,8 @@ def similar_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY)
     hot = stored(clustered.select("node", F.explode("frequent").alias("token")), "op8-frequent")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))) \
         .unionByName(hot.select("node")).distinct()
-    full = stored(texts.join(wanted, texts["doc_id"] == wanted["node"]).select("node", "text").distinct()
+    # The wanted ids grow with the corpus, so they are never broadcast.
+    full = stored(texts.join(wanted.hint("merge"), texts["doc_id"] == wanted["node"]).select("node", "text").distinct()
                   .mapInPandas(_full_sets, "node long, shingles binary"), "op8-full")
     links = stored(_links(pairs, full, t), "op8-links")
     if not hot.isEmpty():
