@@ -18,7 +18,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     in the longest chain.
     """
     pairs = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    pairs, before = stored(pairs, "edges"), None
+    pairs = stored(pairs, "edges")
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -27,11 +27,12 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        state = pairs.agg(F.count(F.lit(1)).alias("n"),
-                          F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
+        # Done when every node but a root has one edge, and that to a root.
+        ends = pairs.select("u", F.lit(1).alias("edges"), F.lit(False).alias("root")) \
+            .unionByName(pairs.select(F.col("v").alias("u"), F.lit(0).alias("edges"), F.lit(True).alias("root"))) \
+            .groupBy("u").agg(F.sum("edges").alias("edges"), F.max("root").alias("root"))
+        if ends.where("edges > 1 or (edges = 1 and root)").isEmpty():
             break
-        before = state
     roots = pairs.select("v").distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")) \
         .unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("component")))

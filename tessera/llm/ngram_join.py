@@ -12,10 +12,10 @@ link only if they share at least c(a, b) = ceil(t (a + b) / (1 + t)) shingles.
   with themselves and shared entries counted; the count bounds the overlap,
   so most pairs end there.
 * Lists of frequent shingles are only reached by sets made of little else
-  (groups of near copies). They are not paired up: the sets that share such
-  lists form a cluster, each is compared with the cluster's most typical set,
-  and only those that did not link to it scan the lists of the whole cluster,
-  in blocks.
+  (groups of near copies). They are not paired up: each set is compared with
+  the most typical set of each of its lists (the one richest in frequent
+  shingles), and only those that did not link to it scan the sets that have
+  this head in common, in blocks.
 
 Candidates are checked on the full sets. Sets that are equal are one class
 from the start. Shingles are 64-bit hashes: two different shingles of a
@@ -43,7 +43,7 @@ SIMILARITY = (80, 100)
 FREQUENT = 8  # documents of a shingle, as summed from counts of 2 and more per batch
 MAX_FREQUENT = 1_000_000  # frequent shingles put last; which ones only moves cost
 MAX_SMALL = 12
-CELL = 500  # sets per block of a cluster
+CELL = 500  # sets per block of a list group
 COUNT_BATCH = 8_000_000
 
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -226,8 +226,10 @@ def _prefix(n: Column, t: tuple[int, int]) -> Column:
 
 
 def _scan_cells(t: tuple[int, int]):
-    """Links between left-over sets and members of one block of their cluster:
-    the members' inverted lists are scanned shingle by shingle, counting."""
+    """Links between left-over sets and members of one block of their list
+    group: the members' inverted lists are scanned shingle by shingle, counting.
+    Members tied to the group's head are connected already, so a left-over set
+    reports one of them; other left-over sets are all reported."""
     def scan(probes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(probes) and len(members):
@@ -236,48 +238,45 @@ def _scan_cells(t: tuple[int, int]):
             tokens = np.concatenate(arrays)
             order = np.argsort(tokens, kind="stable")
             tokens, owner = tokens[order], np.repeat(np.arange(len(arrays)), size)[order]
-            node, comp = members["node"].to_numpy(), members["component"].to_numpy()
+            node, tied = members["node"].to_numpy(), members["tied"].to_numpy(dtype=bool)
             for p in probes.itertuples(index=False):
                 s = np.frombuffer(p.shingles, dtype=U64)
                 lo, hi = np.searchsorted(tokens, s, "left"), np.searchsorted(tokens, s, "right")
                 lists = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange((hi - lo).sum())
                 both = np.bincount(owner[lists], minlength=len(arrays))
-                hit = (t[1] * both >= t[0] * (len(s) + size - both)) & (comp != p.component)
-                found += [(p.node, int(x)) for x in node[hit]]
+                hit = t[1] * both >= t[0] * (len(s) + size - both)
+                found += [(p.node, int(x)) for x in node[hit & tied][:1]]
+                found += [(p.node, int(x)) for x in node[hit & ~tied & (node > p.node)]]
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return scan
 
 
-def _cluster_links(entries: DataFrame, known: DataFrame, sets: DataFrame, info: DataFrame,
-                   t: tuple[int, int]) -> DataFrame:
+def _frequent_links(entries: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     """Links among sets that share lists of frequent shingles (``entries``:
-    ``node, token``), given the links ``known``."""
-    heads = entries.groupBy("token").agg(F.min("node").alias("head"))
-    clusters = stored(components(entries.join(heads, "token").select("node", "head"), "node", "head"), "op8-clusters")
-    members = clusters.join(info, "node").select("node", "n", "typical", F.col("component").alias("cluster"))
-    centre = members.groupBy("cluster").agg(F.max(F.struct("typical", "n", "node")).alias("c")) \
-        .select("cluster", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"))
-    star = members.join(centre, "cluster") \
-        .where((F.col("node") != F.col("centre")) & (F.least("n", "cn") * t[1] >= F.greatest("n", "cn") * t[0])) \
-        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    ``node, n, typical, token``), enough of them to connect all that link."""
+    heads = entries.groupBy("token").agg(F.max(F.struct("typical", "n", "node")).alias("h")) \
+        .select("token", F.col("h.node").alias("head"), F.col("h.n").alias("head_n"))
+    members = stored(entries.join(heads, "token").select("head", "head_n", "node", "n").distinct(), "op8-members")
+    star = members.where(
+        (F.col("node") != F.col("head")) & (F.least("n", "head_n") * t[1] >= F.greatest("n", "head_n") * t[0])) \
+        .select(F.col("head").alias("a"), F.col("node").alias("b"))
     linked = stored(_links(star, sets, t), "op8-star")
-    groups = components(known.unionByName(linked), "a", "b")
-    placed = stored(members.join(groups, "node", "left").select(
-        "node", "cluster", F.coalesce("component", "node").alias("component")), "op8-placed")
-    sizes = placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("k")) \
-        .groupBy("cluster").agg(F.max(F.struct("k", "component")).alias("main"), F.sum("k").alias("members"))
-    sizes = sizes.withColumn("rest", F.col("members") - F.col("main.k")).where("rest > 0") \
-        .withColumn("cells", F.ceil(F.col("members") / CELL).cast("int")) \
-        .withColumn("rest_cells", F.ceil(F.col("rest") / CELL).cast("int"))
-    full = placed.join(sizes, "cluster").join(sets, "node")
+    placed = members.join(linked.select(F.col("a").alias("head"), F.col("b").alias("node"), F.lit(True).alias("tied")),
+                          ["head", "node"], "left") \
+        .select("head", "node", F.coalesce("tied", F.col("head") == F.col("node")).alias("tied"))
+    placed = stored(placed, "op8-placed")
+    sizes = placed.groupBy("head").agg(F.count(F.lit(1)).alias("k"), F.count_if(~F.col("tied")).alias("rest")) \
+        .where("rest > 0").select("head", F.ceil(F.col("k") / CELL).cast("int").alias("cells"),
+                                  F.ceil(F.col("rest") / CELL).cast("int").alias("rest_cells"))
+    full = placed.join(sizes, "head").join(sets, "node")
     cell = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
-    probes = full.where(F.col("component") != F.col("main.component")) \
-        .withColumn("p", cell("rest_cells")).withColumn("m", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    probes = full.where(~F.col("tied")).withColumn("p", cell("rest_cells")) \
+        .withColumn("m", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     others = full.withColumn("m", cell("cells")) \
         .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("rest_cells") - 1)))
-    keys = ["cluster", "p", "m"]
-    grouped = [side.select(*[F.col(c).alias(c) for c in (*keys, "node", "component", "shingles")]).groupBy(*keys)
+    keys = ["head", "p", "m"]
+    grouped = [side.select(*[F.col(c).alias(c) for c in (*keys, "node", "tied", "shingles")]).groupBy(*keys)
                for side in (probes, others)]
     found = grouped[0].cogroup(grouped[1]).applyInPandas(_scan_cells(t), "a long, b long")
     return linked.unionByName(found)
@@ -336,8 +335,8 @@ def similar_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY)
         .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
     pairs = stored(met.unionByName(same).distinct(), "op8-pairs")
 
-    clustered = nodes.where(F.size("frequent") > 0)
-    hot = stored(clustered.select("node", F.explode("frequent").alias("token")), "op8-frequent")
+    hot = stored(nodes.where(F.size("frequent") > 0)
+                 .select("node", "n", "typical", F.explode("frequent").alias("token")), "op8-frequent")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))) \
         .unionByName(hot.select("node")).distinct()
     # The wanted ids grow with the corpus, so they are never broadcast.
@@ -345,8 +344,7 @@ def similar_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY)
                   .mapInPandas(_full_sets, "node long, shingles binary"), "op8-full")
     links = stored(_links(pairs, full, t), "op8-links")
     if not hot.isEmpty():
-        info = nodes.select("node", "n", "typical")
-        links = links.unionByName(_cluster_links(hot, links, full, info, t))
+        links = links.unionByName(_frequent_links(hot, full, t))
     groups = components(links, "a", "b")
     names = classes.join(groups, "node", "left").select("class", F.coalesce("component", "node").alias("component"))
     named = light.join(names, "class", "left")
