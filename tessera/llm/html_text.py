@@ -208,9 +208,8 @@ def url_neighbours(pages: DataFrame) -> DataFrame:
     """``page_id, partner_id``: for each page the page of its host next to it in
     path order, of the two the one with the longer common start of path.
 
-    Hosts are cut into stretches by directory and the first two characters of
-    the last segment, and stretches of more than STRETCH pages further by a hash
-    of the id, so neither a host nor a path with very many pages meets whole in
+    Hosts are cut into stretches by directory, and directories of more than
+    STRETCH pages further by a hash of the id, so neither a host nor a path with very many pages meets whole in
     one task; the first and last page of a stretch have one neighbour to choose
     from, a page alone in its stretch none.
     """
@@ -219,7 +218,7 @@ def url_neighbours(pages: DataFrame) -> DataFrame:
     rows = pages.where(F.col("page_id").isNotNull()).select(
         "page_id", F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)).alias("host"), path.alias("path"))
     rows = rows.groupBy("page_id").agg(F.min(F.struct("host", "path")).alias("u")).select("page_id", "u.host", "u.path")
-    rows = rows.withColumn("stretch", F.regexp_extract("path", r"^(.*/)?([^/]{0,2})", 0))
+    rows = rows.withColumn("stretch", F.regexp_extract("path", r"^(.*/)?", 0))
     long = rows.groupBy("host", "stretch").count().where(F.col("count") > STRETCH) \
         .select("host", "stretch", F.ceil(F.col("count") / STRETCH).alias("parts"))
     rows = rows.join(long, ["host", "stretch"], "left").withColumn(
