@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +39,13 @@ def token_from_end(value: Column, k: int) -> Column:
 def parse_access_log(lines: DataFrame, value_col: str = "value", drop_bad: bool = True) -> DataFrame:
     """Five columns per line: host, timestamp, request, status, bytes.
 
-    Status and bytes are the last two tokens cast to int; text that is not a
+    Status and bytes are the last two tokens cast to int and bigint; text that is not a
     number (``-``) becomes null. With ``drop_bad`` rows with any null are
     dropped; unmatched patterns give ``''`` and are kept.
     """
     v = F.col(value_col)
     status = token_from_end(v, 2).try_cast("int")
-    size = token_from_end(v, 1).try_cast("int")
+    size = token_from_end(v, 1).try_cast("bigint")
     if drop_bad:
         # Same rows as dropping any null: the three pattern columns are null
         # only for a null line. Filtering on the casts first keeps the regexes
@@ -75,7 +77,8 @@ def log_time_of(time_text: Column) -> Column:
 
 def country_of(host: Column, codes: list[str]) -> Column:
     """Suffix code of the host when it ends in ``.<code>`` for one of ``codes``,
-    else null. The host is referenced once, so a pushed-down filter does not
-    repeat the host pattern per code."""
-    suffix = F.regexp_extract(host, r"\.([^.]*)$", 1)
-    return F.when(suffix.isin(*codes), suffix)
+    else null; of several codes that fit the longest. A code may have several
+    parts (``co.uk``). The host is referenced once, so a pushed-down filter does
+    not repeat the host pattern per code."""
+    suffix = F.regexp_extract(host, r"\.(" + "|".join(re.escape(c) for c in codes) + ")$", 1)
+    return F.nullif(suffix, F.lit(""))

@@ -50,14 +50,14 @@ def gbt(label: str = "label", features: str = "features", max_iter: int = 5,
 
 def perceptron(n_features: int, hidden: tuple[int, ...] = (5, 4), n_classes: int = 2,
                label: str = "label", features: str = "features", max_iter: int = 100,
-               block_size: int = 128, seed: int = 23766) -> MultilayerPerceptronClassifier:
+               block_size: int = 128, seed: int = 17) -> MultilayerPerceptronClassifier:
     return MultilayerPerceptronClassifier(labelCol=label, featuresCol=features,
                                           layers=[n_features, *hidden, n_classes],
                                           maxIter=max_iter, blockSize=block_size, seed=seed)
 
 
 def als(user: str = "userId", item: str = "movieId", rating: str = "rating",
-        seed: int = 230123766, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1,
+        seed: int = 17, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1,
         blocks: int | None = None) -> ALS:
     """Matrix factorisation; cold-start rows are dropped when scoring. Periodic
     checkpoints (to the session's checkpoint folder) cut the iteration lineage.
@@ -71,7 +71,7 @@ def als(user: str = "userId", item: str = "movieId", rating: str = "rating",
     return est
 
 
-def kmeans(k: int = 25, seed: int = 230123766, features: str = "features",
+def kmeans(k: int = 25, seed: int = 17, features: str = "features",
            prediction: str = "cluster") -> KMeans:
     if k < 2:
         raise ValueError("k-means needs k > 1")

@@ -40,7 +40,7 @@ def key_cut_points(keyed: DataFrame, key: str, ranges: int) -> list[float]:
         return []
     k = F.col(key).cast("double")
     probs = [i / ranges for i in range(1, ranges)]
-    cuts = keyed.select(k.alias("_k")).where(F.col("_k").isNotNull() & ~F.isnan("_k")) \
+    cuts = keyed.select(k.alias("_k")).where(F.col("_k").isNotNull() & ~F.isnan("_k") & (F.abs("_k") != float("inf"))) \
         .approxQuantile("_k", probs, 0.25 / ranges)
     return sorted(set(cuts))
 

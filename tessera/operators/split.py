@@ -85,15 +85,15 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 def with_class_weight(df: DataFrame, label: str, out_col: str = "weight") -> DataFrame:
     """Attach the balanced class weight to each row (for ``weightCol``)."""
     weights = class_counts(df, label).select(label, F.col("weight").alias(out_col))
-    # One row per class value: bounded by the label's cardinality.
-    return df.join(F.broadcast(weights), label)
+    # One row per class value; Spark broadcasts it if it measures small.
+    return df.join(weights, label)
 
 
 def rebalance(df: DataFrame, key: str, label: str, salt: str = "") -> DataFrame:
     """Shrink every class to the size of the smallest, by key hash (exact,
     repeatable); the minority class is kept whole."""
     keep = class_counts(df, label).select(label, "keep_fraction")
-    return df.join(F.broadcast(keep), label) \
+    return df.join(keep, label) \
         .filter(hash_uniform(key, salt) < F.col("keep_fraction")).drop("keep_fraction")
 
 
@@ -104,8 +104,12 @@ def rebalance_seeded(df: DataFrame, label: str, seed: int) -> DataFrame:
 
 
 def time_ranked(df: DataFrame, time_col: str) -> DataFrame:
-    """Add the exact global ``percent_rank`` by time (ties share a rank)."""
-    return percent_rank(df, time_col)
+    """Add the exact global ``percent_rank`` by time (ties share a rank).
+    Timestamps, with or without zone, are ranked as exact microseconds."""
+    if not df.schema[time_col].dataType.simpleString().startswith("timestamp"):
+        return percent_rank(df, time_col)
+    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
+    return percent_rank(df.withColumn("_micros", micros), "_micros").drop("_micros")
 
 
 def time_split(ranked: DataFrame, fraction: float, rank_col: str = "percent_rank") -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ WITH logs AS (
               ELSE strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' -0400' END AS "timestamp",
          'GET /' || event_type || ' HTTP/1.0' AS request,
          CASE WHEN event_type = 'error' THEN 404 ELSE 200 END AS "HTTP reply code",
-         CAST(floor(value * 100) AS INTEGER) AS "bytes in the reply"
+         CAST(floor(value * 100) AS BIGINT) AS "bytes in the reply"
   FROM events
   WHERE value >= 0.5
 ),
@@ -284,7 +284,8 @@ SELECT split, rank, genre, count FROM r WHERE rank <= 10"""
 
 # ---------------------------------------------------------------- classifiers
 _COLLISION = """
-WITH feats AS (SELECT vec_id, CAST(label >= 5 AS DOUBLE) AS label FROM embeddings),
+WITH feats AS (SELECT vec_id, CAST(CAST(embedding[1] AS DOUBLE) + CAST(embedding[2] AS DOUBLE)
+            + 4.0::DOUBLE * CAST(embedding[3] AS DOUBLE) * CAST(embedding[4] AS DOUBLE) > 0 AS DOUBLE) AS label FROM embeddings),
 cc AS (SELECT label, COUNT(*) AS n FROM feats GROUP BY 1),
 cls AS (
   SELECT label, n, n / SUM(n) OVER () AS fraction, SUM(n) OVER () / (COUNT(*) OVER () * n) AS weight,
@@ -354,10 +355,12 @@ FROM ixt, base WHERE idx < k - 1"""
 _FEATURE_COLS = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(64))
 
 SQL["parquet_round_trip"] = f"""
-SELECT vec_id, CAST(label >= 5 AS DOUBLE) AS label, {_FEATURE_COLS} FROM embeddings"""
+SELECT vec_id, CAST(CAST(embedding[1] AS DOUBLE) + CAST(embedding[2] AS DOUBLE)
+            + 4.0::DOUBLE * CAST(embedding[3] AS DOUBLE) * CAST(embedding[4] AS DOUBLE) > 0 AS DOUBLE) AS label, {_FEATURE_COLS} FROM embeddings"""
 
 SQL["headerless_csv"] = f"""
-SELECT CAST(vec_id AS DOUBLE) AS vec_id, CAST(label >= 5 AS DOUBLE) AS label, {_FEATURE_COLS} FROM embeddings"""
+SELECT CAST(vec_id AS DOUBLE) AS vec_id, CAST(CAST(embedding[1] AS DOUBLE) + CAST(embedding[2] AS DOUBLE)
+            + 4.0::DOUBLE * CAST(embedding[3] AS DOUBLE) * CAST(embedding[4] AS DOUBLE) > 0 AS DOUBLE) AS label, {_FEATURE_COLS} FROM embeddings"""
 
 SQL["tag_indicators"] = """
 WITH movies AS (

@@ -52,7 +52,7 @@ def stratified_split(spark, sf_dir):
     return labelled.select("IDpol", "hasClaim", "part")
 
 
-def bernoulli_sample(spark, sf_dir, fraction: float = 0.1, seed: int = 23766):
+def bernoulli_sample(spark, sf_dir, fraction: float = 0.1, seed: int = 17):
     """A seeded Bernoulli sample of the train part (sampling is the feature
     here). Rows move with partitioning; each row is kept independently."""
     train, _ = train_test(spark, sf_dir)

@@ -29,13 +29,7 @@ REFERENCE_GRIDS = {
     "gbt": {"maxDepth": [1, 5, 10], "maxIter": [10, 20, 30], "stepSize": [0.1, 0.2, 0.05]},
     "perceptron": {"maxIter": [100, 150], "blockSize": [128, 256], "layers": [(5, 4), (6, 5)]},
 }
-# Grids the registered queries search: corners of the full grids, 3 folds.
-QUERY_GRIDS = {
-    "random_forest": {"maxDepth": [5, 10], "numTrees": [5, 10]},
-    "gbt": {"maxDepth": [1, 5], "maxIter": [10, 20]},
-    "perceptron": {"maxIter": [100, 150], "layers": [(5, 4), (6, 5)]},
-}
-FOLDS = 3
+FOLDS = 5
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +129,7 @@ def tune_models(spark, sf_dir, names=("random_forest", "gbt", "perceptron"), gri
                 folds: int = FOLDS, parallelism: int = 4):
     """Cross-validate each model on the train part by weighted F1 (the
     multiclass evaluator's default), refit the best, score the test part."""
-    grids = grids or QUERY_GRIDS
+    grids = grids or REFERENCE_GRIDS
 
     def key(name):
         return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, repr(grids[name]), folds)

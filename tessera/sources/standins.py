@@ -61,12 +61,21 @@ def claims_table(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) ->
 def collision_features(embeddings: DataFrame, width: int | None = None) -> DataFrame:
     """Binary label plus one double column per embedding position.
 
-    ``label`` = 1.0 when the class is 5 or more; features ``x0..x{width-1}``.
+    Features ``x0..x{width-1}`` hold the whole vector (``width`` is read from
+    the table if not given; vectors of different lengths raise). ``label`` is
+    1.0 when ``x0 + x1 + 4 x2 x3 > 0``, so it can be learnt, but not by a
+    linear model alone.
     """
-    n = width if width is not None else 64
+    short, long = embeddings.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    n = width if width is not None else long or 0
+    if short != long or (long is not None and long != n):
+        raise ValueError(f"vectors of {short} to {long} positions where all must have {n}")
+    if n < 4:
+        raise ValueError("the label needs vectors of at least 4 positions")
     cols = [F.get(F.col("embedding"), i).cast("double").alias(f"x{i}") for i in range(n)]
-    return embeddings.select(F.col("vec_id"),
-                             (F.col("label") >= 5).cast("double").alias("label"), *cols)
+    x = [F.get(F.col("embedding"), i).cast("double") for i in range(4)]
+    label = (x[0] + x[1] + F.lit(4.0) * x[2] * x[3] > 0).cast("double")
+    return embeddings.select(F.col("vec_id"), label.alias("label"), *cols)
 
 
 def ratings_table(lineitem: DataFrame, orders: DataFrame) -> DataFrame:

@@ -31,7 +31,8 @@ def country_requests_stream(spark: SparkSession, log_dir: str,
 
 def start_to_memory(stream: DataFrame, name: str, checkpoint: str | None = None) -> StreamingQuery:
     """Run the rollup into an in-process table ``name`` (complete mode); the
-    checkpoint goes to the shared folder so a restarted driver resumes."""
+    checkpoint goes to the shared folder. A restarted driver resumes only if it
+    passes the same ``checkpoint`` again; the default is a fresh folder."""
     spark = stream.sparkSession
     return stream.writeStream.outputMode("complete").format("memory").queryName(name) \
         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}")) \

@@ -67,3 +67,15 @@ def test_grid_is_dense_and_sums_to_busiest_host(spark):
     assert grid.count() == 31 * 24
     assert grid.select("host").distinct().first()["host"] == "a.de"
     assert grid.agg(F.sum("count")).first()[0] == 5
+
+
+def test_large_replies_and_suffixes_of_several_parts(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions.logparse import country_of, parse_access_log
+    line = 'a.co.uk - - [01/Jul/1995:00:00:01 -0400] "GET /x HTTP/1.0" 200 3000000000'
+    row = parse_access_log(spark.createDataFrame([(line,)], "value string")).first()
+    assert row["bytes in the reply"] == 3_000_000_000
+    hosts = spark.createDataFrame([("a.co.uk",), ("b.uk",), ("couk",), (None,)], "h string")
+    out = [r[0] for r in hosts.select(country_of(F.col("h"), ["uk", "co.uk"])).collect()]
+    assert out == ["co.uk", "uk", None, None]

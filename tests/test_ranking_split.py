@@ -94,3 +94,25 @@ def test_dense_index_contiguous_in_value_order(spark):
     df = spark.createDataFrame([(big + 7,), (big + 7,), (5,), (big,), (None,)], "k long")
     got = sorted((r["k"], r["i"]) for r in ranking.dense_index(df, "k", "i").collect())
     assert got == [(5, 0), (big, 1), (big + 7, 2)]
+
+
+def test_infinite_keys_and_zoneless_times_rank(spark):
+    from tessera.operators.ranking import percent_rank
+    from tessera.operators.split import time_ranked
+    keys = [float("-inf"), float("inf"), 1.0, 2.0, 3.0, 4.0, 5.0, float("inf")]
+    frame = spark.createDataFrame([(k,) for k in keys], "k double")
+    out = sorted((r[0], r[1]) for r in percent_rank(frame, "k", ranges=8).collect())
+    assert [x for _, x in out] == [0, 1 / 7, 2 / 7, 3 / 7, 4 / 7, 5 / 7, 6 / 7, 6 / 7]
+    times = spark.sql("select timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(id) t from range(5)")
+    assert sorted(r[1] for r in time_ranked(times, "t").collect()) == [0, 0.25, 0.5, 0.75, 1]
+
+
+def test_vectors_of_any_one_length(spark):
+    import pytest
+
+    from tessera.sources.standins import collision_features
+    frame = spark.createDataFrame([(1, [0.5] * 70, 3)], "vec_id long, embedding array<float>, label int")
+    assert len(collision_features(frame).columns) == 72
+    mixed = frame.unionAll(spark.createDataFrame([(2, [0.5] * 5, 3)], frame.schema))
+    with pytest.raises(ValueError):
+        collision_features(mixed)
