@@ -12,7 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import shuffle_partitions, stored
 
 
 def top_k(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
@@ -73,8 +73,7 @@ def prefix_totals(keyed: DataFrame, key: str, value_cols: list[str],
     n = ranges or shuffle_partitions(spark)
     # The per-key table is read three times (cut points, range totals, the
     # running sums); cut it once so the plan behind it runs once.
-    ensure_checkpoint_dir(spark)
-    keyed = keyed.checkpoint(eager=True)
+    keyed = stored(keyed, "rank-keys")
     ranged = with_key_range(keyed, key, key_cut_points(keyed, key, n))
     per_range = ranged.groupBy(*g, "_range").agg(*[F.sum(v).alias(f"_r_{v}") for v in value_cols])
     by_group = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))

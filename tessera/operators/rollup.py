@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.logparse import country_of
-from ..session import checkpointed
+from ..session import stored
 from .ranking import top_k
 
 # The countries the original analysis reports, by host suffix.
@@ -70,10 +70,15 @@ def host_share_rest(logs: DataFrame, k: int = 9, countries: dict[str, str] | Non
     request, each as a percentage of the country's requests.
 
     Totals come from the same host counts as the ranking. Those counts (a
-    row per host, far fewer than requests) are checkpointed, so the log is
+    row per host, far fewer than requests) are written, so the log is
     scanned once although four branches read them."""
     countries = countries or COUNTRIES
-    return shares_from_counts(checkpointed(host_counts(logs, countries)), k, countries)
+    return shares_from_counts(stored(host_counts(logs, countries), "host-counts"), k, countries)
+
+
+def counts_from_slots(slots: DataFrame) -> DataFrame:
+    """``host_counts`` from the finer ``calendar.host_slots``."""
+    return slots.groupBy("country_code", "host").agg(F.sum("n").alias("count"))
 
 
 def requests_from_counts(counts: DataFrame, countries: dict[str, str] | None = None) -> DataFrame:

@@ -18,6 +18,11 @@ def hash_uniform(key: Column | str, salt: str = "") -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def hash_fold(key: Column | str, folds: int, salt: str = "") -> Column:
+    """Fold 0 to ``folds`` - 1 of a row, by key hash."""
+    return F.floor(hash_uniform(key, salt) * folds).cast("int")
+
+
 def hash_split(df: DataFrame, key: str, fraction: float, salt: str = "") -> tuple[DataFrame, DataFrame]:
     """(part, rest): rows whose key hashes below ``fraction``, and the others."""
     u = hash_uniform(key, salt)

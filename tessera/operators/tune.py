@@ -21,11 +21,13 @@ def param_grid(estimator, axes: dict[str, list]) -> list:
 
 
 def cross_validate(pipeline, grid: list, evaluator, train: DataFrame, folds: int = 3,
-                   seed: int = 12, parallelism: int = 4) -> CrossValidatorModel:
+                   seed: int = 12, parallelism: int = 4, fold_col: str = "") -> CrossValidatorModel:
     """Fit every map on every fold, pick the best by the evaluator (honouring
-    ``isLargerBetter``) and refit it on all of ``train``."""
+    ``isLargerBetter``) and refit it on all of ``train``. ``fold_col`` names an
+    int column with each row's fold (0 to ``folds`` - 1), such as a key hash, so
+    that folds do not move with the partitioning; without it folds are random."""
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator,
-                        numFolds=folds, seed=seed, parallelism=parallelism)
+                        numFolds=folds, seed=seed, parallelism=parallelism, foldCol=fold_col)
     return cv.fit(train)
 
 

@@ -146,7 +146,8 @@ long AS (
 ),
 mu AS (SELECT o_orderpriority, AVG(ClaimNb) AS mu, AVG(hasClaim) AS p FROM split WHERE part = 'train' GROUP BY 1),
 scored AS (
-  SELECT s.ClaimNb, s.hasClaim, m.mu, m.p, CASE WHEN m.p > 0.5 THEN 1 ELSE 0 END AS pred
+  SELECT s.ClaimNb, s.hasClaim, m.mu, m.p,
+         CASE WHEN m.p > (SELECT AVG(hasClaim) FROM split WHERE part = 'train') THEN 1 ELSE 0 END AS pred
   FROM split s JOIN mu m USING (o_orderpriority) WHERE s.part = 'test'
 )
 """
@@ -371,3 +372,83 @@ WITH movies AS (
   FROM part
 )
 SELECT movieId, unnest(list_distinct(string_split(genres, '|'))) AS genre FROM movies"""
+
+
+SQL["headerless_csv_typed"] = SQL["headerless_csv"]
+
+# ---------------------------------------------------------------- repeatable samples
+_UNIFORM = "CAST(('0x' || substr(md5('{salt}' || CAST(IDpol AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0"
+
+SQL["hash_sample"] = _CLAIMS + f"""
+SELECT IDpol, ClaimNb, hasClaim FROM split WHERE part = 'train' AND {_UNIFORM.format(salt='claims-sample')} < 0.1"""
+
+SQL["random_hash_split"] = _CLAIMS + f"""
+SELECT IDpol, CASE WHEN {_UNIFORM.format(salt='claims-random')} < 0.7 THEN 'part' ELSE 'rest' END AS side FROM claims"""
+
+# ---------------------------------------------------------------- closed forms of models
+_TRAIN = _CLAIMS + f"""
+, tr AS (SELECT *, CAST(floor({_UNIFORM.format(salt='claims-fold')} * 3) AS INTEGER) AS fold,
+              CASE WHEN o_orderstatus = 'F' THEN hasClaim ELSE 1 - hasClaim END AS turned FROM split WHERE part = 'train')
+"""
+
+SQL["exact_search"] = _TRAIN + """
+, folds AS (SELECT unnest(range(3)) AS f),
+cells AS (
+  SELECT IDpol, fold, ClaimNb, turned, unnest(['o_orderpriority', 'o_orderstatus', 'c_mktsegment']) AS col,
+         unnest([o_orderpriority, o_orderstatus, c_mktsegment]) AS v FROM tr
+),
+means AS (SELECT f, col, v, AVG(ClaimNb) AS mu, AVG(turned) AS p FROM folds JOIN cells ON fold <> f GROUP BY 1, 2, 3),
+held AS (SELECT c.*, m.mu, m.p FROM cells c JOIN means m ON c.fold = m.f AND c.col = m.col AND c.v = m.v),
+per AS (
+  SELECT 'threshold' AS model, 'threshold=' || CAST(t AS VARCHAR) AS params, 'accuracy' AS metric, fold,
+         AVG(CASE WHEN (p > t) = (turned = 1) THEN 1.0 ELSE 0.0 END) AS m
+  FROM held, (SELECT unnest([0.1, 0.5, 0.9]) AS t) WHERE col = 'o_orderstatus' GROUP BY t, fold
+  UNION ALL
+  SELECT 'column', 'featuresCol=' || col || '_index_ohe', 'rmse', fold, sqrt(AVG((mu - ClaimNb) * (mu - ClaimNb)))
+  FROM held GROUP BY col, fold
+),
+means_of AS (SELECT model, params, metric, AVG(m) AS a, stddev_pop(m) AS s, metric = 'accuracy' AS larger FROM per GROUP BY 1, 2, 3)
+SELECT model, params, metric, round(a, 6) AS avg_metric, round(s, 6) AS std_metric, larger AS larger_is_better,
+       row_number() OVER (PARTITION BY model ORDER BY CASE WHEN larger THEN -a ELSE a END, params) = 1 AS best
+FROM means_of"""
+
+SQL["lasso_limit"] = _TRAIN + """
+SELECT CAST((SELECT MAX(w1 + w2 + w3) + 3 FROM coded) AS INTEGER) AS n_coefficients, CAST(0 AS INTEGER) AS n_nonzero,
+       round(AVG(hasClaim), 6) AS least, round(AVG(hasClaim), 6) AS largest FROM tr"""
+
+SQL["one_split_trees"] = _TRAIN + """
+, cells AS (
+  SELECT turned AS y, unnest(['o_orderpriority', 'o_orderstatus', 'c_mktsegment']) AS col,
+         unnest([o_orderpriority, o_orderstatus, c_mktsegment]) AS v FROM tr
+),
+levels AS (SELECT col, v, COUNT(*) AS n, SUM(y) AS s FROM cells GROUP BY 1, 2),
+cuts AS (
+  SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY s / n) AS r, SUM(n) OVER w AS nl, SUM(s) OVER w AS sl,
+         SUM(n) OVER (PARTITION BY col) AS na, SUM(s) OVER (PARTITION BY col) AS sa
+  FROM levels WINDOW w AS (PARTITION BY col ORDER BY s / n ROWS UNBOUNDED PRECEDING)
+),
+best AS (
+  SELECT col, r, sl / nl AS p_low, (sa - sl) / (na - nl) AS p_high FROM cuts WHERE nl < na
+  ORDER BY sl * (1 - sl / nl) + (sa - sl) * (1 - (sa - sl) / (na - nl)) LIMIT 1
+),
+sides AS (SELECT c.col, c.v, CASE WHEN c.r <= b.r THEN p_low ELSE p_high END AS p FROM cuts c JOIN best b USING (col)),
+groups AS (SELECT DISTINCT o_orderpriority, o_orderstatus, c_mktsegment FROM tr)
+SELECT o_orderpriority, o_orderstatus, c_mktsegment, round(p, 6) AS tree,
+       round(1 / (1 + exp(-2 * (2 * p - 1))), 6) AS boosted
+FROM groups g JOIN sides s ON s.v = CASE s.col WHEN 'o_orderpriority' THEN o_orderpriority
+                                         WHEN 'o_orderstatus' THEN o_orderstatus ELSE c_mktsegment END"""
+
+SQL["layerless_perceptron"] = _TRAIN + """
+SELECT o_orderstatus, CASE WHEN AVG(turned) > 0.5 THEN 1 ELSE 0 END AS predicted FROM tr GROUP BY 1"""
+
+SQL["separated_clusters"] = """
+WITH sizes AS (SELECT c_mktsegment, COUNT(*) AS size FROM customer GROUP BY 1)
+SELECT size, COUNT(*) AS clusters FROM sizes GROUP BY 1"""
+
+SQL["als_coverage"] = _RATINGS + """
+, users AS (SELECT DISTINCT split, userId FROM train), items AS (SELECT DISTINCT split, movieId FROM train),
+test AS (SELECT s.split, r.userId, r.movieId FROM ranked r JOIN splits s ON r.percent_rank >= s.split)
+SELECT t.split, COUNT(*) AS n_test, COUNT(u.userId + i.movieId) AS n_scored,
+       round(COUNT(u.userId + i.movieId) / COUNT(*), 6) AS covered
+FROM test t LEFT JOIN users u ON t.split = u.split AND t.userId = u.userId
+LEFT JOIN items i ON t.split = i.split AND t.movieId = i.movieId GROUP BY 1"""

@@ -3,10 +3,10 @@ cross-validated choice of penalty, metrics."""
 
 from __future__ import annotations
 
-import os
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import metrics, models, split, tune
-from ..session import materialized, scratch_path
+from ..session import materialized, scratch_path, shared
 from ..sources.files import persisted, read_csv, table, write_csv
 from ..sources.standins import claims_table
 
@@ -59,6 +59,19 @@ def bernoulli_sample(spark, sf_dir, fraction: float = 0.1, seed: int = 17):
     return split.seeded_sample(train, fraction, seed).select("IDpol", "ClaimNb", "hasClaim")
 
 
+def hash_sample(spark, sf_dir, fraction: float = 0.1):
+    """The repeatable Bernoulli sample: rows of the train part whose key hashes
+    below ``fraction``."""
+    train, _ = train_test(spark, sf_dir)
+    return split.hash_split(train, "IDpol", fraction, SALT + "-sample")[0].select("IDpol", "ClaimNb", "hasClaim")
+
+
+def random_hash_split(spark, sf_dir, fraction: float = 0.7):
+    """The repeatable random split of all rows, by key hash."""
+    part, rest = split.hash_split(claims(spark, sf_dir), "IDpol", fraction, SALT + "-random")
+    return part.select("IDpol", F.lit("part").alias("side")).unionByName(rest.select("IDpol", F.lit("rest").alias("side")))
+
+
 def set_difference(spark, sf_dir):
     """All rows minus the train rows (distinct): the test part, as the original."""
     data = claims(spark, sf_dir)
@@ -74,10 +87,19 @@ def set_difference_all(spark, sf_dir):
     return split.set_difference(data.select(cols), train.select(cols), keep_duplicates=True)
 
 
-def _feature_model(spark, sf_dir):
+def _layout(data: DataFrame):
+    """Index, one-hot (the least frequent level dropped) and assemble, learnt
+    from all rows without their labels: the design matrix of every claim model."""
+    return feat.fit_features(data, FEATURES, scaled_col=None)
+
+
+def _scaler() -> StandardScaler:
+    return StandardScaler(inputCol="features", outputCol="scaledFeatures", withStd=True, withMean=False)
+
+
+def _features(spark, sf_dir):
     data = claims(spark, sf_dir)
-    model = feat.fit_features(data, FEATURES)
-    return model, model.transform(data)
+    return _layout(data).transform(data)
 
 
 def category_index(spark, sf_dir):
@@ -89,22 +111,23 @@ def category_index(spark, sf_dir):
 def one_hot(spark, sf_dir):
     """Per row and categorical column: one-hot width and the hot slot (-1 for
     the dropped last category)."""
-    _, out = _feature_model(spark, sf_dir)
-    parts = []
-    for c in CATEGORICAL:
+    out = _features(spark, sf_dir)
+
+    def slot(c):
         arr = vector_to_array(F.col(f"{c}_index_ohe"))
-        parts.append(out.select("IDpol", F.lit(c).alias("feature"), F.size(arr).alias("width"),
-                                (F.array_position(arr, 1.0) - 1).cast("int").alias("hot")))
-    return reduce(DataFrame.unionByName, parts)
+        return F.struct(F.lit(c).alias("feature"), F.size(arr).alias("width"),
+                        (F.array_position(arr, 1.0) - 1).cast("int").alias("hot"))
+
+    return out.select("IDpol", F.explode(F.array(*[slot(c) for c in CATEGORICAL])).alias("s")).select("IDpol", "s.*")
 
 
 def assembled_features(spark, sf_dir):
-    _, out = _feature_model(spark, sf_dir)
-    return feat.vector_long(out, "IDpol", "features")
+    return feat.vector_long(_features(spark, sf_dir), "IDpol", "features")
 
 
 def scaled_features(spark, sf_dir):
-    _, out = _feature_model(spark, sf_dir)
+    data = _features(spark, sf_dir)
+    out = _scaler().fit(data).transform(data)
     return feat.vector_long(out, "IDpol", "scaledFeatures").withColumn("value", F.round("value", 6))
 
 
@@ -123,7 +146,8 @@ def _saturated_poisson():
 
 def _poisson_scored(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
-    model = _one_feature_pipeline(_saturated_poisson()).fit(train)
+    model = shared(spark, "saturated-poisson", sf_dir,
+                   lambda: _one_feature_pipeline(_saturated_poisson()).fit(train))
     return model, model.transform(test)
 
 
@@ -133,17 +157,27 @@ def _saturated_logistic():
     return models.logistic("hasClaim").setTol(1e-10).setMaxIter(500)
 
 
+def _logistic_model(spark, sf_dir):
+    train, _ = train_test(spark, sf_dir)
+    return shared(spark, "saturated-logistic", sf_dir,
+                  lambda: _one_feature_pipeline(_saturated_logistic()).fit(train))
+
+
 def _logistic_scored(spark, sf_dir):
-    """Scores for the classification metrics: these read only the order of the
-    per-category scores and the 0.5 threshold, so the default tolerance will do."""
-    train, test = train_test(spark, sf_dir)
-    model = _one_feature_pipeline(models.logistic("hasClaim")).fit(train)
-    return model, model.transform(test)
+    """``hasClaim, score, prediction`` of the test part, scored once for all
+    metrics. A row is predicted 1 when its score exceeds the train part's claim
+    rate, so both classes are predicted."""
+    def build():
+        train, test = train_test(spark, sf_dir)
+        rate = train.agg(F.avg("hasClaim")).first()[0]
+        scored = _logistic_model(spark, sf_dir).transform(test)
+        return scored.select("hasClaim", metrics.positive_score().alias("score")) \
+            .withColumn("prediction", (F.col("score") > F.lit(rate)).cast("double"))
+    return materialized(spark, "claims-scored", sf_dir, build)
 
 
 def poisson_rates(spark, sf_dir):
-    train, _ = train_test(spark, sf_dir)
-    model = _one_feature_pipeline(_saturated_poisson()).fit(train)
+    model, _ = _poisson_scored(spark, sf_dir)
     cats = claims(spark, sf_dir).select("o_orderpriority").distinct()
     return model.transform(cats).select("o_orderpriority", F.round("prediction", 6).alias("rate"))
 
@@ -157,8 +191,7 @@ def poisson_coefficients(spark, sf_dir):
 
 
 def logistic_rates(spark, sf_dir):
-    train, _ = train_test(spark, sf_dir)
-    model = _one_feature_pipeline(_saturated_logistic()).fit(train)
+    model = _logistic_model(spark, sf_dir)
     cats = claims(spark, sf_dir).select("o_orderpriority").distinct()
     return model.transform(cats).select("o_orderpriority",
                                         F.round(metrics.positive_score(), 6).alias("rate"))
@@ -171,23 +204,23 @@ def regression_metrics(spark, sf_dir):
 
 
 def accuracy(spark, sf_dir):
-    _, scored = _logistic_scored(spark, sf_dir)
+    scored = _logistic_scored(spark, sf_dir)
     return metrics.accuracy(scored, "hasClaim").select(F.round("accuracy", 6).alias("accuracy"), "n")
 
 
 def weighted_f1(spark, sf_dir):
-    _, scored = _logistic_scored(spark, sf_dir)
+    scored = _logistic_scored(spark, sf_dir)
     return metrics.weighted_f1(scored, "hasClaim").select(F.round("weighted_f1", 6).alias("weighted_f1"), "n")
 
 
 def auc_scores(spark, sf_dir):
-    _, scored = _logistic_scored(spark, sf_dir)
-    return metrics.area_under_roc(scored, "hasClaim", metrics.positive_score()) \
+    scored = _logistic_scored(spark, sf_dir)
+    return metrics.area_under_roc(scored, "hasClaim", "score") \
         .select(F.round("auc", 6).alias("auc"), "n")
 
 
 def auc_hard(spark, sf_dir):
-    _, scored = _logistic_scored(spark, sf_dir)
+    scored = _logistic_scored(spark, sf_dir)
     return metrics.hard_label_auc(scored, "hasClaim").select(F.round("auc_hard", 6).alias("auc_hard"), "n")
 
 
@@ -204,35 +237,34 @@ def _model_specs():
     ]
 
 
-_FITTED: dict = {}
+FOLDS = 3
 
 
-def fit_claim_models(spark, sf_dir, folds: int = 3, parallelism: int = 4):
+def fit_claim_models(spark, sf_dir, folds: int = FOLDS, parallelism: int = 4):
     """Cross-validate each model over its own penalty grid on the train part,
     refit the best on all of train and score the test part.
 
-    The category vocabulary and vector layout are learnt once on train (no
-    label is read) and the compact ``(id, labels, features)`` rows are cached;
-    the scaler and the model are refit inside every fold. Fits are seeded, so
-    results are kept per application and data folder for the queries that
-    read them (metrics, coefficients, grid).
+    The design matrix is the one of ``assembled_features``; the scaler and the
+    model are refit inside every fold. Folds are hashes of the key, the same
+    for all three models. Fits are seeded and shared by the queries that read
+    them (metrics, coefficients, grid).
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), folds)
-    if key in _FITTED:
-        return _FITTED[key]
+    return shared(spark, f"claim-models {folds}", sf_dir, lambda: _fit_claim_models(spark, sf_dir, folds, parallelism))
+
+
+def _fit_claim_models(spark, sf_dir, folds, parallelism):
     train, test = train_test(spark, sf_dir)
-    layout = Pipeline(stages=feat.feature_stages(train, FEATURES, scaled_col=None,
-                                                 handle_invalid="keep")).fit(train)
+    layout = _layout(claims(spark, sf_dir))
     cols = ["IDpol", "ClaimNb", "hasClaim", "features"]
-    tr, te = layout.transform(train).select(cols), layout.transform(test).select(cols)
+    tr = layout.transform(train).select(*cols, split.hash_fold("IDpol", folds, SALT + "-fold").alias("fold"))
+    te = layout.transform(test).select(cols)
 
+    @inheritable_thread_target(spark)
     def one(spec):
         name, est, ev = spec
-        scaler = StandardScaler(inputCol="features", outputCol="scaledFeatures",
-                                withStd=True, withMean=False)
         grid = tune.param_grid(est, {"regParam": REG_GRID})
-        cv = tune.cross_validate(Pipeline(stages=[scaler, est]), grid, ev, tr,
-                                 folds=folds, parallelism=parallelism)
+        cv = tune.cross_validate(Pipeline(stages=[_scaler(), est]), grid, ev, tr,
+                                 folds=folds, parallelism=parallelism, fold_col="fold")
         scored = cv.bestModel.transform(te)
         label = "ClaimNb" if name == "poisson" else "hasClaim"
         row = {"model": name, "cv_metric": ev.getMetricName(),
@@ -248,24 +280,25 @@ def fit_claim_models(spark, sf_dir, folds: int = 3, parallelism: int = 4):
         row["reg_param"] = float(best.getOrDefault("regParam"))
         row["n_coefficients"] = int(best.coefficients.size)
         row["n_nonzero"] = int(sum(1 for c in best.coefficients.toArray() if c != 0.0))
+        done = best.summary.numIterations if name == "poisson" else best.summary.totalIterations
+        row["iterations"], row["converged"] = int(done), bool(done < est.getMaxIter())
         return (name, cv, scored), row
 
     # The three searches are independent; running them together keeps the
     # cluster busy between the many short iterations of each fit.
     with persisted(tr), persisted(te), ThreadPoolExecutor(max_workers=3) as pool:
         done = list(pool.map(one, _model_specs()))
-    fitted = [d[0] for d in done]
-    results = [d[1] for d in done]
-    _FITTED[key] = (fitted, results)
-    return fitted, results
+    return [d[0] for d in done], [d[1] for d in done]
 
 
 def claim_models(spark, sf_dir):
     """One row per model: chosen penalty, CV metric, test RMSE / AUC / accuracy
-    beside the base rate, and coefficient counts."""
+    beside the base rate, coefficient counts, and whether the solver stopped
+    before its iteration limit."""
     _, results = fit_claim_models(spark, sf_dir)
     schema = ("model string, reg_param double, cv_metric string, cv_best double, rmse double, "
-              "auc double, accuracy double, base_rate double, n_coefficients int, n_nonzero int")
+              "auc double, accuracy double, base_rate double, n_coefficients int, n_nonzero int, "
+              "iterations int, converged boolean")
     cols = [c.split()[0] for c in schema.split(", ")]
     return spark.createDataFrame([tuple(r[c] for c in cols) for r in results], schema)
 

@@ -3,24 +3,26 @@ grid search with cross-validation, scores on held-out rows."""
 
 from __future__ import annotations
 
-import os
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics, models, split, tune
-from ..session import scratch_path
-from ..sources.files import (cast_strings, persisted, read_parquet, read_part, rename_positional,
-                             table, write_csv, write_parquet, write_parts)
+from ..session import scratch_path, shared
+from ..sources.files import (cast_strings, persisted, read_headerless_csv, read_parquet, read_part,
+                             rename_positional, table, write_csv, write_parquet, write_parts)
 from ..sources.standins import collision_features
 
 SALT = "collision"
 TRAIN_FRACTION = 0.7
 SEED = 12
+CLASS_FRACTIONS = {0.0: 0.5, 1.0: 0.25}
 
 # The full grids of the original analysis (27, 27 and 8 maps).
 # ``layers`` entries are hidden sizes; input and output widths are added.
@@ -55,6 +57,13 @@ def rebalanced(spark, sf_dir):
     return split.rebalance(features(spark, sf_dir), "vec_id", "label", SALT).select("vec_id", "label")
 
 
+def stratified_sample(spark, sf_dir):
+    """``sampleBy`` with a given fraction per class. Row sets move with
+    partitioning; no class exceeds its rows."""
+    data = features(spark, sf_dir).select("vec_id", "label")
+    return split.stratified_sample(data, "label", CLASS_FRACTIONS, SEED)
+
+
 def seeded_sample(spark, sf_dir):
     """The seeded forms: ``sampleBy`` rebalancing, then ``randomSplit``. Row
     sets move with partitioning; parts are disjoint and cover the sample."""
@@ -73,6 +82,14 @@ def headerless_csv(spark, sf_dir):
     return cast_strings(rename_positional(raw, data.columns), "double")
 
 
+def headerless_csv_typed(spark, sf_dir):
+    """The same file with names and types given at the scan."""
+    data = features(spark, sf_dir)
+    path = scratch_path(spark, "collision-csv")
+    write_csv(data, path, header=False)
+    return read_headerless_csv(spark, path, data.columns)
+
+
 def parquet_round_trip(spark, sf_dir):
     """Features written to parquet and scanned back."""
     data = features(spark, sf_dir)
@@ -81,16 +98,12 @@ def parquet_round_trip(spark, sf_dir):
     return read_parquet(spark, path)
 
 
-_PREPARED: dict = {}
-
-
 def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
     """Balanced rows, split by key hash, features assembled once (the assembler
     is stateless, so it need not run inside every fold). Both parts are
     written together as parquet under the shared folder and read back per
     part, so the searches read compact files, not the plan behind them."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _PREPARED:
+    def build() -> tuple[str, int]:
         data = split.rebalance(features(spark, sf_dir), "vec_id", "label", SALT)
         cols = feature_cols(data)
         assembled = VectorAssembler(inputCols=cols, outputCol="features").transform(data) \
@@ -100,8 +113,9 @@ def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, in
             .otherwise(F.lit("test")))
         path = scratch_path(spark, "collision-parts")
         write_parts(labelled, "part", path)
-        _PREPARED[key] = (path, len(cols))
-    path, width = _PREPARED[key]
+        return path, len(cols)
+
+    path, width = shared(spark, "collision-parts", sf_dir, build)
     return read_part(spark, path, "part", "train"), read_part(spark, path, "part", "test"), width
 
 
@@ -110,7 +124,16 @@ def _estimator(name: str, n_features: int):
         return models.random_forest(seed=SEED)
     if name == "gbt":
         return models.gbt(seed=SEED)
-    return models.perceptron(n_features)
+    return models.perceptron(n_features, features="scaled")
+
+
+def _pipeline(name: str, est):
+    """The estimator as it is searched: the perceptron's solver needs inputs of
+    one scale, so a scaler is fitted with it inside every fold."""
+    if name != "perceptron":
+        return est
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
+    return Pipeline(stages=[scaler, est])
 
 
 def _grid(name: str, est, axes: dict, n_features: int) -> list:
@@ -120,36 +143,30 @@ def _grid(name: str, est, axes: dict, n_features: int) -> list:
     return tune.param_grid(est, axes)
 
 
-# Seeded fits, kept per application, data folder and model for the queries
-# that read the same search (comparison, grid, best parameters).
-_TUNED: dict = {}
-
-
 def tune_models(spark, sf_dir, names=("random_forest", "gbt", "perceptron"), grids=None,
                 folds: int = FOLDS, parallelism: int = 4):
     """Cross-validate each model on the train part by weighted F1 (the
-    multiclass evaluator's default), refit the best, score the test part."""
+    multiclass evaluator's default), refit the best, score the test part.
+    Seeded, so queries reading the same search (comparison, grid, best
+    parameters) share its fits."""
     grids = grids or REFERENCE_GRIDS
+    prepared(spark, sf_dir)  # write the parts once before the searches start
 
-    def key(name):
-        return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, repr(grids[name]), folds)
+    @inheritable_thread_target(spark)
+    def one(name):
+        return shared(spark, f"search {name} {grids[name]!r} {folds}", sf_dir,
+                      lambda: _tune_one(spark, sf_dir, name, grids[name], folds, parallelism))
 
-    todo = [n for n in names if key(n) not in _TUNED]
-    if todo:
-        prepared(spark, sf_dir)  # write the parts once before the searches start
-        # Independent searches of many short jobs each: run them together.
-        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-            done = pool.map(lambda n: _tune_one(spark, sf_dir, n, grids[n], folds, parallelism), todo)
-            for n, result in zip(todo, done):
-                _TUNED[key(n)] = result
-    return [_TUNED[key(n)] for n in names]
+    # Independent searches of many short jobs each: run them together.
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return list(pool.map(one, names))
 
 
 def _tune_one(spark, sf_dir, name, axes, folds, parallelism):
     train, test, width = prepared(spark, sf_dir)
     with persisted(train), persisted(test):
         est = _estimator(name, width)
-        cv = tune.cross_validate(est, _grid(name, est, axes, width),
+        cv = tune.cross_validate(_pipeline(name, est), _grid(name, est, axes, width),
                                  MulticlassClassificationEvaluator(), train,
                                  folds=folds, seed=SEED, parallelism=parallelism)
         scored = cv.bestModel.transform(test).select(

@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.logparse import day_of, hour_of, log_time_of, parse_access_log
 from ..operators import calendar, rollup
 from ..operators.ranking import top_k
-from ..session import checkpointed, scratch_path
+from ..session import scratch_path, shared, stored
 from ..sources.files import read_text_lines, table, write_text_lines
 from ..sources.standins import access_log_lines
 
 
-_TEXT_LOGS: dict[tuple[str, str], str] = {}
-
-
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The access log as gzip text, the original input format.
 
@@ -27,16 +22,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cuts the lineage, so the parser's filters meet a plain ``value`` column
     instead of re-evaluating the line-building expression.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _TEXT_LOGS.get(key)
-    if path is None:
+    def write() -> str:
         lines = access_log_lines(table(spark, sf_dir, "events"))
         target = spark.sparkContext.defaultParallelism
         if lines.rdd.getNumPartitions() < target:
             lines = lines.repartition(target)
         path = scratch_path(spark, "access-log")
         write_text_lines(lines, path)
-        _TEXT_LOGS[key] = path
+        return path
+
+    path = shared(spark, "access-log", sf_dir, write)
     return read_text_lines(spark, path)
 
 
@@ -93,11 +88,10 @@ def busiest_host_grid(spark, sf_dir):
 
 def chart_series(spark, sf_dir):
     """Chart-ready tidy rows ``(series, x, y)``: requests and unique hosts by
-    country, host shares, and the busiest hosts' day-hour activity. The first
-    three come from one checkpointed host-count table; the grid has its own
-    (country, host, day, hour) counts: two scans of the log in all."""
-    logs = parsed_log(spark, sf_dir)
-    counts = checkpointed(rollup.host_counts(logs))
+    country, host shares, and the busiest hosts' day-hour activity, all from one
+    written table of counts per (country, host, day, hour): one scan of the log."""
+    slots = stored(calendar.host_slots(parsed_log(spark, sf_dir)), "host-slots")
+    counts = rollup.counts_from_slots(slots)
     req = rollup.requests_from_counts(counts).select(
         F.lit("requests").alias("series"), F.col("country").alias("x"), F.col("requests").cast("double").alias("y"))
     uniq = rollup.unique_from_counts(counts).select(
@@ -106,7 +100,7 @@ def chart_series(spark, sf_dir):
     share = rollup.shares_from_counts(counts).select(
         F.concat(F.lit("share:"), F.col("country")).alias("series"), F.col("host").alias("x"),
         F.col("percent").alias("y"))
-    grid = calendar.busiest_host_grid(logs).select(
+    grid = calendar.grid_from_slots(slots).select(
         F.concat(F.lit("activity:"), F.col("country")).alias("series"),
         F.format_string("%02d-%02d", F.col("day"), F.col("hour")).alias("x"),
         F.col("count").cast("double").alias("y"))

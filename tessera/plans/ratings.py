@@ -3,15 +3,15 @@ setting, user segments, the largest segment's liked items and top tags."""
 
 from __future__ import annotations
 
-import os
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics, models, ranking, segments, split, tags
-from ..session import ensure_checkpoint_dir, materialized
+from ..session import ensure_checkpoint_dir, materialized, shared
 from ..sources.files import table
 from ..sources.standins import movies_table, ratings_table, segments_table
 
@@ -57,11 +57,11 @@ def time_split_sizes(spark, sf_dir):
 def _segment_liked(spark, sf_dir):
     """Liked items of the largest market segment in every training split, all
     splits in one plan (each rating row joins the splits that contain it)."""
-    train = split.train_memberships(ranked(spark, sf_dir), FRACTIONS)
     members = segments.largest_cluster_members(segments_table(table(spark, sf_dir, "customer")))
-    split_members = members.withColumn(
-        "split", F.explode(F.array(*[F.lit(float(f)) for f in FRACTIONS])))
-    return segments.liked_items(train, split_members, group_cols=["split"])
+    # The members are the same in every split: keep their good ratings first,
+    # then copy those into the splits.
+    good = segments.good_ratings(ranked(spark, sf_dir), members)
+    return segments.items_liked(split.train_memberships(good, FRACTIONS), group_cols=["split"])
 
 
 def liked_items(spark, sf_dir):
@@ -83,9 +83,6 @@ def tag_indicators(spark, sf_dir):
     return tags.tag_indicators(movies(spark, sf_dir))
 
 
-_ALS: dict = {}
-
-
 def _index(spark, sf_dir, col: str, out_col: str) -> DataFrame:
     """Dense int index of a bigint key, built once per application."""
     return materialized(spark, f"index-{col}", sf_dir,
@@ -115,15 +112,14 @@ def als_model(spark, sf_dir, fraction: float, setting: str):
     """The factorisation of one split's training ratings under one setting.
     Seeded, so it is fitted once per application and shared by the error
     table and the user clustering."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), fraction, setting)
-    if key not in _ALS:
+    def fit():
         s = SETTINGS[setting]
         train, _ = split.time_split(_ranked_input(spark, sf_dir), fraction)
         ensure_checkpoint_dir(spark)
-        _ALS[key] = models.als(user="user", item="item", seed=SEED, rank=s["rank"],
-                               max_iter=s["max_iter"], reg_param=s["reg_param"],
-                               blocks=BLOCKS).fit(train)
-    return _ALS[key]
+        return models.als(user="user", item="item", seed=SEED, rank=s["rank"],
+                          max_iter=s["max_iter"], reg_param=s["reg_param"], blocks=BLOCKS).fit(train)
+
+    return shared(spark, f"als {fraction} {setting}", sf_dir, fit)
 
 
 def als_errors(spark, sf_dir, settings: list[str] | None = None, concurrency: int = 3):
@@ -135,6 +131,7 @@ def als_errors(spark, sf_dir, settings: list[str] | None = None, concurrency: in
     names = settings or list(SETTINGS)
     data = _ranked_input(spark, sf_dir)
 
+    @inheritable_thread_target(spark)
     def one(job):
         f, name = job
         s = SETTINGS[name]
@@ -154,26 +151,21 @@ def als_errors(spark, sf_dir, settings: list[str] | None = None, concurrency: in
     return spark.createDataFrame(rows, schema)
 
 
-_CLUSTERS: dict = {}
-
-
 def _split_clusters(spark, sf_dir, setting: str = "setting2"):
     """For each split: the user factors of its factorisation, clustered.
-    Seeded; kept per application and data folder."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), setting)
-    if key in _CLUSTERS:
-        return _CLUSTERS[key]
+    Seeded; written once per application and state of the inputs."""
+    def build():
+        _ranked_input(spark, sf_dir)  # build the shared input before the threads start
 
-    _ranked_input(spark, sf_dir)  # build the shared input before the threads start
+        @inheritable_thread_target(spark)
+        def one(f):
+            factors = _factor_keys(spark, sf_dir, als_model(spark, sf_dir, f, setting).userFactors)
+            return segments.cluster_factors(factors, CLUSTERS, SEED).withColumn("split", F.lit(f))
 
-    def one(f):
-        factors = _factor_keys(spark, sf_dir, als_model(spark, sf_dir, f, setting).userFactors)
-        return segments.cluster_factors(factors, CLUSTERS, SEED).withColumn("split", F.lit(f))
+        with ThreadPoolExecutor(max_workers=len(FRACTIONS)) as pool:
+            return reduce(DataFrame.unionByName, pool.map(one, FRACTIONS))
 
-    with ThreadPoolExecutor(max_workers=len(FRACTIONS)) as pool:
-        parts = list(pool.map(one, FRACTIONS))
-    _CLUSTERS[key] = reduce(DataFrame.unionByName, parts)
-    return _CLUSTERS[key]
+    return materialized(spark, f"clusters-{setting}", sf_dir, build)
 
 
 def user_clusters(spark, sf_dir):
@@ -187,7 +179,25 @@ def cluster_top_tags(spark, sf_dir):
     members = segments.largest_cluster_members(clusters, ["split"])
     train = split.train_memberships(ranked(spark, sf_dir), FRACTIONS)
     liked = segments.liked_items(train, members, group_cols=["split"])
-    items = movies(spark, sf_dir)
-    rows = tags.top_tags_rows(liked, items, 10, ["split"]).withColumn("form", F.lit("rows"))
-    per_item = tags.top_tags_items(liked, items, 10, ["split"]).withColumn("form", F.lit("items"))
-    return rows.unionByName(per_item)
+    return tags.top_tags_both(liked, movies(spark, sf_dir), 10, ["split"])
+
+
+def als_coverage(spark, sf_dir):
+    """Per split: test ratings, those the factorisation could score (its user
+    and item both occur in the train part), and their share."""
+    return als_errors(spark, sf_dir, settings=["setting1"]).select(
+        F.col("split"), "n_test", "n_scored", F.round("covered", 6).alias("covered"))
+
+
+def model_chart_series(spark, sf_dir):
+    """Chart-ready ``(series, x, y)`` of the factorisation: each error measure
+    by split and setting, and the sizes of the five largest user clusters."""
+    measures = ["rmse", "mse", "mae"]
+    errors = als_errors(spark, sf_dir)
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("y")) for m in measures]))
+    errors = errors.select("split", "setting", pairs.alias("p")).select(
+        F.concat_ws(":", "p.m", "setting").alias("series"), F.col("split").cast("string").alias("x"), F.col("p.y").alias("y"))
+    sizes = user_clusters(spark, sf_dir).select(
+        F.concat(F.lit("cluster_size:"), F.col("split").cast("string")).alias("series"),
+        F.col("rank").cast("string").alias("x"), F.col("size").cast("double").alias("y"))
+    return errors.unionByName(sizes)

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Defaults every job here relies on. AQE re-plans joins and shuffle sizes at run
 # time, splits skewed join partitions and turns small joins into broadcasts only
@@ -91,27 +92,45 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-_MATERIALIZED: dict = {}
+_SHARED: dict = {}
 
 
-def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
-    """A derived table built once per application and cut from its lineage by a
-    reliable checkpoint into the shared folder.
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Count, bytes and a hash over name, size and time of the Parquet files
+    under ``sf_dir``: changes when an input changes. File contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").load(sf_dir)
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"),
+                           F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
 
-    For inputs that several branches of a plan read (rank counts and the rows
-    they are attached to, train and test parts): without the cut each branch
-    recomputes the joins and aggregates behind it.
-    """
-    key = (spark.sparkContext.applicationId, name, os.path.abspath(sf_dir))
-    if key not in _MATERIALIZED:
-        ensure_checkpoint_dir(spark)
-        _MATERIALIZED[key] = build().checkpoint(eager=True)
-    return _MATERIALIZED[key]
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut a result that several branches of one plan read: written once to
-    the shared folder (reliable checkpoint), then every branch reads the
-    files instead of recomputing the plan behind them."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def shared(spark: SparkSession, name: str, sf_dir: str, build):
+    """What ``build()`` gives (a model, a path, a table), kept for the queries
+    of one application that need the same and built anew once an input file
+    under ``sf_dir`` has changed. ``release`` drops all of it."""
+    slot = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    state = input_state(spark, sf_dir)
+    if slot not in _SHARED or _SHARED[slot][0] != state:
+        _SHARED[slot] = (state, build())
+    return _SHARED[slot][1]
+
+
+def release(spark: SparkSession) -> None:
+    """Forget all shared models and tables of the session's application."""
+    for slot in [s for s in _SHARED if s[0] == spark.sparkContext.applicationId]:
+        del _SHARED[slot]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back, so
+    its readers prune columns and push filters into the files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """A derived table that several queries or branches of a plan read, written
+    once per application and state of the inputs: without it each branch
+    recomputes the joins and aggregates behind it."""
+    return shared(spark, name, sf_dir, lambda: stored(build(), name))

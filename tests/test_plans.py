@@ -44,3 +44,16 @@ def test_hot_host_top_k_and_counts(spark):
     assert top[0]["host"] == "hot.de" and top[0]["count"] == 1000
     uniq = {r["country_code"]: r["unique_hosts"] for r in rollup.country_unique_hosts(df).collect()}
     assert uniq == {"de": 2001, "ca": 7, "sg": 0}
+
+
+def test_shared_tables_are_pruned_scans(spark):
+    plan = _plan(ratings.time_split_sizes(spark, SF_SMALL))
+    assert "ReadSchema: struct<percent_rank:double>" in plan
+    plan = _plan(claims.stratified_split(spark, SF_SMALL))
+    assert "ReadSchema: struct<IDpol:bigint,hasClaim:int>" in plan
+
+
+def test_one_scan_per_one_hot_and_semi_join_before_the_copies(spark):
+    assert _plan(claims.one_hot(spark, SF_SMALL)).count("FileScan") == 1
+    plan = _plan(ratings.liked_items(spark, SF_SMALL))
+    assert plan.index("Generate explode") < plan.index("LeftSemi")

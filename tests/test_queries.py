@@ -42,11 +42,72 @@ def test_entry_smoke(spark):
     assert df.columns == ["country_code", "country", "rank", "host", "count", "percent"]
 
 
-def test_every_query_has_a_plan(spark):
-    for name, fn in E.queries().items():
-        if name in E.oracle_sql():
-            continue
-        assert fn is not None, name
+def test_top_tags_of_both_forms_in_one_pass(spark):
+    """Repeated tags, an item without tags, items not chosen and chosen twice."""
+    from tessera.operators import tags
+    items = spark.createDataFrame([(1, "a|a|b"), (2, "a|c"), (3, None), (4, "z|z")], "movieId long, genres string")
+    chosen = spark.createDataFrame([(0.4, 1), (0.4, 2), (0.4, 2), (0.4, 3), (0.6, 2), (0.6, 9)], "split double, movieId long")
+    both = tags.top_tags_both(chosen, items, 2, ["split"])
+    for form, one in (("rows", tags.top_tags_rows), ("items", tags.top_tags_items)):
+        expected = one(chosen, items, 2, ["split"]).collect()
+        assert sorted(both.where(f"form = '{form}'").drop("form").collect()) == sorted(expected)
+
+
+def test_cluster_top_tags_ranks(spark):
+    rows = E.queries()["cluster_top_tags"](spark, SF_SMALL).collect()
+    assert {r["form"] for r in rows} <= {"rows", "items"}
+    counts = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        counts.setdefault((r["split"], r["form"]), []).append(r["count"])
+    assert counts and all(c == sorted(c, reverse=True) and len(c) <= 10 for c in counts.values())
+
+
+def test_claim_coefficients_match_the_design_matrix(spark):
+    width = E.queries()["assembled_features"](spark, SF_SMALL).select("position").distinct().count()
+    rows = E.queries()["claim_coefficients"](spark, SF_SMALL).collect()
+    assert len(rows) == 3 * (width + 1)
+    assert {r["position"] for r in rows} == set(range(-1, width))
+    models = {r["model"]: r for r in E.queries()["claim_models"](spark, SF_SMALL).collect()}
+    for name, m in models.items():
+        assert m["n_coefficients"] == width and m["converged"]
+        assert m["n_nonzero"] == sum(r["coefficient"] != 0 for r in rows if r["model"] == name and r["position"] >= 0)
+
+
+def test_model_chart_series(spark):
+    rows = E.queries()["model_chart_series"](spark, SF_SMALL).collect()
+    errors = [r for r in rows if not r["series"].startswith("cluster_size")]
+    assert len(errors) == 3 * 3 * 2 and all(r["y"] > 0 for r in errors)
+    assert len(rows) > len(errors)
+
+
+def test_stratified_sample_takes_each_class(spark):
+    from tessera.plans import classifiers
+    total = {r[0]: r[1] for r in classifiers.features(spark, SF_ORACLE).groupBy("label").count().collect()}
+    taken = {r[0]: r[1] for r in E.queries()["stratified_sample"](spark, SF_ORACLE).groupBy("label").count().collect()}
+    for label, fraction in classifiers.CLASS_FRACTIONS.items():
+        assert abs(taken[label] / total[label] - fraction) < 0.15
+
+
+def test_changed_input_changes_the_result(spark, tmp_path):
+    """Shared tables follow the files they were built from."""
+    import shutil
+
+    from tessera import session
+    from tessera.plans import ratings
+    sf = tmp_path / "sf"
+    shutil.copytree(SF_SMALL, sf)
+    before = E.queries()["time_split_sizes"](spark, str(sf)).agg({"train_rows": "sum", "test_rows": "sum"}).first()
+    again = ratings.ratings(spark, str(sf))
+    assert again is ratings.ratings(spark, str(sf))
+    half = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").where("l_orderkey % 2 = 0").toPandas()
+    import os
+    os.chmod(sf, 0o755)
+    os.chmod(sf / "lineitem.parquet", 0o644)
+    half.to_parquet(sf / "lineitem.parquet", coerce_timestamps="us")
+    after = E.queries()["time_split_sizes"](spark, str(sf)).agg({"train_rows": "sum", "test_rows": "sum"}).first()
+    assert 0 < after[0] < before[0] and 0 < after[1] < before[1]
+    session.release(spark)
+    assert not session._SHARED
 
 
 def test_tag_forms_differ_on_repeats(spark):
@@ -118,24 +179,33 @@ def test_claim_models_properties(spark):
 
 def test_factorisation_on_dense_indices(spark):
     """ALS on dense indices; user factors mapped back to the keys."""
-    import os
-
     from tessera import session
     from tessera.plans import ratings
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(SF_SMALL))
-
-    def reset():
-        ratings._ALS.clear()
-        ratings._CLUSTERS.clear()
-        session._MATERIALIZED.pop((key[0], "als-input", key[1]), None)
-
-    reset()
-    try:
-        clusters = ratings._split_clusters(spark, SF_SMALL)
-        users = {r["userId"] for r in ratings.ratings(spark, SF_SMALL).select("userId").distinct().collect()}
-        ids = {r["id"] for r in clusters.select("id").distinct().collect()}
-        assert ids and ids <= users
-        assert len(E.queries()["als_errors"](spark, SF_SMALL).collect()) == 6
-    finally:
-        reset()
+    session.release(spark)
+    clusters = ratings._split_clusters(spark, SF_SMALL)
+    users = {r["userId"] for r in ratings.ratings(spark, SF_SMALL).select("userId").distinct().collect()}
+    ids = {r["id"] for r in clusters.select("id").distinct().collect()}
+    assert ids and ids <= users
+    assert len(E.queries()["als_errors"](spark, SF_SMALL).collect()) == 6
+
+
+def test_errors_do_not_depend_on_partitions_or_key_values(spark):
+    """Same factorisation errors from other partitions and from shifted keys."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators import metrics, models, ranking
+    base = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        (F.col("l_orderkey") % 97).alias("u"), (F.col("l_partkey") % 53).alias("i"),
+        F.col("l_quantity").alias("r")).groupBy("u", "i").agg(F.avg("r").alias("rating"))
+
+    def error(rows, parts):
+        data = rows.join(ranking.dense_index(rows, "u", "user"), "u").join(ranking.dense_index(rows, "i", "item"), "i") \
+            .repartition(parts)
+        model = models.als(user="user", item="item", rank=4, max_iter=3, blocks=10).fit(data)
+        return metrics.regression_metrics(model.transform(data), "rating").first()["rmse"]
+
+    first = error(base, 2)
+    shifted = base.select((7 * F.col("u") + 3).alias("u"), (13 * F.col("i") + 2**40).alias("i"), "rating")
+    assert math.isclose(first, error(base, 16), rel_tol=1e-6)
+    assert math.isclose(first, error(shifted, 5), rel_tol=1e-6)
