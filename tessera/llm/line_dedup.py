@@ -1,22 +1,27 @@
 """Content-defined line chunks, deduplicated over the whole corpus.
 
-A document's lines are cut where a rolling hash over the hashes of two
-neighbouring lines falls below a threshold, so the same run of lines is cut
-the same way wherever it stands (an inserted line shifts the following
-boundaries only until the next one). Chunks of two or more lines whose bytes
-occur more than once in the corpus are kept where they occur first and removed
-everywhere else.
+A rolling hash runs over the hashes of two neighbouring lines. Each of its
+first hex digits cuts a document's lines on its own, where the digit falls
+below a threshold, so the same run of lines is cut the same way wherever it
+stands (an inserted line shifts the following boundaries only until the next
+one), and a short passage that one digit does not separate from its
+surroundings may be separated by another. Chunks of two or more lines whose
+bytes occur more than once in the corpus, cut by whichever digit, are kept
+where they occur first and removed everywhere else.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
-# One line pair in four is a boundary: chunks of four lines on average.
-BOUNDARY_BELOW = "4"
+# Thresholds of the first digits: one line pair in four is a boundary for the
+# first (chunks of four lines on average), one in two for the others.
+BOUNDARIES_BELOW = ("4", "8", "8")
 
 
 def _with(value: Column, body) -> Column:
@@ -25,82 +30,85 @@ def _with(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _boundaries(lines: Column, below: str) -> Column:
-    """1-based numbers, from 2 on, of the lines that open a chunk."""
-    def flags(hashed: Column) -> Column:
+def _rolling(lines: Column) -> Column:
+    """MD5(hash(line i) + hash(line i+1)) of each two neighbouring lines."""
+    def pairs(hashed: Column) -> Column:
         inner = F.size(hashed) - 1
         return F.zip_with(F.slice(hashed, F.lit(1), inner), F.slice(hashed, F.lit(2), inner),
-                          lambda a, b: F.substring(F.md5(F.concat(a, b)), 1, 1) < F.lit(below))
+                          lambda a, b: F.md5(F.concat(a, b)))
+
+    return _with(F.transform(lines, lambda x: F.md5(x)), pairs)
+
+
+def _cut(lines: Column, rolling: Column, digit: int, below: str) -> Column:
+    """Chunks as structs ``start`` (1-based) and ``lines``: a line opens one when
+    the digit of its pair with the line before is under ``below``."""
+    numbers = F.transform(rolling, lambda x, i: F.when(F.substring(x, digit, 1) < F.lit(below), i + 2).otherwise(0))
+    return _with(F.array_remove(numbers, 0), lambda inner: F.zip_with(
+        F.concat(F.array(F.lit(1)), inner), F.concat(inner, F.array(F.size(lines) + 1)),
+        lambda a, b: F.struct(a.alias("start"), F.slice(lines, a, b - a).alias("lines"))))
+
 
-    numbers = F.transform(_with(F.transform(lines, lambda x: F.md5(x)), flags),
-                          lambda opens, i: F.when(opens, i + 2).otherwise(0))
-    return F.array_remove(numbers, 0)
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_chunks(text: Column, below: str = BOUNDARY_BELOW) -> Column:
-    """The text's chunks, each an array of lines; joined again by line feeds
-    they give the text back. Line i opens a chunk when the first hex digit of
-    MD5(hash(line i-1) + hash(line i)) is under ``below``."""
-    return _with(
-        F.split(F.coalesce(text, F.lit("")), "\n", -1),
-        lambda lines: _with(
-            _boundaries(lines, below),
-            lambda inner: F.zip_with(
-                F.concat(F.array(F.lit(1)), inner), F.concat(inner, F.array(F.size(lines) + 1)),
-                lambda a, b: F.slice(lines, a, b - a))))
+def line_chunks(text: Column, below: Sequence[str] = BOUNDARIES_BELOW) -> Column:
+    """All chunks of the text, those of the first digit first. The lines of one
+    digit's chunks, joined by line feeds, give the text back."""
+    return _with(_lines(text), lambda lines: _with(_rolling(lines), lambda rolling: F.concat(
+        *[_cut(lines, rolling, n + 1, t) for n, t in enumerate(below)])))
 
 
-def line_dedup(docs: DataFrame, below: str = BOUNDARY_BELOW) -> DataFrame:
+def line_dedup(docs: DataFrame, below: Sequence[str] = BOUNDARIES_BELOW) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text`` and any others) with the
     repeated chunks taken out of ``text``, plus a struct ``dedup`` of
     ``n_lines, removed_lines, removed_chunks``.
 
     A repeated chunk stays at its first place: smallest doc_id (null first),
-    then place in the document. Identical rows (same id and text) count as one
-    document: what stays in one stays in all. A null text counts as empty and
-    stays null; a text whose chunks all go becomes empty. Single lines are
-    never removed. An empty table gives an empty result.
+    then place in the document; lines of it that also lie in another repeated
+    chunk go if that one has an earlier place. So every line removed stands at
+    an earlier place. Identical rows (same id and text) count as one document:
+    what stays in one stays in all. A null text counts as empty and stays null; a
+    text whose lines all go becomes empty. Single lines are never removed. An
+    empty table gives an empty result.
     """
     rows = docs.select(F.struct("*").alias("row"))
     ident = F.xxhash64(F.coalesce("row.text", F.lit("")))
     chunked = rows.select(F.col("row.doc_id").alias("doc_id"), ident.alias("ident"),
-                          F.posexplode(line_chunks(F.col("row.text"), below)).alias("k", "lines")) \
-        .where(F.size("lines") > 1)
-    chunked = chunked.select("doc_id", "ident", "k", F.array_join("lines", "\n").alias("body")) \
-        .withColumn("digest", F.md5("body"))
+                          F.explode(F.filter(line_chunks(F.col("row.text"), below), lambda c: F.size(c["lines"]) > 1))
+                          .alias("c"))
+    chunked = chunked.select("doc_id", "ident", "c.start", F.size("c.lines").alias("n"),
+                             F.array_join("c.lines", "\n").alias("body")).withColumn("digest", F.md5("body"))
     # Grouping by digest and body compares the bytes; partial aggregation sends a
     # chunk that thousands of documents share once per task.
-    place = F.struct(F.col("doc_id"), F.col("ident"), F.col("k"))
+    place = F.struct(F.col("doc_id"), F.col("ident"), F.col("start"))
     groups = chunked.groupBy("digest", "body").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = stored(
-        groups.select("digest", "first", (F.col("first") != F.col("last")).alias("again"),
-                      F.xxhash64("body").alias("check")), "op5-chunks")
-    places = chunked.select("doc_id", "ident", "k", "digest", F.xxhash64("body").alias("check"))
-    gone = places.join(repeated.where("again").drop("again"), ["digest", "check"]) \
-        .where(~place.eqNullSafe(F.col("first")))
-    drop = gone.groupBy("doc_id", "ident").agg(F.collect_set("k").alias("drop")) \
+        groups.where("first != last").select("digest", "first", F.xxhash64("body").alias("check")), "op5-chunks")
+    places = chunked.select("doc_id", "ident", "start", "n", "digest", F.xxhash64("body").alias("check"))
+    gone = places.join(repeated, ["digest", "check"]).where(~place.eqNullSafe(F.col("first")))
+    drop = gone.groupBy("doc_id", "ident").agg(F.collect_set(F.struct("start", "n")).alias("drop")) \
         .select(F.struct("doc_id", "ident").alias("id"), "drop")
     marked = rows.withColumn("id", F.struct(F.col("row.doc_id").alias("doc_id"), ident.alias("ident"))) \
         .join(drop, "id", "left")
-    chunks = line_chunks(F.col("row.text"), below)
-    keep = F.filter(chunks, lambda c, i: ~F.array_contains(F.col("drop"), i))
-    out = marked.select(
-        "row", F.size(F.split(F.coalesce("row.text", F.lit("")), "\n", -1)).alias("n_lines"),
-        F.coalesce(F.size("drop"), F.lit(0)).alias("removed_chunks"),
-        F.when(F.col("drop").isNull(), F.array(F.array(F.col("row.text")))).otherwise(keep).alias("kept"))
-    kept_lines = F.flatten("kept")
+    lines = _lines(F.col("row.text"))
+    numbers = F.flatten(F.transform("drop", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1)))
+    out = marked.select("row", "drop", F.size(lines).alias("n_lines"),
+                        F.array_except(F.sequence(F.lit(1), F.size(lines)), numbers).alias("kept"))
+    left = _with(lines, lambda all_lines: F.transform("kept", lambda i: F.get(all_lines, i - 1)))
     out = out.select(
-        "row", F.array_join(kept_lines, "\n").alias("joined"),
-        F.struct("n_lines",
-                 F.when(F.col("removed_chunks") > 0, F.col("n_lines") - F.size(kept_lines)).otherwise(F.lit(0))
-                 .alias("removed_lines"), "removed_chunks").alias("dedup"))
-    text = F.when(F.col("row.text").isNull(), F.lit(None).cast("string")).otherwise(F.col("joined"))
+        "row", F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n")).alias("text"),
+        F.struct("n_lines", F.coalesce(F.col("n_lines") - F.when(F.col("drop").isNotNull(), F.size("kept")), F.lit(0))
+                 .alias("removed_lines"),
+                 F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop")).alias("removed_chunks"))
+        .alias("dedup"))
     cols = []
     for c in docs.columns:
         if c == "text":
-            cols.append(text.alias(c))
+            cols.append(F.col("text").alias(c))
         elif c == "n_chars":
-            cols.append(F.char_length(text).cast(docs.schema[c].dataType).alias(c))
+            cols.append(F.char_length("text").cast(docs.schema[c].dataType).alias(c))
         else:
             cols.append(F.col(f"row.`{c}`").alias(c))
     return out.select(*cols, F.col("dedup").alias(_free("dedup", docs.columns)))

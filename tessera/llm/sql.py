@@ -5,26 +5,29 @@ from __future__ import annotations
 SQL = {
     "op5_line_dedup": r"""
 WITH lines AS (
-  SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-flags AS (
-  SELECT doc_id, text, l,
-         list_filter(range(2, len(l) + 1), lambda i:
-           substr(md5(md5(l[i - 1]) || md5(l[i])), 1, 1) < '4') AS inner_starts FROM lines),
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+rolling AS (
+  SELECT doc_id, l, list_transform(range(2, len(l) + 1), lambda i: md5(md5(l[i - 1]) || md5(l[i]))) AS h FROM lines),
+cuts AS (
+  SELECT doc_id, l, list_filter(range(2, len(l) + 1), lambda i: substr(h[i - 1], digit, 1) < below) AS inner_starts
+  FROM rolling, (VALUES (1, '4'), (2, '8'), (3, '8')) AS d(digit, below)),
 bounds AS (
-  SELECT doc_id, text, l, list_concat([1], inner_starts) AS a,
-         list_concat(inner_starts, [len(l) + 1]) AS b FROM flags),
+  SELECT doc_id, l, list_concat([1], inner_starts) AS a, list_concat(inner_starts, [len(l) + 1]) AS b FROM cuts),
 chunks AS (
-  SELECT doc_id, text, len(l) AS n_lines, k, b[k] - a[k] AS n,
-         array_to_string(l[a[k]:b[k] - 1], chr(10)) AS body
-  FROM (SELECT *, unnest(range(1, len(a) + 1)) AS k FROM bounds)),
+  SELECT DISTINCT doc_id, a[k] AS start, b[k] - a[k] AS n, array_to_string(l[a[k]:b[k] - 1], chr(10)) AS body
+  FROM (SELECT *, unnest(range(1, len(a) + 1)) AS k FROM bounds) WHERE b[k] - a[k] > 1),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, k) AS occurrence FROM chunks)
-SELECT doc_id,
-       coalesce(string_agg(body, chr(10) ORDER BY k) FILTER (NOT (n > 1 AND occurrence > 1)), '') AS text,
-       any_value(n_lines)::BIGINT AS n_lines,
-       coalesce(sum(n) FILTER (n > 1 AND occurrence > 1), 0)::BIGINT AS removed_lines,
-       count(*) FILTER (n > 1 AND occurrence > 1)::BIGINT AS removed_chunks
-FROM ranked GROUP BY doc_id
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS occurrence FROM chunks),
+gone AS (SELECT doc_id, start, n FROM ranked WHERE occurrence > 1),
+gone_lines AS (SELECT DISTINCT doc_id, unnest(range(start, start + n)) AS i FROM gone),
+all_lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM lines),
+rest AS (
+  SELECT a.doc_id, string_agg(line, chr(10) ORDER BY a.i) FILTER (g.i IS NULL) AS text, count(*) AS n_lines,
+         count(g.i) AS removed_lines
+  FROM all_lines a LEFT JOIN gone_lines g ON a.doc_id = g.doc_id AND a.i = g.i GROUP BY a.doc_id),
+n_gone AS (SELECT doc_id, count(*) AS removed_chunks FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(text, '') AS text, n_lines, removed_lines, coalesce(removed_chunks, 0) AS removed_chunks
+FROM rest LEFT JOIN n_gone USING (doc_id)
 """,
     "op6_exact_dedup": r"""
 WITH d AS (

@@ -97,8 +97,31 @@ def test_chunks_join_back_to_the_text(spark):
     texts = ["a\n\nb\n", "\n\n\n", "x", "\n".join(map(str, range(500))), "same\n" * 300]
     frame = docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
     from pyspark.sql import functions as F
-    back = frame.select("text", F.array_join(F.flatten(line_dedup.line_chunks(F.col("text"))), "\n").alias("back"))
-    assert all(r.text == r.back for r in back.collect())
+    for digit in ("4", "8", "g"):
+        chunks = line_dedup.line_chunks(F.col("text"), (digit,))
+        back = frame.select("text", F.array_join(F.flatten(F.transform(chunks, lambda c: c["lines"])), "\n").alias("back"))
+        assert all(r.text == r.back for r in back.collect())
+
+
+def test_removed_lines_stand_at_an_earlier_place(spark):
+    rng = np.random.default_rng(4)
+    passages = [[f"p{k} {i}" for i in range(n)] for k, n in enumerate((2, 3, 4, 6, 9) * 6)]
+    rows = []
+    for i in range(200):
+        own = [f"own {i} {k}" for k in range(int(rng.integers(0, 6)))]
+        at = int(rng.integers(0, len(own) + 1))
+        rows.append((i, "\n".join(own[:at] + passages[int(rng.integers(0, 30))] + own[at:]), "a"))
+    out = {r.doc_id: r for r in line_dedup.line_dedup(docs(spark, rows)).collect()}
+    seen, gone, repeats = set(), 0, 0
+    for i, text, _ in rows:
+        before, after = text.split("\n"), out[i].text.split("\n") if out[i].text else []
+        assert [x for x in before if x in after] == after  # an order-keeping part
+        lost = set(before) - set(after)
+        assert lost <= seen and len(lost) == out[i].dedup.removed_lines and out[i].dedup.n_lines == len(before)
+        assert not any(x.startswith("own") for x in lost)
+        gone, repeats = gone + len(lost), repeats + len([x for x in before if x in seen])
+        seen |= set(after)
+    assert gone > 0.6 * repeats
 
 
 def packed_ok(rows, out):
