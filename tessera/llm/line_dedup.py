@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-# Thresholds of the first digits: one line pair in four is a boundary for the
-# first (chunks of four lines on average), one in two for the others.
-BOUNDARIES_BELOW = ("4", "8", "8")
+# Per digit: the threshold it cuts below, and the most lines of a chunk taken
+# from it (None: any). One line pair in four is a boundary for the first digit
+# (chunks of four lines on average), one in two for the second, which is only
+# there for short passages.
+CUTS = (("4", None), ("8", 3))
 
 
 def _with(value: Column, body) -> Column:
@@ -40,27 +42,33 @@ def _rolling(lines: Column) -> Column:
     return _with(F.transform(lines, lambda x: F.md5(x)), pairs)
 
 
-def _cut(lines: Column, rolling: Column, digit: int, below: str) -> Column:
-    """Chunks as structs ``start`` (1-based) and ``lines``: a line opens one when
-    the digit of its pair with the line before is under ``below``."""
+def _cut(lines: Column, rolling: Column, digit: int, below: str, most: int | None) -> Column:
+    """Chunks of up to ``most`` lines as structs ``start`` (1-based) and ``lines``: a
+    line opens one when the digit of its pair with the line before is under
+    ``below``."""
     numbers = F.transform(rolling, lambda x, i: F.when(F.substring(x, digit, 1) < F.lit(below), i + 2).otherwise(0))
-    return _with(F.array_remove(numbers, 0), lambda inner: F.zip_with(
+    spans = _with(F.array_remove(numbers, 0), lambda inner: F.zip_with(
         F.concat(F.array(F.lit(1)), inner), F.concat(inner, F.array(F.size(lines) + 1)),
-        lambda a, b: F.struct(a.alias("start"), F.slice(lines, a, b - a).alias("lines"))))
+        lambda a, b: F.struct(a.alias("start"), (b - a).alias("n"))))
+    if most is not None:
+        spans = F.filter(spans, lambda c: c["n"] <= most)
+    return F.transform(spans, lambda c: F.struct(c["start"].alias("start"),
+                                                 F.slice(lines, c["start"], c["n"]).alias("lines")))
 
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_chunks(text: Column, below: Sequence[str] = BOUNDARIES_BELOW) -> Column:
-    """All chunks of the text, those of the first digit first. The lines of one
-    digit's chunks, joined by line feeds, give the text back."""
+def line_chunks(text: Column, cuts: Sequence[tuple[str, int | None]] = CUTS) -> Column:
+    """All chunks of the text, those of the first digit first. The lines of a
+    digit's chunks, if it takes all of them, give the text back when joined by
+    line feeds."""
     return _with(_lines(text), lambda lines: _with(_rolling(lines), lambda rolling: F.concat(
-        *[_cut(lines, rolling, n + 1, t) for n, t in enumerate(below)])))
+        *[_cut(lines, rolling, n + 1, below, most) for n, (below, most) in enumerate(cuts)])))
 
 
-def line_dedup(docs: DataFrame, below: Sequence[str] = BOUNDARIES_BELOW) -> DataFrame:
+def line_dedup(docs: DataFrame, cuts: Sequence[tuple[str, int | None]] = CUTS) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text`` and any others) with the
     repeated chunks taken out of ``text``, plus a struct ``dedup`` of
     ``n_lines, removed_lines, removed_chunks``.
@@ -76,7 +84,7 @@ def line_dedup(docs: DataFrame, below: Sequence[str] = BOUNDARIES_BELOW) -> Data
     rows = docs.select(F.struct("*").alias("row"))
     ident = F.xxhash64(F.coalesce("row.text", F.lit("")))
     chunked = rows.select(F.col("row.doc_id").alias("doc_id"), ident.alias("ident"),
-                          F.explode(F.filter(line_chunks(F.col("row.text"), below), lambda c: F.size(c["lines"]) > 1))
+                          F.explode(F.filter(line_chunks(F.col("row.text"), cuts), lambda c: F.size(c["lines"]) > 1))
                           .alias("c"))
     chunked = chunked.select("doc_id", "ident", "c.start", F.size("c.lines").alias("n"),
                              F.array_join("c.lines", "\n").alias("body")).withColumn("digest", F.md5("body"))

@@ -9,13 +9,14 @@ WITH lines AS (
 rolling AS (
   SELECT doc_id, l, list_transform(range(2, len(l) + 1), lambda i: md5(md5(l[i - 1]) || md5(l[i]))) AS h FROM lines),
 cuts AS (
-  SELECT doc_id, l, list_filter(range(2, len(l) + 1), lambda i: substr(h[i - 1], digit, 1) < below) AS inner_starts
-  FROM rolling, (VALUES (1, '4'), (2, '8'), (3, '8')) AS d(digit, below)),
+  SELECT doc_id, l, most, list_filter(range(2, len(l) + 1), lambda i: substr(h[i - 1], digit, 1) < below) AS inner_starts
+  FROM rolling, (VALUES (1, '4', NULL), (2, '8', 3)) AS d(digit, below, most)),
 bounds AS (
-  SELECT doc_id, l, list_concat([1], inner_starts) AS a, list_concat(inner_starts, [len(l) + 1]) AS b FROM cuts),
+  SELECT doc_id, l, most, list_concat([1], inner_starts) AS a, list_concat(inner_starts, [len(l) + 1]) AS b FROM cuts),
 chunks AS (
   SELECT DISTINCT doc_id, a[k] AS start, b[k] - a[k] AS n, array_to_string(l[a[k]:b[k] - 1], chr(10)) AS body
-  FROM (SELECT *, unnest(range(1, len(a) + 1)) AS k FROM bounds) WHERE b[k] - a[k] > 1),
+  FROM (SELECT *, unnest(range(1, len(a) + 1)) AS k FROM bounds) 
+  WHERE b[k] - a[k] BETWEEN 2 AND coalesce(most, b[k] - a[k])),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS occurrence FROM chunks),
 gone AS (SELECT doc_id, start, n FROM ranked WHERE occurrence > 1),

@@ -98,7 +98,7 @@ def test_chunks_join_back_to_the_text(spark):
     frame = docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
     from pyspark.sql import functions as F
     for digit in ("4", "8", "g"):
-        chunks = line_dedup.line_chunks(F.col("text"), (digit,))
+        chunks = line_dedup.line_chunks(F.col("text"), ((digit, None),))
         back = frame.select("text", F.array_join(F.flatten(F.transform(chunks, lambda c: c["lines"])), "\n").alias("back"))
         assert all(r.text == r.back for r in back.collect())
 
