@@ -87,14 +87,16 @@ def line_dedup(docs: DataFrame, cuts: Sequence[tuple[str, int | None]] = CUTS) -
                           F.explode(F.filter(line_chunks(F.col("row.text"), cuts), lambda c: F.size(c["lines"]) > 1))
                           .alias("c"))
     chunked = chunked.select("doc_id", "ident", "c.start", F.size("c.lines").alias("n"),
-                             F.array_join("c.lines", "\n").alias("body")).withColumn("digest", F.md5("body"))
-    # Grouping by digest and body compares the bytes; partial aggregation sends a
+                             F.array_join("c.lines", "\n").alias("body"))
+    # Grouping by the body compares the bytes; partial aggregation sends a
     # chunk that thousands of documents share once per task.
     place = F.struct(F.col("doc_id"), F.col("ident"), F.col("start"))
-    groups = chunked.groupBy("digest", "body").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    groups = chunked.groupBy("body").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = stored(
-        groups.where("first != last").select("digest", "first", F.xxhash64("body").alias("check")), "op5-chunks")
-    places = chunked.select("doc_id", "ident", "start", "n", "digest", F.xxhash64("body").alias("check"))
+        groups.where("first != last").select(F.md5("body").alias("digest"), F.xxhash64("body").alias("check"), "first"),
+        "op5-chunks")
+    places = chunked.select("doc_id", "ident", "start", "n", F.md5("body").alias("digest"),
+                            F.xxhash64("body").alias("check"))
     gone = places.join(repeated, ["digest", "check"]).where(~place.eqNullSafe(F.col("first")))
     drop = gone.groupBy("doc_id", "ident").agg(F.collect_set(F.struct("start", "n")).alias("drop")) \
         .select(F.struct("doc_id", "ident").alias("id"), "drop")
