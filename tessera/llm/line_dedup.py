@@ -1,6 +1,11 @@
-"""Content-defined line chunks, deduplicated over the whole corpus.
+"""Repeated runs of lines, deduplicated over the whole corpus.
 
-A rolling hash runs over the hashes of two neighbouring lines. Each of its
+By default every two neighbouring lines are a chunk, so whether a line goes
+depends on nothing but the run it stands in: each line of a run of two or more
+lines that stands at an earlier place goes, whatever stands around the run.
+
+With ``cuts`` chunks are content-defined instead (the rule of the query's SQL):
+a rolling hash runs over the hashes of two neighbouring lines. Each of its
 first hex digits cuts a document's lines on its own, where the digit falls
 below a threshold, so the same run of lines is cut the same way wherever it
 stands (an inserted line shifts the following boundaries only until the next
@@ -68,7 +73,17 @@ def line_chunks(text: Column, cuts: Sequence[tuple[str, int | None]] = CUTS) ->
         *[_cut(lines, rolling, n + 1, below, most) for n, (below, most) in enumerate(cuts)])))
 
 
-def line_dedup(docs: DataFrame, cuts: Sequence[tuple[str, int | None]] = CUTS) -> DataFrame:
+def _pair_digests(text: Column) -> Column:
+    """SHA-256 of each two neighbouring lines with the line feed between them."""
+    def pairs(lines: Column) -> Column:
+        inner = F.size(lines) - 1
+        return F.zip_with(F.slice(lines, F.lit(1), inner), F.slice(lines, F.lit(2), inner),
+                          lambda a, b: F.unhex(F.sha2(F.concat(a, F.lit("\n"), b), 256)))
+
+    return _with(_lines(text), pairs)
+
+
+def line_dedup(docs: DataFrame, cuts: Sequence[tuple[str, int | None]] | None = None) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text`` and any others) with the
     repeated chunks taken out of ``text``, plus a struct ``dedup`` of
     ``n_lines, removed_lines, removed_chunks``.
@@ -83,21 +98,26 @@ def line_dedup(docs: DataFrame, cuts: Sequence[tuple[str, int | None]] = CUTS) -
     """
     rows = docs.select(F.struct("*").alias("row"))
     ident = F.xxhash64(F.coalesce("row.text", F.lit("")))
-    chunked = rows.select(F.col("row.doc_id").alias("doc_id"), ident.alias("ident"),
-                          F.explode(F.filter(line_chunks(F.col("row.text"), cuts), lambda c: F.size(c["lines"]) > 1))
-                          .alias("c"))
-    chunked = chunked.select("doc_id", "ident", "c.start", F.size("c.lines").alias("n"),
-                             F.array_join("c.lines", "\n").alias("body"))
-    # Grouping by the body compares the bytes; partial aggregation sends a
-    # chunk that thousands of documents share once per task.
+    at = [F.col("row.doc_id").alias("doc_id"), ident.alias("ident")]
     place = F.struct(F.col("doc_id"), F.col("ident"), F.col("start"))
-    groups = chunked.groupBy("body").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = stored(
-        groups.where("first != last").select(F.md5("body").alias("digest"), F.xxhash64("body").alias("check"), "first"),
-        "op5-chunks")
-    places = chunked.select("doc_id", "ident", "start", "n", F.md5("body").alias("digest"),
-                            F.xxhash64("body").alias("check"))
-    gone = places.join(repeated, ["digest", "check"]).where(~place.eqNullSafe(F.col("first")))
+    ends = [F.min(place).alias("first"), F.max(place).alias("last")]
+    if cuts is None:
+        keys = ["digest"]
+        places = rows.select(*at, F.posexplode(_pair_digests(F.col("row.text"))).alias("start", "digest"))
+        places = places.select("doc_id", "ident", (F.col("start") + 1).alias("start"), F.lit(2).alias("n"), "digest")
+        repeated = places.groupBy("digest").agg(*ends).where("first != last").select("digest", "first")
+    else:
+        keys = ["digest", "check"]
+        chunked = rows.select(*at, F.explode(F.filter(line_chunks(F.col("row.text"), cuts),
+                                                      lambda c: F.size(c["lines"]) > 1)).alias("c"))
+        chunked = chunked.select("doc_id", "ident", "c.start", F.size("c.lines").alias("n"),
+                                 F.array_join("c.lines", "\n").alias("body"))
+        # Grouping by the body compares the bytes; partial aggregation sends a
+        # chunk that thousands of documents share once per task.
+        hashes = [F.md5("body").alias("digest"), F.xxhash64("body").alias("check")]
+        repeated = chunked.groupBy("body").agg(*ends).where("first != last").select(*hashes, "first")
+        places = chunked.select("doc_id", "ident", "start", "n", *hashes)
+    gone = places.join(stored(repeated, "op5-chunks"), keys).where(~place.eqNullSafe(F.col("first")))
     drop = gone.groupBy("doc_id", "ident").agg(F.collect_set(F.struct("start", "n")).alias("drop")) \
         .select(F.struct("doc_id", "ident").alias("id"), "drop")
     marked = rows.withColumn("id", F.struct(F.col("row.doc_id").alias("doc_id"), ident.alias("ident"))) \

@@ -124,6 +124,17 @@ def test_removed_lines_stand_at_an_earlier_place(spark):
     assert gone > 0.6 * repeats
 
 
+def test_passages_go_whole_whatever_stands_around(spark):
+    rows = [(i, "\n".join([f"before {i}", *[f"passage {n} {k}" for k in range(n)], f"after {i}"]), "a")
+            for n in (2, 3, 4, 6, 9) for i in range(100 * n, 100 * n + 8)]
+    out = line_dedup.line_dedup(docs(spark, rows)).collect()
+    for r in out:
+        if r.doc_id % 100:
+            assert r.text == f"before {r.doc_id}\nafter {r.doc_id}"
+        else:
+            assert r.dedup.removed_lines == 0
+
+
 def packed_ok(rows, out):
     """Every token once, crc and places as by the other library, no padding."""
     import public_tokenizers
