@@ -1,20 +1,28 @@
-"""Main text of web pages by differencing pages with their nearest URL.
+"""Main text of web pages by differencing pages with their nearest URLs.
 
-Within each host, pages are ordered by URL path and paired with the neighbour
-whose path is most alike. The text lines of the two are aligned by their
-longest common subsequence; lines both share are template, not article, and
-go. Structure decides where it speaks: what stands in navigation, headers,
-footers, asides, forms, adverts, notices or comments always goes, and lines in
-an article or main element are kept even if shared (pages quote and copy each
-other, and a copy must not empty its original).
+Within each host, pages are ordered by URL path and every page is compared with
+its two neighbours, the one whose path is most alike first. The text lines of
+two pages are aligned by their longest common subsequence; a line matches one
+with the same text in the same kind of place (inside or outside an article or
+main element). What is shared is template, and goes. Structure only vetoes or
+supports:
 
+* what stands in navigation, headers, footers, asides, forms, adverts, notices
+  or comments always goes;
+* a line outside an article goes if the nearest page that is no copy shares it;
+* a line in an article goes only if two different neighbours have it at the same
+  place (as many article lines from the first or from the last one), neither of
+  which shares over half of the article's words (pages quote and copy each
+  other, and a copy must not empty its original).
+
+A page that has no neighbour to compare with is judged by structure alone.
 Only line hashes move to find pairs; each page's HTML is shuffled once.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html import unescape
 
 import numpy as np
@@ -176,21 +184,43 @@ def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def line_hashes(lines: list[tuple[str, int]]) -> np.ndarray:
+    """63 bits of each line's text, the lowest bit tells whether it is in an article."""
     import xxhash
-    return np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t, _ in lines], dtype=np.uint64)
+    return np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) & ~1 | (zone == ARTICLE)
+                     for t, zone in lines], dtype=np.uint64)
+
+
+def same_place(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which entries of ``a`` are in ``b`` as far from the first or the last one."""
+    hit = np.zeros(len(a), dtype=bool)
+    n = min(len(a), len(b))
+    hit[:n] = a[:n] == b[:n]
+    hit[len(a) - n:] |= a[len(a) - n:] == b[len(b) - n:]
+    return hit
 
 
-def main_text(lines: list[tuple[str, int]], partner: np.ndarray | None) -> str:
-    """Lines in an article, and without an article all lines the partner does
-    not share."""
-    if any(zone == ARTICLE for _, zone in lines):
-        return "\n".join(t for t, zone in lines if zone == ARTICLE)
-    if partner is None or not len(partner):
-        return "\n".join(t for t, _ in lines)
-    hit = shared_lines(line_hashes(lines), partner)
-    own = [t for (t, _), gone in zip(lines, hit, strict=True) if not gone]
-    # A copy shares every line with its original: then nothing tells template from text.
-    return "\n".join(own if own else [t for t, _ in lines])
+def main_text(lines: list[tuple[str, int]], neighbours: Sequence[np.ndarray] | None) -> str:
+    """The lines that are no template of the ``neighbours`` (line hashes, the
+    nearest page first)."""
+    article = np.array([zone == ARTICLE for _, zone in lines], dtype=bool)
+    hashes = line_hashes(lines)
+    shared, others = [], []
+    for i, other in enumerate(neighbours or ()):
+        if len(other) and not any(np.array_equal(other, same) for same in neighbours[:i]):
+            hit = shared_lines(hashes, other)
+            if not hit.all():  # a copy does not tell template from text
+                shared.append(hit)
+                others.append(other)
+    if not shared:
+        keep = article if article.any() else ~article
+    else:
+        keep = ~shared[0] | article
+        words = np.array([len(t.split()) for t, _ in lines]) * article
+        votes = [same_place(hashes[article], other[other & 1 == 1]) for hit, other in zip(shared, others, strict=True)
+                 if 2 * words[hit].sum() <= words.sum()]
+        if len(votes) > 1:
+            keep[np.flatnonzero(article)[votes[0] & votes[1]]] = False
+    return "\n".join(t for (t, _), stays in zip(lines, keep, strict=True) if stays)
 
 
 def _hash_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -199,19 +229,20 @@ def _hash_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "lines": [line_hashes(page_lines(h)).tobytes() for h in frame["html"]]})
 
 
-def _text(html: pd.Series, partner: pd.Series) -> pd.Series:
-    return pd.Series([main_text(page_lines(h), None if p is None else np.frombuffer(p, dtype=np.uint64))
-                      for h, p in zip(html, partner, strict=True)], dtype=object)
+def _text(html: pd.Series, neighbours: pd.Series) -> pd.Series:
+    return pd.Series([main_text(page_lines(h), None if n is None else [np.frombuffer(x, dtype=np.uint64) for x in n])
+                      for h, n in zip(html, neighbours, strict=True)], dtype=object)
 
 
 def url_neighbours(pages: DataFrame) -> DataFrame:
-    """``page_id, partner_id``: for each page the page of its host next to it in
-    path order, of the two the one with the longer common start of path.
+    """``page_id, near``: for each page the ids of the pages of its host before
+    and after it in path order, the one with the longer common start of path
+    first; at either end the two next ones.
 
     Hosts are cut into stretches by directory, and directories of more than
     STRETCH pages further by a hash of the id, so neither a host nor a path with very many pages meets whole in
-    one task; the first and last page of a stretch have one neighbour to choose
-    from, a page alone in its stretch none.
+    one task; a page of a stretch of two has one neighbour, a page alone in its
+    stretch none.
     """
     rest = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     path = F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), r"/+$", "")
@@ -224,16 +255,17 @@ def url_neighbours(pages: DataFrame) -> DataFrame:
     rows = rows.join(long, ["host", "stretch"], "left").withColumn(
         "part", F.pmod(F.xxhash64("page_id"), F.coalesce("parts", F.lit(1))))
     w = Window.partitionBy("host", "stretch", "part").orderBy("path", "page_id")
-    near = rows.select(
-        "page_id", "path", *[f(c).over(w).alias(f"{n}_{c}") for n, f in (("before", F.lag), ("after", F.lead))
-                             for c in ("page_id", "path")])
+    at = F.struct("page_id", "path")
+    near = rows.select("page_id", "path", *[f(at, n).over(w).alias(f"{name}{n}") for n in (1, 2)
+                                            for name, f in (("before", F.lag), ("after", F.lead))])
     alike = lambda c: F.coalesce(
         F.length(F.regexp_extract(F.concat("path", F.lit("\n"), F.coalesce(c, F.lit(""))), r"^(.*).*\n\1", 1)), F.lit(-1))
-    partner = F.when(F.col("before_page_id").isNull(), F.col("after_page_id")) \
-        .when(F.col("after_page_id").isNull(), F.col("before_page_id")) \
-        .when(alike(F.col("after_path")) > alike(F.col("before_path")), F.col("after_page_id")) \
-        .otherwise(F.col("before_page_id"))
-    return near.select("page_id", partner.alias("partner_id")).where("partner_id is not null")
+    two = F.when(F.col("before1").isNull(), F.array("after1", "after2")) \
+        .when(F.col("after1").isNull(), F.array("before1", "before2")) \
+        .when(alike(F.col("after1.path")) > alike(F.col("before1.path")), F.array("after1", "before1")) \
+        .otherwise(F.array("before1", "after1"))
+    return near.select("page_id", F.transform(F.array_compact(two), lambda c: c["page_id"]).alias("near")) \
+        .where(F.size("near") > 0)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -249,11 +281,12 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     near = url_neighbours(pages)
     hashes = pages.where(F.col("page_id").isNotNull()).select("page_id", "html") \
         .mapInPandas(_hash_rows, "page_id long, lines binary")
-    hashes = hashes.groupBy("page_id").agg(F.min("lines").alias("partner"))
-    partners = stored(near.join(hashes.withColumnRenamed("page_id", "partner_id"), "partner_id")
-                      .select(F.col("page_id").alias("id"), "partner"), "op4-partners")
+    hashes = hashes.groupBy("page_id").agg(F.min("lines").alias("lines"))
+    pairs = near.select(F.col("page_id").alias("id"), F.posexplode("near").alias("nth", "page_id"))
+    partners = pairs.join(hashes, "page_id").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("nth", "lines"))).alias("n"))
+    partners = stored(partners.select("id", F.col("n.lines").alias("neighbours")), "op4-partners")
     rows = pages.select("page_id", "url", "html")
     rows = rows.join(partners, rows["page_id"] == partners["id"], "left")
     text = F.pandas_udf(_text, "string")
-    return rows.select("page_id", "url", text("html", "partner").alias("text")) \
+    return rows.select("page_id", "url", text("html", "neighbours").alias("text")) \
         .withColumn("n_chars", F.char_length("text").cast("bigint"))

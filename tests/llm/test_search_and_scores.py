@@ -184,6 +184,20 @@ def test_shared_lines_go_where_there_is_no_article(spark):
     assert html_text.extract_main_text(frame.limit(0)).count() == 0
 
 
+def test_pages_with_an_article_are_differenced_too(spark):
+    page = ("<div>Welcome</div><p>Intro %d</p><article><p>Story %d tells of many things at some length</p><p>%s</p>"
+            "<div class='author-box'>By the editors</div></article>")
+    rows = [(i, f"http://h/a/{i}", PAGE % page % (i, i, "A quote two pages have" if i < 3 else f"More {i}"))
+            for i in range(1, 6)]
+    rows += [(i, f"http://c/{i}", PAGE % "<article><p>Copied text</p><p>and more of it</p></article>") for i in (6, 7, 8)]
+    out = html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    text = {r.page_id: r.text for r in out}
+    for i in range(1, 6):
+        quote = "A quote two pages have" if i < 3 else f"More {i}"
+        assert text[i] == f"Intro {i}\nStory {i} tells of many things at some length\n{quote}"
+    assert {text[i] for i in (6, 7, 8)} == {"Copied text\nand more of it"}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12))
 def test_shared_lines_are_a_longest_common_subsequence(a, b):
