@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import range_count, stored
 
 # Element and class names by their role on a page.
 SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "textarea",
@@ -57,7 +57,6 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 SPACE_RUN = re.compile(r"\s+")
 ARTICLE, PLAIN, GONE = 2, 1, 0
-STRETCH = 5000
 
 
 def _zone(tag: str, attributes: str, zone: int) -> int:
@@ -239,25 +238,36 @@ def url_neighbours(pages: DataFrame) -> DataFrame:
     and after it in path order, the one with the longer common start of path
     first; at either end the two next ones.
 
-    Hosts are cut into stretches by directory, and directories of more than
-    STRETCH pages further by a hash of the id, so neither a host nor a path with very many pages meets whole in
-    one task; a page of a stretch of two has one neighbour, a page alone in its
-    stretch none.
+    The pages of all hosts are dealt by ranges of (host, path, id) and ordered
+    inside each range; the rows next to a range's edges are handed to it from
+    the ranges around, so neither their number nor where they cut moves a result.
     """
     rest = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     path = F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), r"/+$", "")
     rows = pages.where(F.col("page_id").isNotNull()).select(
         "page_id", F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)).alias("host"), path.alias("path"))
     rows = rows.groupBy("page_id").agg(F.min(F.struct("host", "path")).alias("u")).select("page_id", "u.host", "u.path")
-    rows = rows.withColumn("stretch", F.regexp_extract("path", r"^(.*/)?", 0))
-    long = rows.groupBy("host", "stretch").count().where(F.col("count") > STRETCH) \
-        .select("host", "stretch", F.ceil(F.col("count") / STRETCH).alias("parts"))
-    rows = rows.join(long, ["host", "stretch"], "left").withColumn(
-        "part", F.pmod(F.xxhash64("page_id"), F.coalesce("parts", F.lit(1))))
-    w = Window.partitionBy("host", "stretch", "part").orderBy("path", "page_id")
+    rows = stored(rows, "op4-paths")
+    order = ["host", "path", "page_id"]
+    ranges = range_count(rows.count())
+    rows = stored(rows.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()), "op4-ranges")
+    w = Window.partitionBy("part").orderBy(*order)
+    # The first and last two rows of each range (a table bounded by MAX_RANGES)
+    # hold the two rows on either side of every range.
+    placed = rows.withColumn("nth", F.row_number().over(w)) \
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("part")))
+    edges = sorted((r.part, r.nth, r.host, r.path, r.page_id)
+                   for r in placed.where("nth <= 2 or nth > n - 2").select("part", "nth", *order).collect())
+    starts = [i for i, e in enumerate(edges) if i == 0 or edges[i - 1][0] != e[0]]
+    handed = [(edges[i][0], *e[2:]) for i, end in zip(starts, [*starts[1:], len(edges)], strict=True)
+              for e in (*edges[max(0, i - 2):i], *edges[end:end + 2])] if edges else []
+    handed = rows.sparkSession.createDataFrame(handed, "part int, host string, path string, page_id long")
+    rows = rows.select("part", *order, F.lit(True).alias("own")).unionByName(
+        handed.withColumn("own", F.lit(False)))
     at = F.struct("page_id", "path")
-    near = rows.select("page_id", "path", *[f(at, n).over(w).alias(f"{name}{n}") for n in (1, 2)
-                                            for name, f in (("before", F.lag), ("after", F.lead))])
+    same_host = lambda f, n: F.when(f("host", n).over(w) == F.col("host"), f(at, n).over(w))
+    near = rows.select("own", "page_id", "path", *[same_host(f, n).alias(f"{name}{n}") for n in (1, 2)
+                                                   for name, f in (("before", F.lag), ("after", F.lead))]).where("own")
     alike = lambda c: F.coalesce(
         F.length(F.regexp_extract(F.concat("path", F.lit("\n"), F.coalesce(c, F.lit(""))), r"^(.*).*\n\1", 1)), F.lit(-1))
     two = F.when(F.col("before1").isNull(), F.array("after1", "after2")) \

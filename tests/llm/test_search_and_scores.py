@@ -9,6 +9,8 @@ pytest.importorskip("tessera.llm")
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tessera.llm import ann, html_text, ngram_join, quality, toxicity  # noqa: E402
 from tessera.llm.graph import components  # noqa: E402
 from tessera.llm.queries import op1_nearest  # noqa: E402
@@ -198,6 +200,21 @@ def test_pages_with_an_article_are_differenced_too(spark):
     assert {text[i] for i in (6, 7, 8)} == {"Copied text\nand more of it"}
 
 
+def test_pages_meet_their_neighbours_in_the_host(spark, monkeypatch):
+    urls = sorted([("h%d" % (i % 3), f"/{i % 7}/{i:03d}/page") for i in range(60)] + [("lone", "/a"), ("two", "/a/x"), ("two", "/b")])
+    pages = [(i, f"http://{host}{path}") for i, (host, path) in enumerate(urls)]
+    frame = spark.createDataFrame(pages, "page_id long, url string").orderBy(F.rand(1))
+    want = {}
+    for i, (host, _) in enumerate(urls):
+        mates = [k for k, (other, _) in enumerate(urls) if other == host and k != i]
+        want[i] = set([k for k in (i - 1, i + 1) if k in mates] if i - 1 in mates and i + 1 in mates
+                      else sorted(mates, key=lambda k: abs(k - i))[:2])
+    for ranges in (1, 5, 40):
+        monkeypatch.setattr(html_text, "range_count", lambda n, ranges=ranges: ranges)
+        near = {r.page_id: set(r.near) for r in html_text.url_neighbours(frame).collect()}
+        assert near == {i: mates for i, mates in want.items() if mates}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12))
 def test_shared_lines_are_a_longest_common_subsequence(a, b):
