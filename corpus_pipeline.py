@@ -7,7 +7,7 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import line_dedup, mixing, ngram_join, packing, quality
@@ -26,14 +26,21 @@ def without_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id. Rows
-    repeating its id count as copies: the longest text stays. Documents without
-    words, and rows without an id, belong to no group and stay."""
-    kept = ngram_join.similar_documents(docs).where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """Of each group of near duplicate texts the row with the smallest id, of
+    those the longest text. Rows repeating an id are texts of their own, so none
+    goes that is no near duplicate. Texts without words belong to no group: of
+    rows with the same id and such text one stays. Rows without an id all stay."""
+    rows = docs.where("doc_id is not null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # Written once, as the numbers follow the partitions.
+    rows = stored(rows.withColumn("number", F.monotonically_increasing_id()), "numbered")
     text = F.coalesce("row.text", F.lit(""))
-    first = Window.partitionBy("row.doc_id").orderBy(F.desc(F.length(text)), text)
-    rows = rows.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
+    light = rows.select("number", F.col("row.doc_id").alias("id"), F.length(text).alias("n"), F.sha2(text, 256).alias("sha"))
+    groups = ngram_join.similar_documents(rows.select(F.col("number").alias("doc_id"), "row.text"))
+    wordless = F.when(F.col("n_shingles") == 0, F.struct("id", "sha"))
+    kept = light.join(groups, light["number"] == groups["doc_id"]) \
+        .groupBy(F.when(F.col("n_shingles") > 0, F.col("component_id")), wordless) \
+        .agg(F.min(F.struct("id", -F.col("n"), "sha", "number"))["number"].alias("kept")).select("kept")
+    rows = rows.join(kept, rows["number"] == kept["kept"], "left_semi").select("row.*")
     return rows.unionByName(docs.where("doc_id is null"))
 
 

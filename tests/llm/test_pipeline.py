@@ -65,3 +65,11 @@ def test_stages_take_odd_rows_and_nothing(spark):
                 assert out.count() == 0
     kept = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, schema), SF)
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_rows_sharing_an_id_lose_only_near_duplicates(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 40), ("b", 60), ("c", 30)))
+    rows = [(1, a), (1, b), (2, a), (2, c), (2, c), (3, b + " more"), (4, " "), (4, " "), (4, ""), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (2, c), (4, " "), (4, ""), (None, a)], key=str)
