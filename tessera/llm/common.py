@@ -31,6 +31,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once; lambdas inside ``body``
+    may then use it per element without computing it again."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def hash_key(*parts: Column) -> Column:
     """Uniform integer in [0, 2^60) from the text of ``parts`` (null counts as
     empty); the first 15 hex digits of an MD5, so plain SQL can repeat it."""
@@ -78,3 +84,10 @@ def running_sums(df: DataFrame, light: DataFrame, group: list[str], key: str, or
     added = {out: F.col(f"__off_{out}") + F.coalesce(F.sum(v).over(inside), F.lit(0))
              for out, v in sums.items()}
     return rows.withColumns(added).drop("__range", *[f"__off_{out}" for out in sums])
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added until no column of ``taken`` is so called."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name

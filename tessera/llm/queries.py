@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, html_text, line_dedup, mixing, ngram_join, packing, quality, sharding, toxicity
+from . import ann, exact_dedup, fill_middle, filter_audit, html_text, license_scan, line_dedup, mixing, ngram_join
+from . import packing, quality, sharding, toxicity
 from .common import table
 
 
@@ -53,6 +54,33 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                       F.sha2("fim.output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("fim.output"), F.col("fim.form")), 256)
+                       .alias("restored_sha256"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+    def labels(column: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(column)), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("bigint").alias("n_base"),
+        F.array_min("phrases.start").cast("bigint").alias("first_word"),
+        F.array_max("phrases.start").cast("bigint").alias("last_word"),
+        labels(F.col("phrases.label")).alias("base_labels"),
+        labels(F.concat("phrases.label", "passages.label")).alias("labels"),
+        F.coalesce(F.array_max("passages.share"), F.lit(0.0)).alias("score"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_nearest": op1_nearest,
     "op2_toxicity": op2_toxicity,
@@ -64,4 +92,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_license_scan": op12_license_scan,
+    "op13_filter_audit": op13_filter_audit,
 }

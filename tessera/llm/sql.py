@@ -2,6 +2,16 @@
 
 from __future__ import annotations
 
+from . import license_scan
+
+# Every passage word with its place: plain SQL compares all of them everywhere.
+_PASSAGE_WORDS = ",\n    ".join(
+    f"({t}, '{p.label}', {len(p.text.split())}, {license_scan.least_hits(len(p.text.split()))}, "
+    f"{len(keys)}, {i}, '{w}', {str(i in keys).lower()})"
+    for t, p in enumerate(license_scan.PASSAGES)
+    for keys in [license_scan.key_places(p.text.split(), p.key_phrases)]
+    for i, w in enumerate(p.text.split()))
+
 SQL = {
     "op5_line_dedup": r"""
 WITH lines AS (
@@ -68,5 +78,92 @@ SELECT doc_id, source, size, source_size, target,
        ((CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END) * size
         + greatest(0, least(size, budget - (CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END) * source_size - before)))::BIGINT AS taken
 FROM b
+""",
+    "op11_fill_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+l AS (
+  SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines,
+         ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (
+  SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a,
+         greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+p AS (
+  SELECT *, coalesce(array_to_string(lines[1:a], ''), '') AS prefix,
+         coalesce(array_to_string(lines[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(lines[b + 1:], ''), '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+""",
+    "op12_license_scan": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM w),
+next AS (
+  SELECT *, lead(word) OVER o AS second, lead(word, 2) OVER o AS third FROM words
+  WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+base AS (
+  SELECT doc_id, i, 'mit' AS label FROM next WHERE word = 'mit' AND second = 'license'
+  UNION ALL SELECT doc_id, i, 'apache' FROM next WHERE word = 'apache' AND second = 'license'
+  UNION ALL SELECT doc_id, i, 'gpl' FROM next WHERE word = 'general' AND second = 'public' AND third = 'license'),
+passage(t, label, n, hits, n_keys, p, word, key) AS (VALUES
+    """ + _PASSAGE_WORDS + r"""),
+starts AS (
+  SELECT doc_id, t, label, n, count(*) AS same FROM words JOIN passage USING (word)
+  GROUP BY doc_id, t, label, n, hits, n_keys, i - p
+  HAVING count(*) >= hits AND count(*) FILTER (key) = n_keys),
+b AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+a AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM base UNION ALL SELECT doc_id, label FROM starts) GROUP BY doc_id),
+s AS (SELECT doc_id, max(same / n) AS score FROM starts GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id) LEFT JOIN s USING (doc_id)
+""",
+    "op13_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM d),
+fails AS (
+  SELECT f.part, quality = 1 AS good, toxic = 1 AS toxic, a::INT + b::INT + c::INT + d::INT + e::INT AS n_failed,
+         map(['A', 'B', 'C', 'D', 'E'], [a, b, c, d, e]) AS failed
+  FROM f LEFT JOIN labels USING (doc_id)),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM orders),
+judged AS (
+  SELECT part, filter_order, step, good, toxic, n_failed, failed[substr(filter_order, step, 1)] AS fails,
+         len(list_filter(range(1, step), lambda k: failed[substr(filter_order, k, 1)])) > 0 AS gone
+  FROM fails, steps),
+counted AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS x, count(*) FILTER (NOT gone AND NOT fails) AS kept,
+         count(*) FILTER (fails AND NOT gone) AS removed, count(*) FILTER (fails AND gone) AS redundant,
+         count(*) FILTER (fails AND n_failed = 1) AS unique_fails,
+         count(*) FILTER (fails AND NOT gone AND good) AS good_lost,
+         count(*) FILTER (fails AND NOT gone AND toxic) AS toxic_lost
+  FROM judged GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM counted
 """,
 }
