@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .arrays import mix64
-from .common import free_name
+from .common import bind, free_name
 
 PREFIX, SUFFIX, MIDDLE = SENTINELS = ("<P>", "<S>", "<M>")
 SEED, RATE, SPM_RATE = 7, 100, 50
@@ -71,12 +71,11 @@ class SkipList:
 def line_widths(text: Column) -> Column:
     """Code points of each line, its line feed included; what follows the last
     line feed is a line if it is not empty."""
-    parts = F.transform(F.split(text, "\n", -1), lambda part: F.char_length(part) + 1)
-    n = F.char_length(text)
-    # The last part has no line feed: one less, and no line at all if that is 0.
-    return F.when(n == 0, F.array().cast("array<int>")).when(
-        F.endswith(text, F.lit("\n")), F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(
-        F.transform(parts, lambda w, i: F.when(i == F.size(parts) - 1, w - 1).otherwise(w)))
+    parts = F.transform(F.split(text, "\n", -1), lambda part: F.char_length(part))
+    # The last part has no line feed, and is no line if it is empty.
+    return bind(parts, lambda n: F.concat(
+        F.transform(F.slice(n, F.lit(1), F.size(n) - 1), lambda chars: chars + 1),
+        F.filter(F.slice(n, F.size(n), F.lit(1)), lambda chars: chars > 0)))
 
 
 @F.pandas_udf(StructType([StructField("first", LongType()), StructField("second", LongType())]))

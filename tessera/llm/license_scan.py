@@ -98,7 +98,7 @@ def words_of(text: Column) -> Column:
 
 
 def _literal(words: Sequence[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
+    return F.split(F.lit(" ".join(words)), " ")
 
 
 def key_places(words: Sequence[str], phrases: Sequence[str]) -> list[int]:
@@ -142,44 +142,52 @@ def phrase_places(words: Column, phrases: dict[str, str]) -> Column:
     return F.flatten(F.array_compact(F.transform(words, found)))
 
 
-def passage_places(words: Column, held: Column, passage: Passage, rarity: dict[str, int],
-                   threshold: float = THRESHOLD, votes: int = VOTES) -> Column:
-    """Where the passage stands in ``words``, as structs of ``start, label,
-    share``. ``held`` is the file's vocabulary; ``rarity`` ranks the words, rarest
-    first."""
-    own = passage.text.split()
-    distinct = sorted(set(own), key=lambda w: (rarity[w], w))
-    hits = least_hits(len(own), threshold)
-    wrong = len(own) - hits
-    keys = key_places(own, passage.key_phrases)
-    template = _literal(own)
-    postings = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(p).alias("place")) for p, w in enumerate(own)])
-    empty = F.array().cast("array<struct<start:int,label:string,share:double>>")
+def passage_index(passages: Sequence[Passage], rarity: dict[str, int], threshold: float = THRESHOLD) -> Column:
+    """The passages as one constant array of structs: ``label``, ``words``, ``keys``
+    (places of the key phrases), ``rarest`` (distinct words, rarest first) and
+    ``hits`` (fewest equal words)."""
+    def spaced(values: Sequence) -> Column:
+        return F.split(F.lit(" ".join(map(str, values))), " ")
+
+    def entry(passage: Passage) -> Column:
+        own = passage.text.split()
+        return F.struct(
+            F.lit(passage.label).alias("label"), spaced(own).alias("words"),
+            spaced(key_places(own, passage.key_phrases)).cast("array<int>").alias("keys"),
+            spaced(sorted(set(own), key=lambda w: (rarity[w], w))).alias("rarest"),
+            F.lit(least_hits(len(own), threshold)).alias("hits"))
+
+    return F.array(*[entry(passage) for passage in passages])
+
+
+def passage_places(words: Column, held: Column, passage: Column, votes: int = VOTES) -> Column:
+    """Where the passage (an entry of the index) stands in ``words``, as structs
+    of ``start, label, share``. ``held`` is the file's part of the vocabulary."""
+    own, wrong = passage["words"], F.size(passage["words"]) - passage["hits"]
 
     def starts_of(probes: Column, needed: Column) -> Column:
         spots = F.array_compact(F.transform(words, lambda w, i: F.when(
             F.array_contains(probes, w), F.struct(i.alias("i"), w.alias("w")))))
-        starts = F.flatten(F.transform(spots, lambda s: F.transform(
-            F.filter(postings, lambda p: p["word"] == s["w"]), lambda p: s["i"] - p["place"])))
+        starts = F.flatten(F.transform(spots, lambda s: F.array_compact(F.transform(
+            own, lambda w, place: F.when(w == s["w"], s["i"] - place)))))
         return bind(F.array_sort(starts), lambda ordered: F.array_distinct(F.filter(
             ordered, lambda start, i: F.get(ordered, i + needed - 1) == start)))
 
     def compared(start: Column) -> Column:
-        same = F.size(F.filter(template, lambda w, p: F.get(words, start + p) == w))
-        keyed = F.lit(True)
-        for p in keys:
-            keyed = keyed & (F.get(words, start + p) == own[p])
-        return F.when(keyed, bind(same, lambda n: F.when(n >= hits, F.struct(
-            start.alias("start"), F.lit(passage.label).alias("label"), (n / float(len(own))).alias("share")))))
+        keyed = F.forall(passage["keys"], lambda place: F.coalesce(
+            F.get(words, start + place) == F.get(own, place), F.lit(False)))
+        same = F.size(F.filter(own, lambda w, place: F.get(words, start + place) == w))
+        return F.when(keyed, bind(same, lambda n: F.when(n >= passage["hits"], F.struct(
+            start.alias("start"), passage["label"].alias("label"), (n / F.size(own)).alias("share")))))
 
     def search(present: Column) -> Column:
         # The words the file lacks are wrong places already.
-        missing = len(distinct) - F.size(present)
-        probes = F.slice(present, F.lit(1), F.lit(wrong + votes))
-        return F.when(missing > wrong, empty).otherwise(bind(probes, lambda looked_up: F.array_compact(F.transform(
+        missing = F.size(passage["rarest"]) - F.size(present)
+        probes = F.slice(present, F.lit(1), wrong + votes)
+        return F.when(missing <= wrong, bind(probes, lambda looked_up: F.array_compact(F.transform(
             starts_of(looked_up, F.greatest(F.lit(1), F.size(looked_up) - wrong + missing)), compared))))
 
-    return bind(F.array_intersect(_literal(distinct), held), search)
+    return bind(F.array_intersect(passage["rarest"], held), search)
 
 
 def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, passages: Sequence[Passage] = PASSAGES,
@@ -199,9 +207,11 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, passages:
     ranked = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rarity = {w: i for i, w in enumerate(ranked)}
 
+    index = passage_index(passages, rarity, threshold)
+
     def scanned(words: Column) -> Column:
-        found = bind(F.array_intersect(_literal(vocabulary), words), lambda held: F.flatten(F.array(*[
-            passage_places(words, held, p, rarity, threshold) for p in passages])))
+        found = bind(F.array_intersect(_literal(vocabulary), words), lambda held: F.flatten(F.array_compact(
+            F.transform(index, lambda passage: passage_places(words, held, passage)))))
         return F.struct(F.size(words).cast("bigint").alias("n_words"),
                         phrase_places(words, phrases).alias("phrases"), found.alias("passages"))
 
