@@ -66,6 +66,18 @@ def weighted_f1(df: DataFrame, label: str, prediction: str = "prediction",
     return per.groupBy(*g).agg(*aggs) if g else per.agg(*aggs)
 
 
+def f1_of_counts(counts: list[tuple[float, float, int]]) -> float:
+    """The weighted F1 of a confusion table ``(label, prediction, rows)`` that
+    is already on the driver; 0 without rows."""
+    total = sum(n for _, _, n in counts)
+    value = 0.0
+    for cls in {y for y, _, _ in counts}:
+        hit = sum(n for y, p, n in counts if y == p == cls)
+        actual, predicted = sum(n for y, _, n in counts if y == cls), sum(n for _, p, n in counts if p == cls)
+        value += actual / total * 2 * hit / (actual + predicted)  # 2 p r / (p + r)
+    return value
+
+
 def area_under_roc(df: DataFrame, label: str, score: Column | str,
                    group_cols: list[str] | None = None) -> DataFrame:
     """Exact AUC: P(score of a positive > score of a negative) + half the ties.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.recommendation import ALS
@@ -48,6 +48,21 @@ def gbt(label: str = "label", features: str = "features", max_iter: int = 5,
                          maxDepth=max_depth, seed=seed, lossType="logistic")
 
 
+def boosted_prefix(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` rounds: each round's tree and weight
+    depend on the rounds before it only."""
+    spark = SparkSession.active()
+    whole, jvm, new_array = model._java_obj, spark._jvm, spark.sparkContext._gateway.new_array
+    trees = new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = new_array(jvm.double, rounds)
+    all_trees = whole.trees()
+    for i, weight in enumerate(model.treeWeights[:rounds]):
+        trees[i], weights[i] = all_trees[i], weight
+    cut = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        whole.uid(), trees, weights, model.numFeatures, model.numClasses))
+    return model._copyValues(cut, {model.maxIter: rounds})
+
+
 def perceptron(n_features: int, hidden: tuple[int, ...] = (5, 4), n_classes: int = 2,
                label: str = "label", features: str = "features", max_iter: int = 100,
                block_size: int = 128, seed: int = 17) -> MultilayerPerceptronClassifier:

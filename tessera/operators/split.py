@@ -5,11 +5,18 @@ parity with ``sampleBy`` / ``randomSplit`` / ``sample``."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ranking import percent_rank
 
+HASH_BITS = 60
+ROWS_PER_BIN = 4096
+MAX_BIN_BITS = 20
+
 
 def hash_uniform(key: Column | str, salt: str = "") -> Column:
     """A number in [0, 1) from the first 8 hex digits of ``md5(salt || key)``."""
@@ -18,6 +25,13 @@ def hash_uniform(key: Column | str, salt: str = "") -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def hash_order(*keys: Column | str, salt: str = "") -> Column:
+    """Uniform integer in [0, 2^60): the first 15 hex digits of ``md5(salt ||
+    keys joined by colons)``, null keys left out. 60 bits, so rows of even a very large table rarely tie."""
+    cols = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.concat_ws(":", *cols))), 1, 15), 16, 10).cast("bigint")
+
+
 def hash_fold(key: Column | str, folds: int, salt: str = "") -> Column:
     """Fold 0 to ``folds`` - 1 of a row, by key hash."""
     return F.floor(hash_uniform(key, salt) * folds).cast("int")
@@ -95,11 +109,26 @@ def with_class_weight(df: DataFrame, label: str, out_col: str = "weight") -> Dat
 
 
 def rebalance(df: DataFrame, key: str, label: str, salt: str = "") -> DataFrame:
-    """Shrink every class to the size of the smallest, by key hash (exact,
-    repeatable); the minority class is kept whole."""
-    keep = class_counts(df, label).select(label, "keep_fraction")
-    return df.join(keep, label) \
-        .filter(hash_uniform(key, salt) < F.col("keep_fraction")).drop("keep_fraction")
+    """Shrink every class to exactly the size of the smallest, by key hash
+    (repeatable); the minority class is kept whole."""
+    smallest = df.groupBy(label).count().agg(F.min("count")).first()[0] or 0
+    return smallest_hashes(df, [key], [label], lambda rows: F.lit(smallest), salt)
+
+
+def exact_stratified_sample(df: DataFrame, key: str, label: str, fractions: dict, salt: str = "") -> DataFrame:
+    """Of each class exactly ``floor(fraction * rows)`` rows, by key hash; classes
+    without a fraction go."""
+    known = df.where(F.col(label).isin(list(fractions)))
+    share = F.lit(0.0)
+    for cls, f in fractions.items():
+        share = F.when(F.col("_g0") == F.lit(cls).cast(df.schema[label].dataType).cast("string"), F.lit(float(f))) \
+            .otherwise(share)
+    return smallest_hashes(known, [key], [label], lambda rows: F.floor(rows * share), salt)
+
+
+def exact_sample(df: DataFrame, keys: list[str], fraction: float, salt: str = "") -> DataFrame:
+    """Exactly ``floor(fraction * rows)`` rows, by key hash."""
+    return smallest_hashes(df, keys, [], lambda rows: F.floor(rows * fraction), salt)
 
 
 def rebalance_seeded(df: DataFrame, label: str, seed: int) -> DataFrame:
@@ -108,6 +137,42 @@ def rebalance_seeded(df: DataFrame, label: str, seed: int) -> DataFrame:
     return df.sampleBy(label, {r[0]: float(min(1.0, r[1])) for r in rows}, seed)
 
 
+def smallest_hashes(df: DataFrame, keys: list[str], group_cols: list[str], size: Callable[[Column], Column],
+                    salt: str = "", rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
+    """Exactly ``size(rows of the group)`` rows of each group, those with the
+    smallest key hashes (ties by the keys); without ``group_cols`` of the whole
+    table. A null group is a group; a size beyond the group's rows takes all.
+
+    Hashes are counted in bins of equal width, per group; a running sum over
+    the bins finds the one in which the last hash taken lies. Rows of lower bins
+    are taken, rows of that bin (the wait list, about ``rows_per_bin``) are
+    ranked among themselves, and no other row is sorted or moved. One row per
+    group is broadcast, so groups are meant to be classes, not keys. Rows that
+    repeat all keys share a hash and are told apart arbitrarily.
+    """
+    g = [f"_g{i}" for i in range(len(group_cols) or 1)]
+    groups = [F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in group_cols] or [F.lit("")]
+    named = df.withColumns(dict(zip(g, groups, strict=True))).withColumn("_hash", hash_order(*keys, salt=salt))
+    counts = named.groupBy(*g).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = counts.agg(F.max("_rows")).first()[0] or 0
+    bits = min(MAX_BIN_BITS, max(0, math.ceil(math.log2(max(1, largest / rows_per_bin)))))
+    hashed = named.withColumn("_bin", F.shiftright("_hash", HASH_BITS - bits).cast("int"))
+    bins = hashed.groupBy(*g, "_bin").agg(F.count(F.lit(1)).alias("_rows"))
+    so_far = Window.partitionBy(*g).orderBy("_bin")
+    bins = bins.select(*g, "_bin", F.sum("_rows").over(so_far).alias("_upto"), "_rows",
+                       F.sum("_rows").over(Window.partitionBy(*g)).alias("_all")) \
+        .withColumn("_size", size(F.col("_all")).cast("bigint"))
+    # The first bin that holds enough; none if the whole group is taken.
+    enough = F.when(F.col("_upto") >= F.col("_size"),
+                    F.struct("_bin", (F.col("_size") - F.col("_upto") + F.col("_rows")).alias("left")))
+    cuts = bins.groupBy(*g).agg(F.min(enough).alias("_cut"))
+    placed = hashed.join(F.broadcast(cuts), g)
+    certain = placed.where("_cut is null or _bin < _cut._bin")
+    rank = F.row_number().over(Window.partitionBy(*g).orderBy("_hash", *keys))
+    waiting = placed.where("_bin = _cut._bin").withColumn("_rank", rank).where("_rank <= _cut.left").drop("_rank")
+    return certain.unionByName(waiting).select(*df.columns)
+
+
 def time_ranked(df: DataFrame, time_col: str) -> DataFrame:
     """Add the exact global ``percent_rank`` by time (ties share a rank).
     Timestamps, with or without zone, are ranked as exact microseconds."""

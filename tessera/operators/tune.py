@@ -2,15 +2,26 @@
 
 One grid per estimator (a shared grid over foreign parameters only repeats
 identical fits). Folds fit in parallel from the driver; each fit is itself a
-distributed job.
+distributed job. ``prefix_search`` fits no more often than it must: maps that
+differ only in a number of rounds share one fit of the longest, whose first
+rounds are the shorter models.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+import numpy as np
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import metrics
+
 
 def param_grid(estimator, axes: dict[str, list]) -> list:
     """``{param name: values}`` to a list of param maps for ``estimator``."""
@@ -31,6 +42,79 @@ def cross_validate(pipeline, grid: list, evaluator, train: DataFrame, folds: int
     return cv.fit(train)
 
 
+def shared_fits(grid: list, rounds: str | None) -> list[list[int]]:
+    """Positions of the maps in ``grid`` that one fit serves: those equal in
+    every parameter but ``rounds``, fewest rounds first."""
+    groups: dict[tuple, list[int]] = {}
+    for i, pm in enumerate(grid):
+        key = tuple(sorted((p.name, repr(v)) for p, v in pm.items() if p.name != rounds))
+        groups.setdefault(key, []).append(i)
+    return [sorted(g, key=lambda i: _rounds(grid[i], rounds)) for g in groups.values()] if rounds \
+        else [[i] for i in range(len(grid))]
+
+
+def _rounds(pm: dict, rounds: str):
+    return next(v for p, v in pm.items() if p.name == rounds)
+
+
+def prefix_search(estimator: Estimator, grid: list, train: DataFrame, label: str, fold_col: str, folds: int,
+                  rounds: str | None = None, prefix: Callable[[Model, int], Model] | None = None,
+                  stages: Estimator | None = None, parallelism: int = 4) -> CrossValidatorModel:
+    """Cross-validate ``grid`` by weighted F1 over the folds that ``fold_col``
+    names (0 to ``folds`` - 1), and refit the best map (the first of equals) on
+    all of ``train``; the result reads like a ``CrossValidatorModel``.
+
+    ``rounds`` names a parameter whose smaller values give the first part of the
+    fit with a larger one (boosting rounds); ``prefix(model, n)`` cuts that part
+    out. ``stages`` are fitted before the estimator, once per fold, as no map
+    changes them. All models of one fit score its fold in one job. ``train``
+    is read by every fit: persist it.
+    """
+    groups = shared_fits(grid, rounds)
+    spark = train.sparkSession
+
+    def parts(fold: int):
+        fit, held_out = train.where(F.col(fold_col) != fold), train.where(F.col(fold_col) == fold)
+        if stages is not None:
+            model = stages.fit(fit)
+            fit, held_out = model.transform(fit), model.transform(held_out)
+        return fit, held_out
+
+    @inheritable_thread_target(spark)
+    def scores(job) -> list[tuple[int, int, float]]:
+        fold, group = job
+        fit, held_out = by_fold[fold]
+        longest = estimator.fit(fit, grid[group[-1]])
+        scored = held_out
+        for k, i in enumerate(group):
+            model = longest if i == group[-1] else prefix(longest, _rounds(grid[i], rounds))
+            named = model.copy().setPredictionCol(f"_p{k}").setRawPredictionCol("").setProbabilityCol("")
+            scored = named.transform(scored)
+        each = F.array(*[F.struct(F.lit(i).alias("map"), F.col(f"_p{k}").alias("prediction"))
+                         for k, i in enumerate(group)])
+        counts = scored.select(F.col(label).alias("label"), F.explode(each).alias("s")) \
+            .groupBy("s.map", "label", "s.prediction").count().collect()  # maps x classes x classes rows
+        return [(i, fold, metrics.f1_of_counts([(r["label"], r["prediction"], r["count"]) for r in counts
+                                                if r["map"] == i])) for i in group]
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        by_fold = list(pool.map(inheritable_thread_target(spark)(parts), range(folds)))
+        found = [r for rows in pool.map(scores, [(k, g) for g in reversed(groups) for k in range(folds)]) for r in rows]
+    table = np.zeros((folds, len(grid)))
+    for i, fold, value in found:
+        table[fold, i] = value
+    means = table.mean(axis=0)
+    best = grid[int(np.argmax(means))]
+    if stages is None:
+        model = estimator.fit(train, best)
+    else:
+        first = stages.fit(train)
+        model = PipelineModel([first, estimator.fit(first.transform(train), best)])
+    cv = CrossValidatorModel(model, means.tolist(), None, table.std(axis=0).tolist())
+    return cv._set(estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(labelCol=label),
+                   numFolds=folds)
+
+
 def _value(v):
     return list(v) if isinstance(v, (list, tuple)) else v
 

@@ -303,9 +303,19 @@ SQL["class_weights"] = _COLLISION + """
 SELECT f.vec_id, f.label, round(c.weight, 6) AS weight FROM feats f JOIN cls c USING (label)"""
 
 SQL["rebalanced"] = _COLLISION + """
-SELECT f.vec_id, f.label FROM feats f JOIN cls c USING (label)
-WHERE CAST(('0x' || substr(md5('collision' || CAST(f.vec_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0
-      < c.keep_fraction"""
+SELECT vec_id, label FROM feats
+QUALIFY row_number() OVER (PARTITION BY label ORDER BY substr(md5('collision' || CAST(vec_id AS VARCHAR)), 1, 15), vec_id)
+        <= (SELECT MIN(n) FROM cc)"""
+
+SQL["exact_stratified_sample"] = _COLLISION + """
+SELECT vec_id, label FROM feats JOIN cc USING (label)
+QUALIFY row_number() OVER (PARTITION BY label ORDER BY substr(md5('collision-strata' || CAST(vec_id AS VARCHAR)), 1, 15), vec_id)
+        <= floor(n * CASE label WHEN 0 THEN 0.5 ELSE 0.25 END)"""
+
+SQL["exact_sample"] = _RATINGS + """
+SELECT userId, movieId FROM ratings
+QUALIFY row_number() OVER (ORDER BY substr(md5('ratings' || userId || ':' || movieId), 1, 15), userId, movieId)
+        <= (SELECT floor(COUNT(*) * 0.1) FROM ratings)"""
 
 SQL["chart_series"] = _LOGS + """
 , totals AS (SELECT country_code, COUNT(*) AS requests FROM clogs GROUP BY 1),
@@ -438,6 +448,19 @@ SELECT o_orderpriority, o_orderstatus, c_mktsegment, round(p, 6) AS tree,
 FROM groups g JOIN sides s ON s.v = CASE s.col WHEN 'o_orderpriority' THEN o_orderpriority
                                          WHEN 'o_orderstatus' THEN o_orderstatus ELSE c_mktsegment END"""
 
+SQL["boosting_rounds"] = _TRAIN.replace("WITH ", "WITH RECURSIVE ", 1) + """
+, sides AS (
+  SELECT CAST(o_orderstatus = 'F' AS INTEGER) AS is_f, AVG(turned)::DOUBLE AS p FROM tr GROUP BY 1
+),
+margins AS (
+  SELECT is_f, p, 1 AS rounds, 2 * p - 1 AS margin FROM sides
+  UNION ALL
+  SELECT is_f, p, rounds + 1,
+         margin + 0.2::DOUBLE * (p * 4 / (1 + exp(2 * margin)) - (1 - p) * 4 / (1 + exp(-2 * margin)))
+  FROM margins WHERE rounds < 4
+)
+SELECT is_f, rounds, round(1 / (1 + exp(-2 * margin)), 6) AS score FROM margins"""
+
 SQL["layerless_perceptron"] = _TRAIN + """
 SELECT o_orderstatus, CASE WHEN AVG(turned) > 0.5 THEN 1 ELSE 0 END AS predicted FROM tr GROUP BY 1"""
 

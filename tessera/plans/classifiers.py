@@ -7,8 +7,6 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,10 +51,16 @@ def class_weights(spark, sf_dir):
 
 
 def rebalanced(spark, sf_dir):
-    """Every class shrunk to the minority's size by key hash (repeatable)."""
+    """Every class shrunk to exactly the minority's size by key hash (repeatable)."""
     return split.rebalance(features(spark, sf_dir), "vec_id", "label", SALT).select("vec_id", "label")
 
 
+def exact_stratified_sample(spark, sf_dir):
+    """Exactly the floor of a given fraction of each class, by key hash."""
+    data = features(spark, sf_dir).select("vec_id", "label")
+    return split.exact_stratified_sample(data, "vec_id", "label", CLASS_FRACTIONS, SALT + "-strata")
+
+
 def stratified_sample(spark, sf_dir):
     """``sampleBy`` with a given fraction per class. Row sets move with
     partitioning; no class exceeds its rows."""
@@ -127,13 +131,16 @@ def _estimator(name: str, n_features: int):
     return models.perceptron(n_features, features="scaled")
 
 
-def _pipeline(name: str, est):
-    """The estimator as it is searched: the perceptron's solver needs inputs of
-    one scale, so a scaler is fitted with it inside every fold."""
-    if name != "perceptron":
-        return est
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    return Pipeline(stages=[scaler, est])
+def _search(name: str, est, grid: list, train: DataFrame, folds: int, parallelism: int):
+    """All maps of one model. Boosted models of fewer rounds are prefixes of
+    the longest; the perceptron's solver needs inputs of one scale, so a scaler
+    is fitted with it, once per fold."""
+    rounds = {"rounds": "maxIter", "prefix": models.boosted_prefix} if name == "gbt" else {}
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True) \
+        if name == "perceptron" else None
+    folded = train.withColumn("fold", split.hash_fold("vec_id", folds, SALT + "-fold"))
+    return tune.prefix_search(est, grid, folded, "label", "fold", folds, stages=scaler,
+                              parallelism=parallelism, **rounds)
 
 
 def _grid(name: str, est, axes: dict, n_features: int) -> list:
@@ -144,18 +151,19 @@ def _grid(name: str, est, axes: dict, n_features: int) -> list:
 
 
 def tune_models(spark, sf_dir, names=("random_forest", "gbt", "perceptron"), grids=None,
-                folds: int = FOLDS, parallelism: int = 4):
+                folds: int = FOLDS, parallelism: int = 12):
     """Cross-validate each model on the train part by weighted F1 (the
-    multiclass evaluator's default), refit the best, score the test part.
-    Seeded, so queries reading the same search (comparison, grid, best
-    parameters) share its fits."""
+    multiclass evaluator's default) with key-hash folds, refit the best, score
+    the test part. Seeded, so queries reading the same search (comparison, grid,
+    best parameters) share its fits. ``parallelism`` is the number of fits under
+    way at once over all searches."""
     grids = grids or REFERENCE_GRIDS
     prepared(spark, sf_dir)  # write the parts once before the searches start
 
     @inheritable_thread_target(spark)
     def one(name):
         return shared(spark, f"search {name} {grids[name]!r} {folds}", sf_dir,
-                      lambda: _tune_one(spark, sf_dir, name, grids[name], folds, parallelism))
+                      lambda: _tune_one(spark, sf_dir, name, grids[name], folds, max(1, parallelism // len(names))))
 
     # Independent searches of many short jobs each: run them together.
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
@@ -166,9 +174,7 @@ def _tune_one(spark, sf_dir, name, axes, folds, parallelism):
     train, test, width = prepared(spark, sf_dir)
     with persisted(train), persisted(test):
         est = _estimator(name, width)
-        cv = tune.cross_validate(_pipeline(name, est), _grid(name, est, axes, width),
-                                 MulticlassClassificationEvaluator(), train,
-                                 folds=folds, seed=SEED, parallelism=parallelism)
+        cv = _search(name, est, _grid(name, est, axes, width), train, folds, parallelism)
         scored = cv.bestModel.transform(test).select(
             "label", "prediction", metrics.positive_score().alias("score"))
         row = {"model": name, "cv_f1": float(max(cv.avgMetrics))}

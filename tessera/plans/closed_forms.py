@@ -23,6 +23,8 @@ FOLDS = 3
 THRESHOLDS = [0.1, 0.5, 0.9]
 LARGE_PENALTY = 10.0
 SEPARATION = 1000.0
+ROUNDS = 4
+STEP = 0.2
 
 
 def _train(spark, sf_dir) -> DataFrame:
@@ -93,6 +95,21 @@ def one_split_trees(spark, sf_dir):
     return tree.join(step, c.CATEGORICAL)
 
 
+def boosting_rounds(spark, sf_dir):
+    """One boosted fit of several rounds on whether the order status is F, and
+    the models of its first 1, 2, .. rounds cut out of it. Every tree has the two
+    sides of that split as leaves, so a round adds to each side's margin the mean
+    gradient there. One row per side and number of rounds, with its score."""
+    train = _train(spark, sf_dir).withColumn("is_f", (F.col("o_orderstatus") == "F").cast("double"))
+    data = VectorAssembler(inputCols=["is_f"], outputCol="side").transform(train)
+    whole = models.gbt("turned", "side", max_iter=ROUNDS, max_depth=1, seed=1).setStepSize(STEP).fit(data)
+    sides = data.select("is_f", "side").dropDuplicates(["is_f"])
+    by_rounds = [models.boosted_prefix(whole, n).transform(sides).select(
+        F.col("is_f").cast("int").alias("is_f"), F.lit(n).alias("rounds"),
+        F.round(metrics.positive_score(), 6).alias("score")) for n in range(1, ROUNDS + 1)]
+    return reduce(DataFrame.unionByName, by_rounds)
+
+
 def layerless_perceptron(spark, sf_dir):
     """A perceptron without hidden layer on the one-hot order status: it predicts
     each status's majority class."""

@@ -17,6 +17,7 @@ from ..sources.standins import movies_table, ratings_table, segments_table
 
 FRACTIONS = [0.4, 0.6, 0.8]
 SEED = 17
+SAMPLE_FRACTION = 0.1
 # User and item blocks of a factorisation. They take part in the result, so the
 # number is fixed and not taken from the cluster; raise it for larger tables.
 BLOCKS = 10
@@ -42,6 +43,12 @@ def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lambda: split.time_ranked(ratings(spark, sf_dir), "timestamp"))
 
 
+def exact_sample(spark, sf_dir):
+    """Exactly a tenth of the ratings (rounded down), by key hash."""
+    data = ratings(spark, sf_dir).select("userId", "movieId")
+    return split.exact_sample(data, ["userId", "movieId"], SAMPLE_FRACTION, "ratings")
+
+
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movies_table(table(spark, sf_dir, "part"))
 
