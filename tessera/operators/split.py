@@ -112,23 +112,27 @@ def rebalance(df: DataFrame, key: str, label: str, salt: str = "") -> DataFrame:
     """Shrink every class to exactly the size of the smallest, by key hash
     (repeatable); the minority class is kept whole."""
     smallest = df.groupBy(label).count().agg(F.min("count")).first()[0] or 0
-    return smallest_hashes(df, [key], [label], lambda rows: F.lit(smallest), salt)
+    return smallest_hashes(df, [key], [label], lambda *_: F.lit(smallest), salt)
 
 
 def exact_stratified_sample(df: DataFrame, key: str, label: str, fractions: dict, salt: str = "") -> DataFrame:
     """Of each class exactly ``floor(fraction * rows)`` rows, by key hash; classes
     without a fraction go."""
     known = df.where(F.col(label).isin(list(fractions)))
-    share = F.lit(0.0)
-    for cls, f in fractions.items():
-        share = F.when(F.col("_g0") == F.lit(cls).cast(df.schema[label].dataType).cast("string"), F.lit(float(f))) \
-            .otherwise(share)
-    return smallest_hashes(known, [key], [label], lambda rows: F.floor(rows * share), salt)
+    kind = df.schema[label].dataType
+
+    def size(rows: Column, cls: Column) -> Column:
+        share = F.lit(0.0)
+        for value, f in fractions.items():
+            share = F.when(cls == F.lit(value).cast(kind).cast("string"), F.lit(float(f))).otherwise(share)
+        return F.floor(rows * share)
+
+    return smallest_hashes(known, [key], [label], size, salt)
 
 
 def exact_sample(df: DataFrame, keys: list[str], fraction: float, salt: str = "") -> DataFrame:
     """Exactly ``floor(fraction * rows)`` rows, by key hash."""
-    return smallest_hashes(df, keys, [], lambda rows: F.floor(rows * fraction), salt)
+    return smallest_hashes(df, keys, [], lambda rows, _: F.floor(rows * fraction), salt)
 
 
 def rebalance_seeded(df: DataFrame, label: str, seed: int) -> DataFrame:
@@ -137,11 +141,12 @@ def rebalance_seeded(df: DataFrame, label: str, seed: int) -> DataFrame:
     return df.sampleBy(label, {r[0]: float(min(1.0, r[1])) for r in rows}, seed)
 
 
-def smallest_hashes(df: DataFrame, keys: list[str], group_cols: list[str], size: Callable[[Column], Column],
+def smallest_hashes(df: DataFrame, keys: list[str], group_cols: list[str], size: Callable[..., Column],
                     salt: str = "", rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
-    """Exactly ``size(rows of the group)`` rows of each group, those with the
-    smallest key hashes (ties by the keys); without ``group_cols`` of the whole
-    table. A null group is a group; a size beyond the group's rows takes all.
+    """Exactly ``size(rows of the group, group as text ..)`` rows of each group,
+    those with the smallest key hashes (ties by the keys); without ``group_cols``
+    of the whole table. A null group is a group; a size beyond the group's rows
+    takes all.
 
     Hashes are counted in bins of equal width, per group; a running sum over
     the bins finds the one in which the last hash taken lies. Rows of lower bins
@@ -150,26 +155,32 @@ def smallest_hashes(df: DataFrame, keys: list[str], group_cols: list[str], size:
     group is broadcast, so groups are meant to be classes, not keys. Rows that
     repeat all keys share a hash and are told apart arbitrarily.
     """
-    g = [f"_g{i}" for i in range(len(group_cols) or 1)]
+    own = "_"
+    while any(c.lower().startswith(own) for c in df.columns):
+        own += "_"
+    g = [f"{own}g{i}" for i in range(len(group_cols) or 1)]
+    hash_col, bin_col, cut_col, rank_col = (own + name for name in ("hash", "bin", "cut", "rank"))
     groups = [F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in group_cols] or [F.lit("")]
-    named = df.withColumns(dict(zip(g, groups, strict=True))).withColumn("_hash", hash_order(*keys, salt=salt))
+    named = df.withColumns(dict(zip(g, groups, strict=True))).withColumn(hash_col, hash_order(*keys, salt=salt))
     counts = named.groupBy(*g).agg(F.count(F.lit(1)).alias("_rows"))
     largest = counts.agg(F.max("_rows")).first()[0] or 0
     bits = min(MAX_BIN_BITS, max(0, math.ceil(math.log2(max(1, largest / rows_per_bin)))))
-    hashed = named.withColumn("_bin", F.shiftright("_hash", HASH_BITS - bits).cast("int"))
-    bins = hashed.groupBy(*g, "_bin").agg(F.count(F.lit(1)).alias("_rows"))
-    so_far = Window.partitionBy(*g).orderBy("_bin")
-    bins = bins.select(*g, "_bin", F.sum("_rows").over(so_far).alias("_upto"), "_rows",
+    hashed = named.withColumn(bin_col, F.shiftright(hash_col, HASH_BITS - bits).cast("int"))
+    bins = hashed.groupBy(*g, bin_col).agg(F.count(F.lit(1)).alias("_rows"))
+    so_far = Window.partitionBy(*g).orderBy(bin_col)
+    bins = bins.select(*g, F.col(bin_col).alias("_bin"), F.sum("_rows").over(so_far).alias("_upto"), "_rows",
                        F.sum("_rows").over(Window.partitionBy(*g)).alias("_all")) \
-        .withColumn("_size", size(F.col("_all")).cast("bigint"))
+        .withColumn("_size", size(F.col("_all"), *[F.col(c) for c in g]).cast("bigint"))
     # The first bin that holds enough; none if the whole group is taken.
     enough = F.when(F.col("_upto") >= F.col("_size"),
                     F.struct("_bin", (F.col("_size") - F.col("_upto") + F.col("_rows")).alias("left")))
-    cuts = bins.groupBy(*g).agg(F.min(enough).alias("_cut"))
+    cuts = bins.groupBy(*g).agg(F.min(enough).alias(cut_col))
+    cut = F.col(cut_col)
     placed = hashed.join(F.broadcast(cuts), g)
-    certain = placed.where("_cut is null or _bin < _cut._bin")
-    rank = F.row_number().over(Window.partitionBy(*g).orderBy("_hash", *keys))
-    waiting = placed.where("_bin = _cut._bin").withColumn("_rank", rank).where("_rank <= _cut.left").drop("_rank")
+    certain = placed.where(cut.isNull() | (F.col(bin_col) < cut["_bin"]))
+    rank = F.row_number().over(Window.partitionBy(*g).orderBy(hash_col, *keys))
+    waiting = placed.where(F.col(bin_col) == cut["_bin"]).withColumn(rank_col, rank) \
+        .where(F.col(rank_col) <= cut["left"]).drop(rank_col)
     return certain.unionByName(waiting).select(*df.columns)
 
 

@@ -422,6 +422,53 @@ SELECT model, params, metric, round(a, 6) AS avg_metric, round(s, 6) AS std_metr
        row_number() OVER (PARTITION BY model ORDER BY CASE WHEN larger THEN -a ELSE a END, params) = 1 AS best
 FROM means_of"""
 
+SQL["best_model_scores"] = _TRAIN + """
+, folds AS (SELECT unnest(range(3)) AS f),
+cells AS (
+  SELECT fold, ClaimNb, unnest(['o_orderpriority', 'o_orderstatus', 'c_mktsegment']) AS col,
+         unnest([o_orderpriority, o_orderstatus, c_mktsegment]) AS v FROM tr
+),
+means AS (SELECT f, col, v, AVG(ClaimNb) AS mu FROM folds JOIN cells ON fold <> f GROUP BY 1, 2, 3),
+per AS (
+  SELECT c.col, c.fold, sqrt(AVG((mu - ClaimNb) * (mu - ClaimNb))) AS m
+  FROM cells c JOIN means m ON c.fold = m.f AND c.col = m.col AND c.v = m.v GROUP BY 1, 2
+),
+best AS (SELECT col FROM per GROUP BY 1 ORDER BY AVG(m) LIMIT 1),
+rates AS (SELECT v, AVG(ClaimNb) AS mu FROM cells JOIN best USING (col) GROUP BY 1),
+seen AS (SELECT DISTINCT o_orderpriority, o_orderstatus, c_mktsegment FROM tr),
+groups AS (
+  SELECT o_orderpriority, o_orderstatus, c_mktsegment, COUNT(*) AS n_test
+  FROM split JOIN seen USING (o_orderpriority, o_orderstatus, c_mktsegment) WHERE part = 'test' GROUP BY 1, 2, 3
+)
+SELECT o_orderpriority, o_orderstatus, c_mktsegment, n_test, round(mu, 6) AS predicted
+FROM groups, best JOIN rates ON v = CASE col WHEN 'o_orderpriority' THEN o_orderpriority
+                                             WHEN 'o_orderstatus' THEN o_orderstatus ELSE c_mktsegment END"""
+
+_SEPARABLE = _RATINGS + f"""
+, pairs_of_sizes AS (
+  SELECT DISTINCT userId, CAST(p_size AS BIGINT) AS movieId, CAST(c_nationkey % 4 + 1 AS INTEGER) AS taste,
+         CAST(p_size % 5 + 1 AS INTEGER) AS quality
+  FROM ratings JOIN customer ON userId = c_custkey JOIN part ON movieId = p_partkey
+),
+separable AS (
+  SELECT *, {_UNIFORM.format(salt='separable').replace('CAST(IDpol AS VARCHAR)', "userId || ':' || movieId")} < 0.6 AS known
+  FROM pairs_of_sizes
+),
+known AS (SELECT * FROM separable WHERE known)
+"""
+
+SQL["exact_factorisation"] = _SEPARABLE + """
+SELECT userId, movieId, CAST(taste * quality AS DOUBLE) AS predicted FROM separable
+WHERE NOT known AND userId IN (SELECT userId FROM known) AND movieId IN (SELECT movieId FROM known)"""
+
+SQL["factor_clusters"] = _SEPARABLE + """
+SELECT taste AS least, taste AS largest, COUNT(DISTINCT userId) AS size FROM known GROUP BY taste"""
+
+SQL["factor_cluster_items"] = _SEPARABLE + """
+, largest AS (SELECT taste FROM known GROUP BY 1 ORDER BY COUNT(DISTINCT userId) DESC LIMIT 1)
+SELECT movieId, CAST(AVG(taste * quality) AS DOUBLE) AS average_rating, COUNT(*) AS n_ratings
+FROM known JOIN largest USING (taste) WHERE taste * quality >= 4 GROUP BY 1"""
+
 SQL["lasso_limit"] = _TRAIN + """
 SELECT CAST((SELECT MAX(w1 + w2 + w3) + 3 FROM coded) AS INTEGER) AS n_coefficients, CAST(0 AS INTEGER) AS n_nonzero,
        round(AVG(hasClaim), 6) AS least, round(AVG(hasClaim), 6) AS largest FROM tr"""

@@ -15,14 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
-from ..operators import metrics, models, segments, split, tune
+from ..operators import metrics, models, ranking, segments, split, tune
+from ..session import shared, stored
 from ..sources.files import persisted, table
 from . import claims as c
+from . import ratings
 
 FOLDS = 3
 THRESHOLDS = [0.1, 0.5, 0.9]
 LARGE_PENALTY = 10.0
 SEPARATION = 1000.0
+TASTES = 4
+TRAIN_SHARE = 0.6
+FACTOR_STEPS = 20
+FACTOR_PENALTY = 1e-3  # small beside the ratings, so predictions round to them
 ROUNDS = 4
 STEP = 0.2
 
@@ -63,6 +69,84 @@ def exact_search(spark, sf_dir):
         F.round("std_metric", 6).alias("std_metric"), "larger_is_better", (F.col("params") == F.col("best")).alias("best"))
 
 
+def best_model_scores(spark, sf_dir):
+    """The winner of a search over the one categorical column a Poisson model
+    reads, refitted on the whole train part: it predicts each category's mean
+    there. One row per combination of categories of the test part."""
+    train = _train(spark, sf_dir)
+    poisson = models.poisson_glm("ClaimNb").setTol(1e-12).setMaxIter(100)
+    grid = tune.param_grid(poisson, {"featuresCol": [f"{col}_index_ohe" for col in c.CATEGORICAL]})
+    with persisted(train):
+        best = tune.cross_validate(poisson, grid, RegressionEvaluator(labelCol="ClaimNb", metricName="rmse"), train,
+                                   folds=FOLDS, fold_col="fold").bestModel
+    encoded = train.select(*c.CATEGORICAL, *[f"{col}_index_ohe" for col in c.CATEGORICAL]) \
+        .dropDuplicates(c.CATEGORICAL)
+    groups = c.train_test(spark, sf_dir)[1].groupBy(*c.CATEGORICAL).agg(F.count(F.lit(1)).alias("n_test"))
+    return best.transform(encoded).join(groups, c.CATEGORICAL).select(
+        *c.CATEGORICAL, "n_test", F.round("prediction", 6).alias("predicted"))
+
+
+def _separable(spark, sf_dir) -> DataFrame:
+    """Which user bought items of which size, with ratings that one factor
+    explains: the user's taste (1 to 4, by nation) times the size's quality (1 to
+    5). There are few sizes, so all users hang together and the factors are
+    determined but for a common scale."""
+    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("userId"),
+                                                    (F.col("c_nationkey") % 4 + 1).alias("taste"))
+    sizes = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("movieId"), "p_size")
+    pairs = ratings.ratings(spark, sf_dir).join(users, "userId").join(sizes, "movieId") \
+        .select("userId", F.col("p_size").cast("bigint").alias("movieId"), "taste").distinct()
+    return pairs.withColumn("rating", (F.col("taste") * (F.col("movieId") % 5 + 1)).cast("double"))
+
+
+def _factorised(spark, sf_dir):
+    """``(data, users, model)``: the pairs with dense ids and their ``part``, the
+    users' ids, and the one-factor model of the train part."""
+    def build():
+        data = stored(_separable(spark, sf_dir), "separable")
+        users = stored(ranking.dense_index(data, "userId", "user"), "separable-users")
+        data = data.join(users, "userId").join(ranking.dense_index(data, "movieId", "item"), "movieId")
+        known = split.hash_uniform(F.concat_ws(":", "userId", "movieId"), "separable") < TRAIN_SHARE
+        data = stored(data.withColumn("part", F.when(known, F.lit("train")).otherwise(F.lit("test"))), "separable")
+        est = models.als(user="user", item="item", seed=ratings.SEED, rank=1, max_iter=FACTOR_STEPS,
+                         reg_param=FACTOR_PENALTY, blocks=ratings.BLOCKS)
+        return data, users, est.fit(data.where("part = 'train'"))
+
+    return shared(spark, "separable-factors", sf_dir, build)
+
+
+def exact_factorisation(spark, sf_dir):
+    """A one-factor model of ratings that one factor explains predicts the
+    pairs it has not seen, to the rating: any wrong factor shows."""
+    data, _, model = _factorised(spark, sf_dir)
+    return model.transform(data.where("part = 'test'")).select(
+        "userId", "movieId", F.round("prediction", 0).cast("double").alias("predicted"))
+
+
+def _factor_clusters(spark, sf_dir) -> DataFrame:
+    """k-means on that model's user factors: one cluster per taste."""
+    _, users, model = _factorised(spark, sf_dir)
+    factors = model.userFactors
+    factors = factors.join(users, factors["id"] == users["user"]).select(F.col("userId").alias("id"), "features")
+    return segments.cluster_factors(factors, TASTES, ratings.SEED)
+
+
+def factor_clusters(spark, sf_dir):
+    """Clusters of the user factors, by size, with the nations' tastes in them."""
+    clusters = _factor_clusters(spark, sf_dir)
+    users = _separable(spark, sf_dir).select(F.col("userId").alias("id"), "taste").distinct()
+    return clusters.join(users, "id").groupBy("cluster").agg(
+        F.min("taste").alias("least"), F.max("taste").alias("largest"), F.count(F.lit(1)).alias("size")).drop("cluster")
+
+
+def factor_cluster_items(spark, sf_dir):
+    """What the largest cluster of the user factors likes in the train part."""
+    data, _, _ = _factorised(spark, sf_dir)
+    members = segments.largest_cluster_members(_factor_clusters(spark, sf_dir))
+    liked = segments.liked_items(data.where("part = 'train'"), members)
+    return liked.select("movieId", F.round("average_rating", 6).alias("average_rating"), "n_ratings")
+
+
 def lasso_limit(spark, sf_dir):
     """An L1 penalty so large that every coefficient is 0: all that is left is
     the claim rate of the train part."""

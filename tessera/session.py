@@ -6,7 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Defaults every job here relies on. AQE re-plans joins and shuffle sizes at run
 # time, splits skewed join partitions and turns small joins into broadcasts only
@@ -96,12 +95,19 @@ _SHARED: dict = {}
 
 
 def input_state(spark: SparkSession, sf_dir: str) -> tuple:
-    """Count, bytes and a hash over name, size and time of the Parquet files
-    under ``sf_dir``: changes when an input changes. File contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "*.parquet").load(sf_dir)
-    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"),
-                           F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+    """Name, size and time of every file of the Parquet tables in ``sf_dir``:
+    changes when an input changes. Only the folder is listed, through Spark's
+    file system; no job runs and no file is opened."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    state, waiting = [], [s for s in fs.listStatus(path) if s.getPath().getName().endswith(".parquet")]
+    while waiting:
+        status = waiting.pop()
+        if status.isDirectory():
+            waiting.extend(fs.listStatus(status.getPath()))
+        else:
+            state.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(state))
 
 
 def shared(spark: SparkSession, name: str, sf_dir: str, build):
