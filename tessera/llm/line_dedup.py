@@ -1,40 +1,39 @@
 """Repeated runs of lines, deduplicated over the whole corpus.
 
-By default every two neighbouring lines are a chunk, so whether a line goes
-depends on nothing but the run it stands in: each line of a run of two or more
-lines that stands at an earlier place goes, whatever stands around the run.
-
-With ``cuts`` chunks are content-defined instead (the rule of the query's SQL):
-a rolling hash runs over the hashes of two neighbouring lines. Each of its
-first hex digits cuts a document's lines on its own, where the digit falls
-below a threshold, so the same run of lines is cut the same way wherever it
-stands (an inserted line shifts the following boundaries only until the next
-one), and a short passage that one digit does not separate from its
-surroundings may be separated by another. Chunks of two or more lines whose
-bytes occur more than once in the corpus, cut by whichever digit, are kept
-where they occur first and removed everywhere else.
+Lines are cut into content-defined chunks: a rolling hash runs over the hashes
+of neighbouring lines and opens a chunk where its first digit is small, so the
+same run of lines is cut the same way wherever it stands (an inserted line
+shifts the following boundaries only until the next one). Chunks of two or more
+lines are grouped by their bytes; all but the first go.
+
+A repeated passage rarely begins and ends with a boundary, and a short one may
+hold none. So the chunks that went are then extended, and short passages found,
+pair by pair: of the neighbouring lines that do not lie inside such a chunk,
+each two that stand together at an earlier place (SHA-256 of both) go too. A
+pair's first place never lies inside a chunk that went, as that chunk stood
+earlier still; so in the end a run of lines goes if and only if each two of its
+neighbouring lines stand at an earlier place, whatever stands around it, and
+the chunks only keep most lines out of the pair index.
+
+Runs with little in them, such as closing brackets or blank lines, stay.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import SPACE, bind, free_name, stored
 
-# Per digit: the threshold it cuts below, and the most lines of a chunk taken
-# from it (None: any). One line pair in four is a boundary for the first digit
-# (chunks of four lines on average), one in two for the second, which is only
-# there for short passages.
-CUTS = (("4", None), ("8", 3))
+# A line opens a chunk when the first hex digit of the rolling hash is below
+# this: one line in four, for chunks of four lines on average.
+OPENS_BELOW = "4"
+# Distinct words a repeated run must hold to go.
+MIN_DISTINCT_WORDS = 5
 
 
-def _with(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once; lambdas inside ``body``
-    may then use it per element without computing it again."""
-    return F.get(F.transform(F.array(value), body), 0)
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
 def _rolling(lines: Column) -> Column:
@@ -44,95 +43,115 @@ def _rolling(lines: Column) -> Column:
         return F.zip_with(F.slice(hashed, F.lit(1), inner), F.slice(hashed, F.lit(2), inner),
                           lambda a, b: F.md5(F.concat(a, b)))
 
-    return _with(F.transform(lines, lambda x: F.md5(x)), pairs)
+    return bind(F.transform(lines, lambda x: F.md5(x)), pairs)
 
 
-def _cut(lines: Column, rolling: Column, digit: int, below: str, most: int | None) -> Column:
-    """Chunks of up to ``most`` lines as structs ``start`` (1-based) and ``lines``: a
-    line opens one when the digit of its pair with the line before is under
-    ``below``."""
-    numbers = F.transform(rolling, lambda x, i: F.when(F.substring(x, digit, 1) < F.lit(below), i + 2).otherwise(0))
-    spans = _with(F.array_remove(numbers, 0), lambda inner: F.zip_with(
+def line_chunks(lines: Column, opens_below: str = OPENS_BELOW) -> Column:
+    """The chunks of an array of lines as structs ``start`` (1-based) and ``n``."""
+    starts = F.transform(_rolling(lines), lambda x, i: F.when(F.substring(x, 1, 1) < opens_below, i + 2).otherwise(0))
+    return bind(F.array_remove(starts, 0), lambda inner: F.zip_with(
         F.concat(F.array(F.lit(1)), inner), F.concat(inner, F.array(F.size(lines) + 1)),
         lambda a, b: F.struct(a.alias("start"), (b - a).alias("n"))))
-    if most is not None:
-        spans = F.filter(spans, lambda c: c["n"] <= most)
-    return F.transform(spans, lambda c: F.struct(c["start"].alias("start"),
-                                                 F.slice(lines, c["start"], c["n"]).alias("lines")))
 
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+def _joined(lines: Column, start: Column, n: Column) -> Column:
+    return F.array_join(F.slice(lines, start, n), "\n")
 
 
-def line_chunks(text: Column, cuts: Sequence[tuple[str, int | None]] = CUTS) -> Column:
-    """All chunks of the text, those of the first digit first. The lines of a
-    digit's chunks, if it takes all of them, give the text back when joined by
-    line feeds."""
-    return _with(_lines(text), lambda lines: _with(_rolling(lines), lambda rolling: F.concat(
-        *[_cut(lines, rolling, n + 1, below, most) for n, (below, most) in enumerate(cuts)])))
+def _all_but_first(places: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``places`` (``doc_id, ident, start`` and the keys) that are not the
+    first one with their keys. Keys that occur once are dropped first."""
+    place = F.struct("doc_id", "ident", "start")
+    repeated = places.groupBy(*keys).agg(F.min(place).alias("first"), F.max(place).alias("last")) \
+        .where("first != last").select(*keys, "first")
+    return places.join(stored(repeated, "op5-repeated"), keys).where(~place.eqNullSafe(F.col("first")))
 
 
-def _pair_digests(text: Column) -> Column:
-    """SHA-256 of each two neighbouring lines with the line feed between them."""
-    def pairs(lines: Column) -> Column:
-        inner = F.size(lines) - 1
-        return F.zip_with(F.slice(lines, F.lit(1), inner), F.slice(lines, F.lit(2), inner),
-                          lambda a, b: F.unhex(F.sha2(F.concat(a, F.lit("\n"), b), 256)))
+def _repeated_chunks(rows: DataFrame, opens_below: str) -> DataFrame:
+    """``id, chunks``: the chunks (``start, n``) of each row that went, by bytes."""
+    chunked = rows.select("id", F.explode(bind(_lines(F.col("row.text")), lambda lines: F.transform(
+        F.filter(line_chunks(lines, opens_below), lambda c: c["n"] > 1),
+        lambda c: F.struct(c["start"].alias("start"), c["n"].alias("n"),
+                           _joined(lines, c["start"], c["n"]).alias("body"))))).alias("c"))
+    chunked = chunked.select("id.*", "c.*")
+    place = F.struct("doc_id", "ident", "start")
+    # Grouping by the body compares the bytes; partial aggregation sends a
+    # chunk that thousands of documents share once per task.
+    hashes = [F.md5("body").alias("digest"), F.xxhash64("body").alias("check")]
+    repeated = chunked.groupBy("body").agg(F.min(place).alias("first"), F.max(place).alias("last")) \
+        .where("first != last").select(*hashes, "first")
+    places = chunked.select("doc_id", "ident", "start", "n", *hashes)
+    gone = places.join(stored(repeated, "op5-chunks"), ["digest", "check"]).where(~place.eqNullSafe(F.col("first")))
+    return gone.groupBy(F.struct("doc_id", "ident").alias("id")).agg(
+        F.collect_set(F.struct("start", "n")).alias("chunks"))
 
-    return _with(_lines(text), pairs)
 
+def _inner_pairs(chunks: Column) -> Column:
+    """First lines of the neighbouring lines inside the chunks."""
+    return F.flatten(F.transform(chunks, lambda c: F.sequence(c["start"], c["start"] + c["n"] - 2)))
 
-def line_dedup(docs: DataFrame, cuts: Sequence[tuple[str, int | None]] | None = None) -> DataFrame:
-    """The rows of ``docs`` (``doc_id, text`` and any others) with the
-    repeated chunks taken out of ``text``, plus a struct ``dedup`` of
-    ``n_lines, removed_lines, removed_chunks``.
 
-    A repeated chunk stays at its first place: smallest doc_id (null first),
-    then place in the document; lines of it that also lie in another repeated
-    chunk go if that one has an earlier place. So every line removed stands at
-    an earlier place. Identical rows (same id and text) count as one document:
-    what stays in one stays in all. A null text counts as empty and stays null; a
-    text whose lines all go becomes empty. Single lines are never removed. An
-    empty table gives an empty result.
+def _repeated_pairs(rows: DataFrame) -> DataFrame:
+    """``id, pairs``: the first lines of the pairs outside ``chunks`` that stand at
+    an earlier place."""
+    def pairs(lines: Column) -> Column:
+        every = F.when(F.size(lines) > 1, F.sequence(F.lit(1), F.size(lines) - 1)).otherwise(
+            F.array().cast("array<int>"))
+        outside = F.when(F.col("chunks").isNull(), every).otherwise(F.array_except(every, _inner_pairs(F.col("chunks"))))
+        return F.transform(outside, lambda i: F.struct(
+            i.alias("start"), F.unhex(F.sha2(_joined(lines, i, F.lit(2)), 256)).alias("digest")))
+
+    places = rows.select("id", F.explode(bind(_lines(F.col("row.text")), pairs)).alias("p")).select("id.*", "p.*")
+    return _all_but_first(places, ["digest"]).groupBy(F.struct("doc_id", "ident").alias("id")) \
+        .agg(F.collect_set("start").alias("pairs"))
+
+
+def _runs(lines: Column, pairs: Column, min_words: int) -> Column:
+    """Runs of lines (``start``, ``n``) that successive ``pairs`` (ascending) span,
+    those of ``min_words`` or more distinct words."""
+    def joined(p: Column) -> Column:
+        starts = F.filter(p, lambda x, i: (i == 0) | (F.get(p, i - 1) != x - 1))
+        ends = F.filter(p, lambda x, i: (i == F.size(p) - 1) | (F.get(p, i + 1) != x + 1))
+        return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b - a + 2).alias("n")))
+
+    def n_words(run: Column) -> Column:
+        words = F.split(_joined(lines, run["start"], run["n"]), f"[{SPACE}]+", -1)
+        return F.size(F.array_remove(F.array_distinct(words), ""))
+
+    return F.filter(bind(pairs, joined), lambda run: n_words(run) >= min_words)
+
+
+def line_dedup(docs: DataFrame, min_words: int = MIN_DISTINCT_WORDS, opens_below: str = OPENS_BELOW) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text`` and any others) with repeated runs
+    of lines taken out of ``text``, plus a struct ``dedup`` of ``n_lines,
+    removed_lines, removed_runs, chars_before`` (code points of the text as it was).
+
+    A run of two or more lines goes if each two neighbouring lines of it stand
+    at an earlier place (smaller doc_id, null first, or earlier in the document)
+    and it holds at least ``min_words`` distinct words. ``opens_below`` cuts the
+    chunks and does not change the result. Identical rows (same id and text)
+    count as one document: what stays in one stays in all. A null text counts
+    as empty and stays null; a text whose lines all go becomes empty. Single
+    lines are never removed. An empty table gives an empty result.
     """
-    rows = docs.select(F.struct("*").alias("row"))
     ident = F.xxhash64(F.coalesce("row.text", F.lit("")))
-    at = [F.col("row.doc_id").alias("doc_id"), ident.alias("ident")]
-    place = F.struct(F.col("doc_id"), F.col("ident"), F.col("start"))
-    ends = [F.min(place).alias("first"), F.max(place).alias("last")]
-    if cuts is None:
-        keys = ["digest"]
-        places = rows.select(*at, F.posexplode(_pair_digests(F.col("row.text"))).alias("start", "digest"))
-        places = places.select("doc_id", "ident", (F.col("start") + 1).alias("start"), F.lit(2).alias("n"), "digest")
-        repeated = places.groupBy("digest").agg(*ends).where("first != last").select("digest", "first")
-    else:
-        keys = ["digest", "check"]
-        chunked = rows.select(*at, F.explode(F.filter(line_chunks(F.col("row.text"), cuts),
-                                                      lambda c: F.size(c["lines"]) > 1)).alias("c"))
-        chunked = chunked.select("doc_id", "ident", "c.start", F.size("c.lines").alias("n"),
-                                 F.array_join("c.lines", "\n").alias("body"))
-        # Grouping by the body compares the bytes; partial aggregation sends a
-        # chunk that thousands of documents share once per task.
-        hashes = [F.md5("body").alias("digest"), F.xxhash64("body").alias("check")]
-        repeated = chunked.groupBy("body").agg(*ends).where("first != last").select(*hashes, "first")
-        places = chunked.select("doc_id", "ident", "start", "n", *hashes)
-    gone = places.join(stored(repeated, "op5-chunks"), keys).where(~place.eqNullSafe(F.col("first")))
-    drop = gone.groupBy("doc_id", "ident").agg(F.collect_set(F.struct("start", "n")).alias("drop")) \
-        .select(F.struct("doc_id", "ident").alias("id"), "drop")
-    marked = rows.withColumn("id", F.struct(F.col("row.doc_id").alias("doc_id"), ident.alias("ident"))) \
-        .join(drop, "id", "left")
-    lines = _lines(F.col("row.text"))
-    numbers = F.flatten(F.transform("drop", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1)))
-    out = marked.select("row", "drop", F.size(lines).alias("n_lines"),
-                        F.array_except(F.sequence(F.lit(1), F.size(lines)), numbers).alias("kept"))
-    left = _with(lines, lambda all_lines: F.transform("kept", lambda i: F.get(all_lines, i - 1)))
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.withColumn("id", F.struct(F.col("row.doc_id").alias("doc_id"), ident.alias("ident")))
+    marked = stored(rows.join(_repeated_chunks(rows, opens_below), "id", "left"), "op5-rows")
+    marked = marked.join(_repeated_pairs(marked), "id", "left")
+    none = F.array().cast("array<int>")
+    went = F.array_sort(F.array_union(F.coalesce("pairs", none), F.coalesce(_inner_pairs(F.col("chunks")), none)))
+    untouched = F.col("chunks").isNull() & F.col("pairs").isNull()
+    runs = F.when(untouched, F.array().cast("array<struct<start:int,n:int>>")).otherwise(
+        bind(_lines(F.col("row.text")), lambda lines: _runs(lines, went, min_words)))
+    out = marked.select("row", F.size(_lines(F.col("row.text"))).alias("n_lines"), runs.alias("runs"))
+    gone = F.flatten(F.transform("runs", lambda r: F.sequence(r["start"], r["start"] + r["n"] - 1)))
+    left = bind(_lines(F.col("row.text")), lambda lines: F.transform(
+        F.array_except(F.sequence(F.lit(1), F.size(lines)), gone), lambda i: F.get(lines, i - 1)))
     out = out.select(
-        "row", F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n")).alias("text"),
-        F.struct("n_lines", F.coalesce(F.col("n_lines") - F.when(F.col("drop").isNotNull(), F.size("kept")), F.lit(0))
-                 .alias("removed_lines"),
-                 F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop")).alias("removed_chunks"))
-        .alias("dedup"))
+        "row", F.when(F.size("runs") == 0, F.col("row.text")).otherwise(F.array_join(left, "\n")).alias("text"),
+        F.struct("n_lines", F.aggregate("runs", F.lit(0), lambda n, r: n + r["n"]).alias("removed_lines"),
+                 F.size("runs").alias("removed_runs"), F.char_length("row.text").alias("chars_before")).alias("dedup"))
     cols = []
     for c in docs.columns:
         if c == "text":
@@ -141,10 +160,4 @@ def line_dedup(docs: DataFrame, cuts: Sequence[tuple[str, int | None]] | None =
             cols.append(F.char_length("text").cast(docs.schema[c].dataType).alias(c))
         else:
             cols.append(F.col(f"row.`{c}`").alias(c))
-    return out.select(*cols, F.col("dedup").alias(_free("dedup", docs.columns)))
-
-
-def _free(name: str, taken: list[str]) -> str:
-    while name in taken:
-        name += "_"
-    return name
+    return out.select(*cols, F.col("dedup").alias(free_name("dedup", docs.columns)))

@@ -27,11 +27,9 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The chunks its SQL cuts, fewer than line_dedup takes by default.
-    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"), line_dedup.CUTS)
-    return out.select("doc_id", "text", F.col("dedup.n_lines").cast("bigint").alias("n_lines"),
-                      F.col("dedup.removed_lines").cast("bigint").alias("removed_lines"),
-                      F.col("dedup.removed_chunks").cast("bigint").alias("removed_chunks"))
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", *[F.col(f"dedup.{c}").cast("bigint").alias(c)
+                                          for c in ("n_lines", "removed_lines", "removed_runs")])
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

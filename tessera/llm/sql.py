@@ -16,28 +16,26 @@ SQL = {
     "op5_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-rolling AS (
-  SELECT doc_id, l, list_transform(range(2, len(l) + 1), lambda i: md5(md5(l[i - 1]) || md5(l[i]))) AS h FROM lines),
-cuts AS (
-  SELECT doc_id, l, most, list_filter(range(2, len(l) + 1), lambda i: substr(h[i - 1], digit, 1) < below) AS inner_starts
-  FROM rolling, (VALUES (1, '4', NULL), (2, '8', 3)) AS d(digit, below, most)),
-bounds AS (
-  SELECT doc_id, l, most, list_concat([1], inner_starts) AS a, list_concat(inner_starts, [len(l) + 1]) AS b FROM cuts),
-chunks AS (
-  SELECT DISTINCT doc_id, a[k] AS start, b[k] - a[k] AS n, array_to_string(l[a[k]:b[k] - 1], chr(10)) AS body
-  FROM (SELECT *, unnest(range(1, len(a) + 1)) AS k FROM bounds) 
-  WHERE b[k] - a[k] BETWEEN 2 AND coalesce(most, b[k] - a[k])),
+pairs AS (
+  SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM lines),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS occurrence FROM chunks),
-gone AS (SELECT doc_id, start, n FROM ranked WHERE occurrence > 1),
-gone_lines AS (SELECT DISTINCT doc_id, unnest(range(start, start + n)) AS i FROM gone),
+  SELECT doc_id, l, i, row_number() OVER (PARTITION BY l[i] || chr(10) || l[i + 1] ORDER BY doc_id, i) AS occurrence
+  FROM pairs),
+islands AS (
+  SELECT doc_id, l, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM ranked WHERE occurrence > 1),
+runs AS (
+  SELECT doc_id, any_value(l) AS l, min(i) AS a, max(i) + 1 AS b FROM islands GROUP BY doc_id, island),
+gone AS (
+  SELECT doc_id, a, b FROM runs
+  WHERE len(list_distinct(regexp_extract_all(array_to_string(l[a:b], chr(10)), '[^\x20\x09-\x0D]+'))) >= 5),
+gone_lines AS (SELECT doc_id, unnest(range(a, b + 1)) AS i FROM gone),
 all_lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM lines),
 rest AS (
   SELECT a.doc_id, string_agg(line, chr(10) ORDER BY a.i) FILTER (g.i IS NULL) AS text, count(*) AS n_lines,
          count(g.i) AS removed_lines
   FROM all_lines a LEFT JOIN gone_lines g ON a.doc_id = g.doc_id AND a.i = g.i GROUP BY a.doc_id),
-n_gone AS (SELECT doc_id, count(*) AS removed_chunks FROM gone GROUP BY doc_id)
-SELECT doc_id, coalesce(text, '') AS text, n_lines, removed_lines, coalesce(removed_chunks, 0) AS removed_chunks
+n_gone AS (SELECT doc_id, count(*) AS removed_runs FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(text, '') AS text, n_lines, removed_lines, coalesce(removed_runs, 0) AS removed_runs
 FROM rest LEFT JOIN n_gone USING (doc_id)
 """,
     "op6_exact_dedup": r"""

@@ -85,10 +85,10 @@ def test_repeated_chunks_stay_once(spark):
     out = {r.doc_id: r for r in line_dedup.line_dedup(docs(spark, rows)).collect()}
     assert out[3].text == "only\nhere" and out[4].text is None and out[5].text == ""
     assert out[6].text == out[7].text == "single shared"
-    # The null id comes first, so it keeps the run; the others lose all but the edges.
+    # The null id comes first, so it keeps the run; the others lose it whole.
     assert out[None].text == run
-    assert len(out[1].text.split("\n")) < 30 and out[1].text.startswith("start")
-    assert out[2].text.endswith("other end") and out[2].dedup.removed_lines > 15
+    assert out[1].text == "start" and out[1].dedup.chars_before == len(rows[0][1])
+    assert out[2].text == "other end" and out[2].dedup.removed_lines == 40 and out[2].dedup.removed_runs == 1
     assert out[1].n_chars == len(out[1].text)
     assert line_dedup.line_dedup(docs(spark, [])).count() == 0
 
@@ -97,15 +97,66 @@ def test_chunks_join_back_to_the_text(spark):
     texts = ["a\n\nb\n", "\n\n\n", "x", "\n".join(map(str, range(500))), "same\n" * 300]
     frame = docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
     from pyspark.sql import functions as F
-    for digit in ("4", "8", "g"):
-        chunks = line_dedup.line_chunks(F.col("text"), ((digit, None),))
-        back = frame.select("text", F.array_join(F.flatten(F.transform(chunks, lambda c: c["lines"])), "\n").alias("back"))
+    for below in ("4", "8", "g"):
+        lines = F.split("text", "\n", -1)
+        chunks = line_dedup.line_chunks(lines, below)
+        back = frame.select("text", F.array_join(F.flatten(F.transform(
+            chunks, lambda c: F.slice(lines, c["start"], c["n"]))), "\n").alias("back"))
         assert all(r.text == r.back for r in back.collect())
 
 
+def brute_force_dedup(rows, min_words=line_dedup.MIN_DISTINCT_WORDS):
+    """Line by line: the texts of ``rows`` (id, text) without repeated runs."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        lines = (text or "").split("\n")
+        repeated = [k for k in range(len(lines) - 1) if (lines[k], lines[k + 1]) in seen
+                    or (lines[k], lines[k + 1]) in set(zip(lines[:k], lines[1:k + 1]))]
+        seen |= set(zip(lines, lines[1:]))
+        gone, k = set(), 0
+        while k < len(repeated):
+            end = k
+            while end + 1 < len(repeated) and repeated[end + 1] == repeated[end] + 1:
+                end += 1
+            run = range(repeated[k], repeated[end] + 2)
+            if len({w for x in run for w in lines[x].split(" ") if w}) >= min_words:
+                gone |= set(run)
+            k = end + 1
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+@pytest.mark.parametrize("opens_below", ["1", "4", "g"])
+def test_line_dedup_equals_brute_force(spark, opens_below):
+    rng = np.random.default_rng(9)
+    pool = [*[f"line {k} of the pool with words" for k in range(25)], "}", "", "    return x", "}", ""]
+    passages = [[pool[int(k)] for k in rng.integers(0, 30, int(rng.integers(2, 12)))] for _ in range(12)]
+    rows = []
+    for i in range(150):
+        lines = []
+        for _ in range(int(rng.integers(1, 5))):
+            lines += [f"own {i} {k}" for k in range(int(rng.integers(0, 3)))] + passages[int(rng.integers(0, 12))]
+            lines += [pool[int(k)] for k in rng.integers(0, 30, int(rng.integers(0, 4)))]
+        rows.append((i, "\n".join(lines)))
+    rows += [(1000, None), (1001, ""), (1002, "}\n}\n}\n}"), (1003, "}\n}\n}\n}"), (1004, "\n\n\n")]
+    want = brute_force_dedup(rows)
+    out = line_dedup.line_dedup(docs(spark, [(i, t, "a") for i, t in rows]), opens_below=opens_below).collect()
+    assert {r.doc_id: r.text or "" for r in out} == want
+    assert sum(r.dedup.removed_lines for r in out) > 300
+
+
+def test_runs_with_little_in_them_stay(spark):
+    rows = [(1, "def c():\n    y = 3\n    return x\n\n\ndef d():\n    return 2\n", "a"),
+            (2, "def e():\n    z = 4\n    return x\n\n\ndef f():\n    return 5\n}\n}", "a"), (3, "g\n}\n}", "a")]
+    out = line_dedup.line_dedup(docs(spark, rows)).collect()
+    assert {(r.doc_id, r.text) for r in out} == {(i, t) for i, t, _ in rows}
+    heavier = line_dedup.line_dedup(docs(spark, rows), min_words=1).collect()
+    assert any(r.dedup.removed_lines for r in heavier)
+
+
 def test_removed_lines_stand_at_an_earlier_place(spark):
     rng = np.random.default_rng(4)
-    passages = [[f"p{k} {i}" for i in range(n)] for k, n in enumerate((2, 3, 4, 6, 9) * 6)]
+    passages = [[f"p{k} {i} some more words" for i in range(n)] for k, n in enumerate((2, 3, 4, 6, 9) * 6)]
     rows = []
     for i in range(200):
         own = [f"own {i} {k}" for k in range(int(rng.integers(0, 6)))]
@@ -121,11 +172,11 @@ def test_removed_lines_stand_at_an_earlier_place(spark):
         assert not any(x.startswith("own") for x in lost)
         gone, repeats = gone + len(lost), repeats + len([x for x in before if x in seen])
         seen |= set(after)
-    assert gone > 0.6 * repeats
+    assert gone == repeats
 
 
 def test_passages_go_whole_whatever_stands_around(spark):
-    rows = [(i, "\n".join([f"before {i}", *[f"passage {n} {k}" for k in range(n)], f"after {i}"]), "a")
+    rows = [(i, "\n".join([f"before {i}", *[f"passage {n} {k} with more words" for k in range(n)], f"after {i}"]), "a")
             for n in (2, 3, 4, 6, 9) for i in range(100 * n, 100 * n + 8)]
     out = line_dedup.line_dedup(docs(spark, rows)).collect()
     for r in out:
