@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tessera.llm import line_dedup, mixing, ngram_join, packing, quality
 from tessera.llm.common import stored, table
 
+# A near copy shares 0.8 of its text, so what line dedup leaves of it is less than this.
+SCRAP = 0.2
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts; rows with rejected texts go."""
@@ -20,9 +23,14 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without runs of lines that occur earlier in the corpus. All rows
-    stay, also those whose text becomes empty."""
-    return line_dedup.line_dedup(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Texts without runs of lines that occur earlier in the corpus. A document
+    of which less than ``SCRAP`` of its text is left was a copy or near copy of
+    earlier ones, and the rest a scrap of it: its row goes. All others stay, also
+    those that were empty before."""
+    out = line_dedup.line_dedup(docs)
+    dedup = F.col(f"`{out.columns[-1]}`")
+    scrap = (dedup["removed_lines"] > 0) & (F.char_length(F.coalesce("text", F.lit(""))) < SCRAP * dedup["chars_before"])
+    return out.where(~F.coalesce(scrap, F.lit(False))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
