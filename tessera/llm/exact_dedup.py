@@ -61,8 +61,11 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     rows = docs.select("doc_id", F.char_length(F.coalesce("text", F.lit(""))).alias("n"),
                        normalised(F.col("text")).alias("norm"))
     rows = rows.select("doc_id", "n", F.sha2("norm", 256).alias("digest"), "norm")
-    result = rows.drop("norm").join(light.join(clash, "digest", "left_anti"), "digest")
-    if not clash.isEmpty():  # two contents under one SHA-256: tell them apart by their text
+    clashing = not clash.isEmpty()
+    # Two plain shuffles meet here, so that skew splitting can cut a hot digest's rows.
+    alone = stored(light.join(clash, "digest", "left_anti"), "op6-groups") if clashing else light
+    result = rows.drop("norm").join(alone, "digest")
+    if clashing:  # two contents under one SHA-256: tell them apart by their text
         by_text = groups.join(clash, "digest", "left_semi")
         result = result.unionByName(
             rows.join(by_text, ["digest", "norm"]).withColumn("second", F.lit(0).cast("bigint")).drop("norm"))
