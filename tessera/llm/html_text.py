@@ -7,8 +7,10 @@ with the same text in the same kind of place (inside or outside an article or
 main element). What is shared is template, and goes. Structure only vetoes or
 supports:
 
-* what stands in navigation, headers, footers, asides, forms, adverts, notices
-  or comments always goes;
+* what stands in navigation, headers, footers or asides always goes;
+* so does what stands in an element whose class or id names it as an advert,
+  notice, comment or the like, or in a form, unless that element holds all the
+  article text of the page or, where it has none, most of its text (comments apart);
 * a line outside an article goes if the nearest page that is no copy shares it;
 * a line in an article goes only if two different neighbours have it at the same
   place (as many article lines from the first or from the last one), neither of
@@ -22,25 +24,27 @@ Only line hashes move to find pairs; each page's HTML is shuffled once.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html import unescape
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import range_count, stored
+from .common import bind, range_count, stored
 
 # Element and class names by their role on a page.
 SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "textarea",
            "select", "button", "audio", "video"}
-CHROME = {"nav", "header", "footer", "aside", "form", "dialog", "menu"}
+CHROME = {"nav", "header", "footer", "aside", "dialog", "menu"}
 CHROME_WORDS = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
                 "consent", "cookie", "cookies", "disqus", "footer", "header", "masthead", "menu", "modal", "nav",
                 "navbar", "navigation", "newsletter", "notice", "popup", "promo", "promoted", "related", "reply",
                 "replies", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe",
                 "topbar", "widget"}
+COMMENT_WORDS = {"comment", "comments", "disqus", "reply", "replies"}
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert",
                 "alertdialog", "menu", "menubar"}
 MAIN_WORDS = {"article", "main"}
@@ -50,20 +54,28 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "center", "
           "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe"}
+CLOSES_PARAGRAPH = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset",
+                    "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr",
+                    "main", "menu", "nav", "ol", "pre", "section", "table", "ul"}
 CLOSED_BY_SIBLING = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-                   r"|<(?=[a-zA-Z/!])[^<]*$", re.S)
+MARKUP = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+TAG_PART = re.compile(r">|=\s*([\"'])")
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 SPACE_RUN = re.compile(r"\s+")
 ARTICLE, PLAIN, GONE = 2, 1, 0
 
 
-def _zone(tag: str, attributes: str, zone: int) -> int:
-    """Zone inside an element, given the zone around it."""
+SOFT, COMMENTS = 1, 2  # chrome by name only, and reader comments by name
+
+
+def _element(tag: str, attributes: str, zone: int) -> tuple[int, int]:
+    """Zone inside an element, given the zone around it, and whether its name,
+    class or id says that it is chrome (0, ``SOFT`` or ``COMMENTS``)."""
     if zone == GONE or tag in SKIPPED or tag in CHROME:
         # An article's own header (its title) is part of it.
-        return zone if tag == "header" and zone == ARTICLE else GONE
+        return (zone if tag == "header" and zone == ARTICLE else GONE), 0
+    doubt = SOFT if tag == "form" else 0
     if attributes:
         words, role, hidden = set(), "", False
         for name, a, b, c in ATTRIBUTE.findall(attributes):
@@ -74,111 +86,212 @@ def _zone(tag: str, attributes: str, zone: int) -> int:
                 role = value
             else:
                 hidden |= name.lower() == "hidden" or value == "true"
-        if hidden or role in CHROME_ROLES or (tag not in ("html", "body", "article", "main") and words & CHROME_WORDS):
-            return GONE
+        if hidden or role in CHROME_ROLES:
+            return GONE, 0
         if role in MAIN_WORDS:
-            return ARTICLE
-    return ARTICLE if tag in MAIN_WORDS else zone
+            return ARTICLE, 0
+        if tag not in ("html", "body", "article", "main") and words & CHROME_WORDS:
+            doubt = COMMENTS if words & COMMENT_WORDS else SOFT
+    return (ARTICLE if tag in MAIN_WORDS else zone), doubt
+
+
+class _Tags:
+    """Ends of tags, found in one pass over the page: a quote opens a value only
+    after an equals sign, and one that is never closed does not hide the tag's end."""
+
+    def __init__(self, html: str):
+        self.html, self.unclosed = html, set()
+
+    def end(self, at: int) -> int:
+        """Index after the tag that is open at ``at``; the page's end if it stays open."""
+        while m := TAG_PART.search(self.html, at):
+            quote = m.group(1)
+            if quote is None:
+                return m.end()
+            at = m.end()
+            if quote not in self.unclosed:
+                close = self.html.find(quote, at)
+                if close < 0:
+                    self.unclosed.add(quote)
+                else:
+                    at = close + 1
+        return len(self.html)
+
+
+def _chrome(doubted: list[list], lines: list) -> list[bool]:
+    """Which of the doubted elements (``[kind, words, article words, the doubted
+    element around it or -1]``, those inside others not counted yet) are chrome,
+    or stand in one that is: not one that holds all article text of the page; on a
+    page without article text, not one that holds most of its text, unless it is
+    named as comments."""
+    total = sum(n for _, _, _, n in lines)
+    article = sum(n for _, zone, _, n in lines if zone == ARTICLE)
+    for _, words, inside, around in reversed(doubted):  # inner elements come later
+        if around >= 0:
+            doubted[around][1] += words
+            doubted[around][2] += inside
+    gone: list[bool] = []
+    for kind, words, inside, around in doubted:
+        own = inside < article if article else kind == COMMENTS or 2 * words <= total
+        gone.append(own or (around >= 0 and gone[around]))
+    return gone
 
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
     """Text blocks of a page in order, each with its zone. White space inside a
     block is one blank; character references are decoded after the markup is
-    taken apart. An unclosed tag at the end of the page is markup."""
-    lines: list[tuple[str, int]] = []
-    stack: list[tuple[str, int]] = []
+    taken apart. An unclosed tag at the end of the page is markup. Elements that
+    are chrome by name only are judged once the whole page is read."""
+    lines: list[tuple[str, int, int, int]] = []
+    stack: list[tuple[str, int, int]] = []  # element, and the zone and the doubted element around it
+    is_open: Counter[str] = Counter()
+    doubted: list[list] = []
     parts: list[str] = []
-    zone, raw, at = PLAIN, "", 0
+    zone, inside, raw, at = PLAIN, -1, "", 0
 
     def end_block():
         if parts:
             text = SPACE_RUN.sub(" ", unescape("".join(parts))).strip()
             if text and zone != GONE:
-                lines.append((text, zone))
+                n = len(text.split())
+                lines.append((text, zone, inside, n))
+                if inside >= 0:
+                    doubted[inside][1] += n
+                    doubted[inside][2] += n * (zone == ARTICLE)
             parts.clear()
 
+    def close(depth: int):
+        nonlocal zone, inside
+        _, zone, inside = stack[depth]
+        is_open.subtract(name for name, _, _ in stack[depth:])
+        del stack[depth:]
+
     html = html or ""
+    tags = _Tags(html)
     while at < len(html):
         if raw:  # nothing but its own end tag ends such an element
-            close = re.compile(f"</{raw}(?=[\\s/>]|$)", re.I).search(html, at)
-            at = close.start() if close else len(html)
+            found = re.compile(f"</{raw}(?=[\\s/>]|$)", re.I).search(html, at)
+            at = found.start() if found else len(html)
             raw = ""
             continue
-        m = TOKEN.search(html, at)
+        m = MARKUP.search(html, at)
         if zone != GONE:
             parts.append(html[at:m.start() if m else len(html)])
         if not m:
             break
-        at = m.end()
         tag = (m.group(2) or "").lower()
         if not tag:
+            mark = "-->" if m.group() == "<!--" else ">"
+            at = html.find(mark, m.end())
+            at = len(html) if at < 0 else at + len(mark)
             continue
+        at = tags.end(m.end())
+        attributes = html[m.end():at - 1]
         block = tag in BLOCKS or tag in SKIPPED
         if m.group(1):  # an end tag closes up to its element, if that is open
             if block:
                 end_block()
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1, -1, -1) if is_open[tag] else ():
                 if stack[depth][0] == tag:
-                    end_block() if zone != stack[depth][1] else None
-                    zone = stack[depth][1]
-                    del stack[depth:]
+                    if (zone, inside) != stack[depth][1:]:
+                        end_block()
+                    close(depth)
                     break
             continue
-        inner = _zone(tag, m.group(3), zone)
-        if block or inner != zone:
+        if block:
             end_block()
-        if tag in CLOSED_BY_SIBLING:
-            for depth in range(len(stack) - 1, max(-1, len(stack) - 4), -1):
-                if stack[depth][0] == tag:
-                    zone = stack[depth][1]
-                    del stack[depth:]
-                    inner = _zone(tag, m.group(3), zone)
-                    break
-                if stack[depth][0] in BLOCKS:
-                    break
-        if tag in VOID or m.group(3).endswith("/"):
+        closes = {tag} if tag in CLOSED_BY_SIBLING else {"p"} if tag in CLOSES_PARAGRAPH else set()
+        for depth in range(len(stack) - 1, max(-1, len(stack) - 9), -1) if closes else ():
+            if stack[depth][0] in closes:
+                end_block()
+                close(depth)
+                break
+            if stack[depth][0] in BLOCKS:
+                break
+        inner, doubt = _element(tag, attributes, zone)
+        if inner != zone or doubt:
+            end_block()
+        if tag in VOID or attributes.endswith("/"):
             continue
-        stack.append((tag, zone))
+        stack.append((tag, zone, inside))
+        is_open[tag] += 1
         zone = inner
+        if doubt:
+            doubted.append([doubt, 0, 0, inside])
+            inside = len(doubted) - 1
         if tag in RAW:
             raw = tag
     end_block()
-    return lines
+    gone = _chrome(doubted, lines)
+    return [(text, z) for text, z, around, _ in lines if around < 0 or not gone[around]]
+
+
+def _lcs_rows(a: list[int], b: list[int]) -> Iterator[int]:
+    """After each entry of ``a``, a number whose bit j is clear where the longest
+    common subsequence with b[:j + 1] is longer than with b[:j]."""
+    places: dict[int, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    every = (1 << len(b)) - 1
+    row = every
+    for x in a:
+        step = row & places.get(x, 0)
+        row = ((row + step) | (row - step)) & every
+        yield row
+
+
+def _lcs_lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each prefix of ``b``."""
+    row = (1 << len(b)) - 1
+    for row in _lcs_rows(a, b):
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), dtype=np.uint8), bitorder="little")
+    return np.concatenate([[0], np.cumsum(1 - bits[:len(b)].astype(np.int64))])
+
+
+def _lcs_hits(a: list[int], b: list[int], at: int, hit: np.ndarray) -> None:
+    """Mark the entries of ``a`` (the first one is ``hit[at]``) in a longest common
+    subsequence with ``b``. Long inputs are halved where both halves' lengths add
+    up to the most, so memory stays linear; every step works on whole bit rows."""
+    if not a or not b:
+        return
+    if len(a) * len(b) > LCS_BITS and len(a) > 1:
+        half = len(a) // 2
+        split = int(np.argmax(_lcs_lengths(a[:half], b) + _lcs_lengths(a[half:][::-1], b[::-1])[::-1]))
+        _lcs_hits(a[:half], b[:split], at, hit)
+        _lcs_hits(a[half:], b[split:], at + half, hit)
+        return
+    rows = [(1 << len(b)) - 1, *_lcs_rows(a, b)]
+    i, j = len(a), len(b)
+    while i and j:
+        if rows[i] >> (j - 1) & 1:
+            j -= 1
+        elif not rows[i - 1] >> (j - 1) & 1:
+            i -= 1
+        else:
+            i, j = i - 1, j - 1
+            hit[at + i] = True
+
+
+LCS_BITS = 1 << 26
 
 
 def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which entries of ``a`` are in its longest common subsequence with ``b``.
-
-    Common ends are matched first. The rest is solved over the places where the
-    two agree (a longest chain rising in both), so memory follows the matches.
-    """
+    Common ends are matched first; entries that the other side lacks take no part."""
     hit = np.zeros(len(a), dtype=bool)
-    lo = 0
-    while lo < len(a) and lo < len(b) and a[lo] == b[lo]:
-        hit[lo] = True
-        lo += 1
-    ea, eb = len(a), len(b)
-    while ea > lo and eb > lo and a[ea - 1] == b[eb - 1]:
-        ea, eb = ea - 1, eb - 1
-        hit[ea] = True
-    places: dict[int, list[int]] = {}
-    for j in range(lo, eb):
-        places.setdefault(int(b[j]), []).append(j)
-    ends: list[int] = []  # smallest end in b of a chain of each length
-    links: list[tuple[int, tuple]] = []
-    for i in range(lo, ea):
-        for j in reversed(places.get(int(a[i]), ())):
-            k = int(np.searchsorted(ends, j))
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                links.append(link)
-            else:
-                ends[k], links[k] = j, link
-    chain = links[-1] if links else None
-    while chain:
-        hit[chain[0]] = True
-        chain = chain[1]
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    lo = int(differ[0]) if len(differ) else n
+    differ = np.flatnonzero((a[len(a) - n:] != b[len(b) - n:])[::-1])
+    tail = min(int(differ[0]) if len(differ) else n, n - lo)
+    hit[:lo] = True
+    hit[len(a) - tail:] = True
+    inner_a, inner_b = a[lo:len(a) - tail], b[lo:len(b) - tail]
+    known = np.flatnonzero(np.isin(inner_a, inner_b))
+    inside = np.zeros(len(known), dtype=bool)
+    _lcs_hits(inner_a[known].tolist(), inner_b[np.isin(inner_b, inner_a)].tolist(), 0, inside)
+    hit[lo + known[inside]] = True
     return hit
 
 
@@ -210,11 +323,13 @@ def main_text(lines: list[tuple[str, int]], neighbours: Sequence[np.ndarray] | N
             if not hit.all():  # a copy does not tell template from text
                 shared.append(hit)
                 others.append(other)
+    words = np.array([len(t.split()) for t, _ in lines], dtype=np.int64)
     if not shared:
-        keep = article if article.any() else ~article
+        # Little text in articles beside much outside: those are teasers.
+        keep = article if 4 * words[article].sum() >= words.sum() and article.any() else np.ones(len(lines), dtype=bool)
     else:
         keep = ~shared[0] | article
-        words = np.array([len(t.split()) for t, _ in lines]) * article
+        words = words * article
         votes = [same_place(hashes[article], other[other & 1 == 1]) for hit, other in zip(shared, others, strict=True)
                  if 2 * words[hit].sum() <= words.sum()]
         if len(votes) > 1:
@@ -268,8 +383,15 @@ def url_neighbours(pages: DataFrame) -> DataFrame:
     same_host = lambda f, n: F.when(f("host", n).over(w) == F.col("host"), f(at, n).over(w))
     near = rows.select("own", "page_id", "path", *[same_host(f, n).alias(f"{name}{n}") for n in (1, 2)
                                                    for name, f in (("before", F.lag), ("after", F.lead))]).where("own")
-    alike = lambda c: F.coalesce(
-        F.length(F.regexp_extract(F.concat("path", F.lit("\n"), F.coalesce(c, F.lit(""))), r"^(.*).*\n\1", 1)), F.lit(-1))
+
+    def alike(other: Column) -> Column:
+        """Code points of the common start of both paths; -1 without another path."""
+        letters = lambda c: F.split(c, "")
+        same = F.zip_with(letters(F.col("path")), letters(other), lambda x, y: F.coalesce(x == y, F.lit(False)))
+        first = bind(same, lambda equal: F.when(F.array_position(equal, False) > 0, F.array_position(equal, False) - 1)
+                     .otherwise(F.size(equal)))
+        return F.when(other.isNull(), F.lit(-1)).otherwise(first)
+
     two = F.when(F.col("before1").isNull(), F.array("after1", "after2")) \
         .when(F.col("after1").isNull(), F.array("before1", "before2")) \
         .when(alike(F.col("after1.path")) > alike(F.col("before1.path")), F.array("after1", "before1")) \

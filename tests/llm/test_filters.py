@@ -1,5 +1,7 @@
 """Dedup, mixing, sharding and packing on small hand-made tables."""
 
+import hashlib
+import math
 import zlib
 from collections import defaultdict
 
@@ -72,6 +74,23 @@ def test_shards_are_gapless_and_only_the_new_one_gains(spark):
     assert sharding.shard_documents(docs(spark, [])).count() == 0
 
 
+def test_shards_equal_a_plain_rendezvous(spark):
+    rows = [(i, "é" * (i % 5), "a") for i in range(300)] + ODD
+    out = sharding.shard_documents(docs(spark, rows)).collect()
+
+    def score(shard, doc_id):
+        text = f"{shard}:{'' if doc_id is None else doc_id}"
+        return -math.log((int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 1) / (1 << 52))
+
+    texts = defaultdict(list)
+    for i, t, _ in rows:
+        texts[i].append((len((t or "").encode()) + 8, zlib.crc32((t or "").encode())))
+    for r in out:
+        best = min(range(24), key=lambda s: (score(s, r.doc_id), s))
+        assert r.shard == best and (r["size"], r.text_crc32) in texts[r.doc_id]
+        assert r.grown_shard == min(range(25), key=lambda s: (score(s, r.doc_id), s))
+
+
 def test_weighted_shards_follow_their_weights(spark):
     out = sharding.shard_documents(docs(spark, [(i, "t", "a") for i in range(4000)]), weights=(1.0, 3.0))
     share = out.where("shard = 1").count() / 4000

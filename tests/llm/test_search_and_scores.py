@@ -174,6 +174,71 @@ def test_article_text_by_structure():
     assert html_text.page_lines("a < b &lt;p&gt; <p") == [("a < b <p>", html_text.PLAIN)]
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<div class="layout has-sidebar"><article>Body text</article><div class="sidebar">Links</div></div>', "Body text"),
+    ('<div id="page" class="no-comments"><main>Main text</main></div>', "Main text"),
+    ('<section class="market share">Share of the market</section>', "Share of the market"),
+    ('<form id="aspnetForm"><article>In a form</article></form>', "In a form"),
+    ('<article>Text</article><form>Send it</form>', "Text"),
+    ('<p class="ad">Buy<div>Real text</div>', "Real text"),
+    ("<p title=don't>Hello <b>it's</b> me", "Hello it's me"),
+    ('<p class="x>not lost</p><p>kept</p>', "not lost\nkept"),
+    ('<main><p>Text</p></main><div class="comments"><article>A comment longer than the text</article></div>', "Text"),
+    ('<div class="comments">Only comments here, most of the page</div><p>Text</p>', "Text"),
+    ('<div class="ad">An advert that is longer than the article</div><article>Short</article>', "Short"),
+    ('<div class="promo">Buy</div><p>Plain text of a page</p>', "Plain text of a page"),
+    ('<article>Teaser</article><p>A plain text that is much longer than the teaser beside it, by far</p>',
+     "Teaser\nA plain text that is much longer than the teaser beside it, by far")])
+def test_structure_cannot_empty_a_page(html, text):
+    assert html_text.main_text(html_text.page_lines(html), None) == text
+
+
+def test_odd_pages_take_linear_time(spark):
+    import time
+    start = time.perf_counter()
+    for html in ('<p title="' * 20_000, "<p class=ad>x " * 20_000, "<div class=ad>x " * 20_000, "<b>" * 20_000 + "</i>" * 20_000,
+                 "<" * 50_000, "<!--" * 20_000, "x" * 1_000_000):
+        html_text.page_lines(html)
+    assert time.perf_counter() - start < 6
+    for other in (np.tile([1, 2], 10_000), np.tile([2, 2, 1, 3], 5_000), np.full(20_000, 1)):
+        start = time.perf_counter()
+        hit = html_text.shared_lines(np.tile([1, 2], 10_000).astype(np.uint64), other.astype(np.uint64))
+        assert hit.sum() >= 10_000 and time.perf_counter() - start < 2
+    rows = [(i, "http://h/" + "a" * 100_000 + str(i), f"<p>same</p><p>own {i}</p>") for i in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in html_text.extract_main_text(frame).collect()} == {f"own {i}" for i in range(4)}
+
+
+def test_long_common_subsequences_are_halved(monkeypatch):
+    monkeypatch.setattr(html_text, "LCS_BITS", 60)
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        a, b = (rng.integers(0, 6, int(rng.integers(0, 40))).astype(np.uint64) for _ in range(2))
+        longest = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                longest[i + 1, j + 1] = longest[i, j] + 1 if x == y else max(longest[i, j + 1], longest[i + 1, j])
+        hit = html_text.shared_lines(a, b)
+        rest = iter(b.tolist())
+        assert hit.sum() == longest[-1, -1] and all(x in rest for x in a[hit].tolist())
+
+
+def test_main_text_equals_a_plain_reading(spark):
+    """Generated pages of one host: the result is what their generator calls the text."""
+    rng = np.random.default_rng(6)
+    rows, want = [], {}
+    for i in range(40):
+        own = [f"Paragraph {i} {k} says something of its own" for k in range(int(rng.integers(1, 6)))]
+        body = "".join(f"<p>{x.replace(' of ', ' <i>of</i>  ')}</p>" for x in own)
+        body = body if i % 2 else f"<article>{body}</article>"
+        html = (f"<html><head><title>x</title></head><body><nav>Home</nav><div>Site line</div>{body}<div>Since 1999</div>"
+                f"<div class='comments'><p>Reader {i} writes</p></div><footer>Imprint</footer></body></html>")
+        rows.append((i, f"https://host.org/{'ab'[i % 2]}/page-{i:03d}", html))
+        want[i] = "\n".join(own)
+    out = html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == want
+
+
 def test_shared_lines_go_where_there_is_no_article(spark):
     rows = [(i, f"http://h/a/{i}", PAGE % f"<div>Welcome to the site</div><p>Story {i}</p><div>Read on</div>") for i in (1, 2)]
     rows += [(3, "http://other/x", PAGE % "<p>Alone</p>"), (4, None, None), (None, "http://h/a/3", PAGE % "<p>No id</p>"),
