@@ -62,6 +62,21 @@ def vector_long(df: DataFrame, id_col: str, vec_col: str, value_col: str = "valu
     return df.select(id_col, F.posexplode(vector_to_array(F.col(vec_col))).alias("position", value_col))
 
 
+def vector_entries(df: DataFrame, id_col: str, vec_col: str, value_col: str = "value") -> DataFrame:
+    """The non-zero entries of a vector column as rows ``(id, position, value,
+    width)``. Sparse vectors are read as they are stored, so a category of a
+    million levels costs its one entry; a vector of zeros gives no row, a null
+    vector neither."""
+    v = F.unwrap_udt(F.col(vec_col))
+    sparse = v["type"] == 0
+    width = F.when(sparse, v["size"]).otherwise(F.size(v["values"]))
+    places = F.when(sparse, v["indices"]).otherwise(F.sequence(F.lit(0), F.greatest(F.size(v["values"]) - 1, F.lit(0))))
+    rows = df.select(id_col, width.alias("width"), F.explode(F.arrays_zip(
+        places.alias("position"), v["values"].alias("value"))).alias("e"))
+    return rows.select(id_col, F.col("e.position").alias("position"), F.col("e.value").alias(value_col), "width") \
+        .where(F.col(value_col) != 0)
+
+
 def feature_names(df: DataFrame, vec_col: str) -> list[str]:
     """Slot names from the vector column's ML attribute metadata."""
     meta = df.schema[vec_col].metadata.get("ml_attr", {})

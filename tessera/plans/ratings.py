@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import metrics, models, ranking, segments, split, tags
+from ..operators import cuts, metrics, models, ranking, segments, split, tags
 from ..session import ensure_checkpoint_dir, materialized, shared
 from ..sources.files import table
 from ..sources.standins import movies_table, ratings_table, segments_table
@@ -61,6 +61,12 @@ def time_split_sizes(spark, sf_dir):
     return split.split_sizes(ranked(spark, sf_dir), FRACTIONS)
 
 
+def time_cuts(spark, sf_dir):
+    """``time_split_sizes`` from the exact cuts alone: no row is ranked."""
+    data = ratings(spark, sf_dir)
+    return cuts.cut_sizes(data, cuts.rank_cuts(data, "timestamp", FRACTIONS))
+
+
 def _segment_liked(spark, sf_dir):
     """Liked items of the largest market segment in every training split, all
     splits in one plan (each rating row joins the splits that contain it)."""
