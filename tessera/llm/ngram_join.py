@@ -43,6 +43,7 @@ SIMILARITY = (80, 100)
 FREQUENT = 8  # documents of a shingle, as summed from counts of 2 and more per batch
 MAX_FREQUENT = 1_000_000  # frequent shingles put last; which ones only moves cost
 MAX_SMALL = 12
+LONG_LIST = 64  # an ordinary shingle's list of more sets counts as a frequent shingle's
 CELL = 500  # sets per block of a list group
 COUNT_BATCH = 8_000_000
 
@@ -282,6 +283,28 @@ def _frequent_links(entries: DataFrame, sets: DataFrame, t: tuple[int, int]) ->
     return linked.unionByName(found)
 
 
+def _long_lists_moved(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with the shingles of long lists under ``frequent``.
+
+    Counts per batch miss a shingle that each batch holds once. So the lists
+    that would be joined with themselves are counted exactly, over all sets,
+    and those of more than LONG_LIST sets take the way of frequent shingles:
+    no list gives more than LONG_LIST squared pairs. Each set keeps its prefix;
+    only the way its shingles are looked up changes."""
+    lists = nodes.select("node", F.explode("tokens").alias("token"))
+    long = stored(lists.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > LONG_LIST)
+                  .select("token"), "op8-long-lists")
+    if long.isEmpty():
+        return nodes
+    moved = lists.join(long, "token").groupBy(F.col("node").alias("mover")).agg(F.collect_list("token").alias("moved"))
+    with_moved = nodes.join(moved, F.col("node") == F.col("mover"), "left") \
+        .withColumn("moved", F.coalesce("moved", F.array().cast("array<bigint>")))
+    return stored(with_moved.select(
+        "node", "n", "subsets", F.array_except("tokens", "moved").alias("tokens"),
+        F.concat("frequent", "moved").alias("frequent"),
+        (F.col("typical") + F.size("moved") / F.col("n")).alias("typical")), "op8-nodes")
+
+
 def similar_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """For each row of ``docs`` (``doc_id, text``): ``doc_id, n_shingles,
     component_id``.
@@ -312,6 +335,7 @@ def similar_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY)
                              (F.col("class") == F.col("k")) & (F.col("doc_id") == F.col("node")))
                    .dropDuplicates(["node", "class"])
                    .select("node", "n", "subsets", "tokens", "frequent", "typical"), "op8-nodes")
+    nodes = _long_lists_moved(nodes)
     n_frequent = F.size("frequent").cast("bigint").alias("nf")
     entries = nodes.where(F.size("tokens") > 0).select("node", "n", n_frequent, F.explode("tokens").alias("token"))
     left = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "nf")])

@@ -65,6 +65,25 @@ def test_join_equals_all_pairs(spark):
     assert join_rows(spark, rows) == brute_components(rows)
 
 
+def test_join_with_long_lists_of_ordinary_shingles(spark, monkeypatch):
+    """No shingle is frequent in a batch; lists of more than two sets are moved
+    by their exact counts, and the links stay those of all pairs."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 10 ** 6)
+    rng = np.random.default_rng(6)
+    rows = []
+    for group in range(6):
+        base = [f"g{group}w{k}" for k in range(40)]
+        for i in range(12):
+            words = list(base)
+            for at in rng.integers(0, 40, int(rng.integers(0, 3))):
+                words[at] = f"x{rng.integers(0, 5)}"
+            rows.append((100 * group + i, " ".join(words)))
+    expected = brute_components(rows)
+    for longest in (1, 2, 10 ** 6):
+        monkeypatch.setattr(ngram_join, "LONG_LIST", longest)
+        assert join_rows(spark, rows) == expected
+
+
 def test_join_of_nulls_repeats_and_nothing(spark):
     out = join_rows(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (9, "a b c d e f")])
     assert out == {1: (2, 1), None: (2, None), 9: (2, 1)}
@@ -141,6 +160,32 @@ def test_scores_of_odd_rows(spark, module, label):
     assert module.score_documents(docs.limit(0), frame).count() == 0
 
 
+def test_machine_margins_equal_a_loop_over_pairs():
+    rng = np.random.default_rng(4)
+    model = toxicity.FactorizationMachine(np.arange(9), 0.3, rng.normal(size=9), rng.normal(size=(9, 5)))
+    rows = [np.flatnonzero(rng.random(9) < 0.5) for _ in range(20)] + [np.zeros(0, dtype=int)]
+    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    found = model.margins(doc, np.concatenate(rows), len(rows))
+    for terms, margin in zip(rows, found, strict=True):
+        loop = 0.3 + sum(model.weights[i] for i in terms) + sum(
+            model.factors[i] @ model.factors[j] for i in terms for j in terms if i < j)
+        assert margin == pytest.approx(loop, abs=1e-9)
+
+
+def test_bin_sums_equal_a_loop_over_bins():
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(400, 4)), 1)  # values on the edges too
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
+    model = quality.fit_model(x, y, rounds=5, pair_rounds=8)
+    assert (0, 1) in model.pairs and (((model.margins(x) > 0) == y).mean() > 0.9)
+    for row, margin in zip(x[:50], model.margins(x[:50]), strict=True):
+        at = lambda edges, v: sum(e <= v for e in edges)
+        loop = model.base + sum(t[at(e, v)] for t, e, v in zip(model.tables, model.edges, row, strict=True))
+        loop += sum(t[at(model.pair_edges[i], row[i]), at(model.pair_edges[j], row[j])]
+                    for (i, j), t in zip(model.pairs, model.pair_tables, strict=True))
+        assert margin == pytest.approx(loop, abs=1e-9)
+
+
 def test_machine_learns_a_pair_that_no_sum_can():
     rng = np.random.default_rng(2)
     rows, y = [], []
