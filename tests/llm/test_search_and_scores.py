@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 pytest.importorskip("tessera.llm")
@@ -123,6 +124,21 @@ def test_neighbours_recall_and_exact_scores(spark):
     assert hits >= 0.9 * 10 * len(queries)
 
 
+def test_each_candidate_is_measured_once(spark):
+    """What a query meets in its leaves, over all trees, is one row per candidate:
+    the rows of all leaves it visits, each once."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(600, 8))
+    forest = ann.grow_forest(x, trees=5, leaf=20)
+    frame = pd.DataFrame({"vec_id": np.arange(600), "vector": list(x)})
+    rows = pd.concat(ann._row_leaves(forest)(iter([frame])))
+    asked = next(ann._query_leaves(forest, 30)(iter([frame.iloc[:1]])))
+    met = [i for leaf, group in asked.groupby("leaf")
+           for i in ann._nearest(1000)(rows[rows.leaf == leaf], group)["vec_id"]]
+    every = set(rows[rows.leaf.isin(asked.leaf)].vec_id) - {0}
+    assert sorted(met) == sorted(every) and 100 < len(met) < 599
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [None, 1.0]),
             (6, [1.0, 0.5]), (6, [1.0, 0.5]), (7, [1.0, float("inf")]), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0])]
