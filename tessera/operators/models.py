@@ -77,7 +77,7 @@ def als(user: str = "userId", item: str = "movieId", rating: str = "rating",
     """Matrix factorisation; cold-start rows are dropped when scoring. Periodic
     checkpoints (to the session's checkpoint folder) cut the iteration lineage.
     ``blocks`` sets the user and item block counts (parallelism of each
-    half-step); size it to the cluster's cores."""
+    half-step). The seeded start depends on it: take it from the table's size."""
     est = ALS(userCol=user, itemCol=item, ratingCol=rating, seed=seed, rank=rank,
               maxIter=max_iter, regParam=reg_param, coldStartStrategy="drop",
               checkpointInterval=5)

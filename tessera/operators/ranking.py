@@ -125,3 +125,13 @@ def dense_index(df: DataFrame, col: str, out_col: str) -> DataFrame:
     ids = df.select(F.col(col)).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
     numbered = prefix_totals(ids, col, ["_one"])
     return numbered.select(col, F.col("_one_before").cast("int").alias(out_col))
+
+
+def dense_indices(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(column, key, index)``: the dense index of each of several bigint
+    columns, all from one scan of ``df`` and one set of prefix totals."""
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("key")) for c in cols])
+    keys = df.select(F.explode(each).alias("k")).select("k.*").where(F.col("key").isNotNull()) \
+        .distinct().withColumn("_one", F.lit(1))
+    numbered = prefix_totals(keys, "key", ["_one"], ["column"])
+    return numbered.select("column", "key", F.col("_one_before").cast("int").alias("index"))

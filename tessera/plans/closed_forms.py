@@ -108,9 +108,10 @@ def _factorised(spark, sf_dir):
         data = data.join(users, "userId").join(ranking.dense_index(data, "movieId", "item"), "movieId")
         known = split.hash_uniform(F.concat_ws(":", "userId", "movieId"), "separable") < TRAIN_SHARE
         data = stored(data.withColumn("part", F.when(known, F.lit("train")).otherwise(F.lit("test"))), "separable")
+        train = data.where("part = 'train'")
         est = models.als(user="user", item="item", seed=ratings.SEED, rank=1, max_iter=FACTOR_STEPS,
-                         reg_param=FACTOR_PENALTY, blocks=ratings.BLOCKS)
-        return data, users, est.fit(data.where("part = 'train'"))
+                         reg_param=FACTOR_PENALTY, blocks=ratings.blocks_for(train.count()))
+        return data, users, est.fit(train)
 
     return shared(spark, "separable-factors", sf_dir, build)
 

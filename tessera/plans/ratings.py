@@ -18,9 +18,11 @@ from ..sources.standins import movies_table, ratings_table, segments_table
 FRACTIONS = [0.4, 0.6, 0.8]
 SEED = 17
 SAMPLE_FRACTION = 0.1
-# User and item blocks of a factorisation. They take part in the result, so the
-# number is fixed and not taken from the cluster; raise it for larger tables.
-BLOCKS = 10
+# Ratings in a user or item block of a factorisation. Blocks take part in the
+# result, so their number follows the table and not the cluster; beyond
+# MAX_BLOCKS, as blocks exchange factors pairwise, each holds more ratings.
+BLOCK_RATINGS = 150_000
+MAX_BLOCKS = 2_000
 # The two factorisation settings of the analysis.
 SETTINGS = {
     "setting1": {"rank": 10, "max_iter": 10, "reg_param": 0.1},
@@ -97,9 +99,11 @@ def tag_indicators(spark, sf_dir):
 
 
 def _index(spark, sf_dir, col: str, out_col: str) -> DataFrame:
-    """Dense int index of a bigint key, built once per application."""
-    return materialized(spark, f"index-{col}", sf_dir,
-                        lambda: ranking.dense_index(ratings(spark, sf_dir), col, out_col))
+    """Dense int index of a bigint key; users' and items' are built together,
+    once per application."""
+    both = materialized(spark, "indices", sf_dir,
+                        lambda: ranking.dense_indices(ratings(spark, sf_dir), ["userId", "movieId"]))
+    return both.where(F.col("column") == col).select(F.col("key").alias(col), F.col("index").alias(out_col))
 
 
 def _ranked_input(spark, sf_dir) -> DataFrame:
@@ -121,6 +125,11 @@ def _factor_keys(spark, sf_dir, factors: DataFrame) -> DataFrame:
         .select(F.col("userId").alias("id"), "features")
 
 
+def blocks_for(n_ratings: int) -> int:
+    """User and item blocks of a factorisation of so many ratings."""
+    return min(MAX_BLOCKS, max(1, -(-n_ratings // BLOCK_RATINGS)))
+
+
 def als_model(spark, sf_dir, fraction: float, setting: str):
     """The factorisation of one split's training ratings under one setting.
     Seeded, so it is fitted once per application and shared by the error
@@ -129,17 +138,17 @@ def als_model(spark, sf_dir, fraction: float, setting: str):
         s = SETTINGS[setting]
         train, _ = split.time_split(_ranked_input(spark, sf_dir), fraction)
         ensure_checkpoint_dir(spark)
-        return models.als(user="user", item="item", seed=SEED, rank=s["rank"],
-                          max_iter=s["max_iter"], reg_param=s["reg_param"], blocks=BLOCKS).fit(train)
+        return models.als(user="user", item="item", seed=SEED, rank=s["rank"], max_iter=s["max_iter"],
+                          reg_param=s["reg_param"], blocks=blocks_for(train.count())).fit(train)
 
     return shared(spark, f"als {fraction} {setting}", sf_dir, fit)
 
 
-def als_errors(spark, sf_dir, settings: list[str] | None = None, concurrency: int = 3):
+def als_errors(spark, sf_dir, settings: list[str] | None = None, concurrency: int = 6):
     """RMSE / MSE / MAE of each setting on each time split, with the share of
     test ratings the model could score (cold-start rows are dropped).
 
-    The six fits are independent distributed jobs; a few run at once so the
+    The six fits are independent distributed jobs that run at once, so the
     cluster is not idle between the short iterations of each."""
     names = settings or list(SETTINGS)
     data = _ranked_input(spark, sf_dir)

@@ -96,6 +96,26 @@ def test_dense_index_contiguous_in_value_order(spark):
     assert got == [(5, 0), (big, 1), (big + 7, 2)]
 
 
+def test_dense_indices_of_two_columns_in_one_pass(spark):
+    """Each column's index is its own, with keys in both, repeats, nulls and no rows."""
+    big = 3_000_000_000
+    rows = [(big + 7, 5), (5, 5), (big, None), (None, 9), (5, big), (5, -3)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    out = ranking.dense_indices(df, ["a", "b"])
+    assert dict(out.dtypes)["index"] == "int"
+    for col in ("a", "b"):
+        alone = {(r[0], r[1]) for r in ranking.dense_index(df, col, "i").collect()}
+        both = [(r["key"], r["index"]) for r in out.where(out["column"] == col).collect()]
+        assert len(both) == len(alone) and set(both) == alone
+    assert ranking.dense_indices(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_blocks_follow_the_ratings():
+    from tessera.plans.ratings import BLOCK_RATINGS, MAX_BLOCKS, blocks_for
+    assert [blocks_for(n) for n in (0, 1, BLOCK_RATINGS, BLOCK_RATINGS + 1, 40 * BLOCK_RATINGS)] == [1, 1, 1, 2, 40]
+    assert blocks_for(10 ** 12) == MAX_BLOCKS
+
+
 def test_infinite_keys_and_zoneless_times_rank(spark):
     from tessera.operators.ranking import percent_rank
     from tessera.operators.split import time_ranked
