@@ -136,3 +136,13 @@ def test_vectors_of_any_one_length(spark):
     mixed = frame.unionAll(spark.createDataFrame([(2, [0.5] * 5, 3)], frame.schema))
     with pytest.raises(ValueError):
         collision_features(mixed)
+
+
+def test_large_factorisations_exchange_little(spark):
+    """Sixty times sf0.1 (28.8 million training ratings): a key's factors go to few
+    blocks, no step's files outlive the next, and fits do not add up."""
+    from tessera.operators import models
+    from tessera.plans.ratings import blocks_for, fits_at_once
+    assert blocks_for(28_800_000) <= 12
+    assert models.als().getCheckpointInterval() == 1
+    assert [fits_at_once(n, 6) for n in (0, 480_000, 36_000_000, 10 ** 12)] == [6, 6, 2, 1]
