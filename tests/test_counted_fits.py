@@ -1,11 +1,14 @@
-"""Fits on counted rows are fits on all rows."""
+"""Fits on counted rows are fits on all rows; named folds equal CrossValidator's."""
 
 import pytest
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from tessera.operators import features as feat
-from tessera.operators import models
+from tessera.operators import models, tune
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +27,19 @@ def test_counted_fit_equals_fit_of_all_rows(spark, rows):
     assert few.coefficients[0] == pytest.approx(whole.coefficients[0], abs=1e-9)
 
 
+def test_named_folds_equal_cross_validator(spark, rows):
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withStd=True, withMean=False)
+    est = models.poisson_glm("y", "scaled")
+    grid = tune.param_grid(est, {"regParam": [0.01, 1.0]})
+    ev = RegressionEvaluator(labelCol="y", metricName="rmse")
+    new = tune.cross_validate(est, grid, ev, rows, folds=2, fold_col="fold", stages=scaler)
+    old = CrossValidator(estimator=Pipeline(stages=[scaler, est]), estimatorParamMaps=grid, evaluator=ev, numFolds=2,
+                         foldCol="fold").fit(rows)
+    assert new.avgMetrics == pytest.approx(old.avgMetrics, abs=1e-12)
+    assert new.stdMetrics == pytest.approx(old.stdMetrics, abs=1e-12)
+    assert new.bestModel.stages[-1].getRegParam() == old.bestModel.stages[-1].getRegParam()
+
+
 def test_saturated_searches_read_counts(spark):
     from conftest import SF_SMALL
 
