@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cuts, metrics, models, ranking, segments, split, tags
-from ..session import ensure_checkpoint_dir, materialized, shared
+from ..session import ensure_checkpoint_dir, materialized, shared, sized_shuffles, stored
 from ..sources.files import table
 from ..sources.standins import movies_table, ratings_table, segments_table
 
@@ -40,8 +40,11 @@ CLUSTERS = 25
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rating per (user, item), materialised once: the rank counts, the
     ranked rows and every split read it."""
-    return materialized(spark, "ratings", sf_dir, lambda: ratings_table(
-        table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")))
+    def build():
+        lines = table(spark, sf_dir, "lineitem")
+        with sized_shuffles(spark, lines.count()):
+            return stored(ratings_table(lines, table(spark, sf_dir, "orders")), "ratings")
+    return shared(spark, "ratings", sf_dir, build)
 
 
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
