@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from threading import BoundedSemaphore
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -30,6 +31,11 @@ REFERENCE_GRIDS = {
     "perceptron": {"maxIter": [100, 150], "blockSize": [128, 256], "layers": [(5, 4), (6, 5)]},
 }
 FOLDS = 5
+# Bytes of feature vectors in one partition of a search's rows. Every partition
+# sends each tree level's counts for all nodes, features and bins, and each
+# gradient, whatever rows it holds: few full partitions, and the cores are kept
+# busy by fits side by side.
+PARTITION_BYTES = 64 << 20
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,8 +112,9 @@ def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, in
     """Balanced rows, split by key hash, features assembled once (the assembler
     is stateless, so it need not run inside every fold). Both parts are
     written together as parquet under the shared folder and read back per
-    part, so the searches read compact files, not the plan behind them."""
-    def build() -> tuple[str, int]:
+    part, so the searches read compact files, not the plan behind them. The
+    rows' partitions follow their size and not the cluster."""
+    def build() -> tuple[str, int, dict[str, int]]:
         data = split.rebalance(features(spark, sf_dir), "vec_id", "label", SALT)
         cols = feature_cols(data)
         assembled = VectorAssembler(inputCols=cols, outputCol="features").transform(data) \
@@ -117,10 +124,18 @@ def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, in
             .otherwise(F.lit("test")))
         path = scratch_path(spark, "collision-parts")
         write_parts(labelled, "part", path)
-        return path, len(cols)
+        sizes = {part: read_part(spark, path, "part", part).count() for part in ("train", "test")}
+        return path, len(cols), sizes
 
-    path, width = shared(spark, "collision-parts", sf_dir, build)
-    return read_part(spark, path, "part", "train"), read_part(spark, path, "part", "test"), width
+    path, width, sizes = shared(spark, "collision-parts", sf_dir, build)
+    train, test = [read_part(spark, path, "part", part).coalesce(partitions_for(sizes[part], width))
+                   for part in ("train", "test")]
+    return train, test, width
+
+
+def partitions_for(rows: int, width: int) -> int:
+    """Partitions of so many vectors of ``width`` doubles."""
+    return max(1, -(-rows * width * 8 // PARTITION_BYTES))
 
 
 def _estimator(name: str, n_features: int):
@@ -131,7 +146,7 @@ def _estimator(name: str, n_features: int):
     return models.perceptron(n_features, features="scaled")
 
 
-def _search(name: str, est, grid: list, train: DataFrame, folds: int, parallelism: int):
+def _search(name: str, est, grid: list, train: DataFrame, folds: int, parallelism: int, gate=None):
     """All maps of one model. Boosted models of fewer rounds are prefixes of
     the longest; the perceptron's solver needs inputs of one scale, so a scaler
     is fitted with it, once per fold."""
@@ -140,7 +155,7 @@ def _search(name: str, est, grid: list, train: DataFrame, folds: int, parallelis
         if name == "perceptron" else None
     folded = train.withColumn("fold", split.hash_fold("vec_id", folds, SALT + "-fold"))
     return tune.prefix_search(est, grid, folded, "label", "fold", folds, stages=scaler,
-                              parallelism=parallelism, **rounds)
+                              parallelism=parallelism, gate=gate, **rounds)
 
 
 def _grid(name: str, est, axes: dict, n_features: int) -> list:
@@ -159,22 +174,25 @@ def tune_models(spark, sf_dir, names=("random_forest", "gbt", "perceptron"), gri
     way at once over all searches."""
     grids = grids or REFERENCE_GRIDS
     prepared(spark, sf_dir)  # write the parts once before the searches start
+    # One gate for all searches: the fits of the longest take the places that
+    # the others leave.
+    gate = BoundedSemaphore(parallelism)
 
     @inheritable_thread_target(spark)
     def one(name):
         return shared(spark, f"search {name} {grids[name]!r} {folds}", sf_dir,
-                      lambda: _tune_one(spark, sf_dir, name, grids[name], folds, max(1, parallelism // len(names))))
+                      lambda: _tune_one(spark, sf_dir, name, grids[name], folds, parallelism, gate))
 
     # Independent searches of many short jobs each: run them together.
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
         return list(pool.map(one, names))
 
 
-def _tune_one(spark, sf_dir, name, axes, folds, parallelism):
+def _tune_one(spark, sf_dir, name, axes, folds, parallelism, gate):
     train, test, width = prepared(spark, sf_dir)
     with persisted(train), persisted(test):
         est = _estimator(name, width)
-        cv = _search(name, est, _grid(name, est, axes, width), train, folds, parallelism)
+        cv = _search(name, est, _grid(name, est, axes, width), train, folds, parallelism, gate)
         scored = cv.bestModel.transform(test).select(
             "label", "prediction", metrics.positive_score().alias("score"))
         row = {"model": name, "cv_f1": float(max(cv.avgMetrics))}
