@@ -134,9 +134,9 @@ def _factor_keys(spark, sf_dir, factors: DataFrame) -> DataFrame:
         .select(F.col("userId").alias("id"), "features")
 
 
-def blocks_for(n_ratings: int) -> int:
+def blocks_for(n_ratings: int, per_block: int = BLOCK_RATINGS) -> int:
     """User and item blocks of a factorisation of so many ratings."""
-    return min(MAX_BLOCKS, max(1, -(-n_ratings // BLOCK_RATINGS)))
+    return min(MAX_BLOCKS, max(1, -(-n_ratings // per_block)))
 
 
 def als_model(spark, sf_dir, fraction: float, setting: str):
