@@ -18,7 +18,8 @@ supports:
   other, and a copy must not empty its original).
 
 A page that has no neighbour to compare with is judged by structure alone.
-Only line hashes move to find pairs; each page's HTML is shuffled once.
+Only line hashes move to find pairs; to meet its neighbours' hashes a page sends
+its text lines once, never its HTML.
 """
 
 from __future__ import annotations
@@ -343,9 +344,23 @@ def _hash_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "lines": [line_hashes(page_lines(h)).tobytes() for h in frame["html"]]})
 
 
-def _text(html: pd.Series, neighbours: pd.Series) -> pd.Series:
-    return pd.Series([main_text(page_lines(h), None if n is None else [np.frombuffer(x, dtype=np.uint64) for x in n])
-                      for h, n in zip(html, neighbours, strict=True)], dtype=object)
+def packed(lines: list[tuple[str, int]]) -> str:
+    """Lines and zones as one text, a line's zone before it; a line holds no
+    line break, as its white space is blanks."""
+    return "\n".join(f"{zone}{text}" for text, zone in lines)
+
+
+def unpacked(text: str) -> list[tuple[str, int]]:
+    return [(line[1:], int(line[0])) for line in text.split("\n")] if text else []
+
+
+def _lines(html: pd.Series) -> pd.Series:
+    return pd.Series([packed(page_lines(h)) for h in html], dtype=object)
+
+
+def _text(lines: pd.Series, neighbours: pd.Series) -> pd.Series:
+    return pd.Series([main_text(unpacked(t), None if n is None else [np.frombuffer(x, dtype=np.uint64) for x in n])
+                      for t, n in zip(lines, neighbours, strict=True)], dtype=object)
 
 
 def url_neighbours(pages: DataFrame) -> DataFrame:
@@ -417,8 +432,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     pairs = near.select(F.col("page_id").alias("id"), F.posexplode("near").alias("nth", "page_id"))
     partners = pairs.join(hashes, "page_id").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("nth", "lines"))).alias("n"))
     partners = stored(partners.select("id", F.col("n.lines").alias("neighbours")), "op4-partners")
-    rows = pages.select("page_id", "url", "html")
+    rows = pages.select("page_id", "url", F.pandas_udf(_lines, "string")("html").alias("lines"))
     rows = rows.join(partners, rows["page_id"] == partners["id"], "left")
     text = F.pandas_udf(_text, "string")
-    return rows.select("page_id", "url", text("html", "neighbours").alias("text")) \
+    return rows.select("page_id", "url", text("lines", "neighbours").alias("text")) \
         .withColumn("n_chars", F.char_length("text").cast("bigint"))

@@ -300,6 +300,17 @@ def test_main_text_equals_a_plain_reading(spark):
     assert {r.page_id: r.text for r in out} == want
 
 
+def test_only_text_lines_move_between_tasks(spark):
+    """What the joins take in holds no HTML, and packing the lines loses none."""
+    frame = spark.createDataFrame([(i, f"http://h/{i}", PAGE % f"<p>1 {i}</p>") for i in range(4)],
+                                  "page_id long, url string, html string")
+    plan = html_text.extract_main_text(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in plan[:plan.index("Join")]  # the nodes above the join
+    lines = html_text.page_lines("<p>1&#10;a\u2028b&#133;c</p><article><p>2</p>&#x1c; d</article>")
+    assert html_text.unpacked(html_text.packed(lines)) == lines and len(lines) == 3
+    assert html_text.unpacked(html_text.packed([])) == []
+
+
 def test_shared_lines_go_where_there_is_no_article(spark):
     rows = [(i, f"http://h/a/{i}", PAGE % f"<div>Welcome to the site</div><p>Story {i}</p><div>Read on</div>") for i in (1, 2)]
     rows += [(3, "http://other/x", PAGE % "<p>Alone</p>"), (4, None, None), (None, "http://h/a/3", PAGE % "<p>No id</p>"),
