@@ -5,15 +5,13 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from threading import BoundedSemaphore
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics, models, split, tune
-from ..session import scratch_path, shared
+from ..session import scratch_path, shared, small_table, together
 from ..sources.files import (cast_strings, persisted, read_headerless_csv, read_parquet, read_part,
                              rename_positional, table, write_csv, write_parquet, write_parts)
 from ..sources.standins import collision_features
@@ -31,6 +29,9 @@ REFERENCE_GRIDS = {
     "perceptron": {"maxIter": [100, 150], "blockSize": [128, 256], "layers": [(5, 4), (6, 5)]},
 }
 FOLDS = 5
+# Searches are served in this order: boosting refits its best map round by
+# round, alone, so it goes first and the others' fits run beside that.
+SERVED = ["gbt", "random_forest", "perceptron"]
 # Bytes of feature vectors in one partition of a search's rows. Every partition
 # sends each tree level's counts for all nodes, features and bins, and each
 # gradient, whatever rows it holds: few full partitions, and the cores are kept
@@ -146,7 +147,7 @@ def _estimator(name: str, n_features: int):
     return models.perceptron(n_features, features="scaled")
 
 
-def _search(name: str, est, grid: list, train: DataFrame, folds: int, parallelism: int, gate=None):
+def _search(name: str, est, grid: list, train: DataFrame, folds: int, parallelism: int, pool=None):
     """All maps of one model. Boosted models of fewer rounds are prefixes of
     the longest; the perceptron's solver needs inputs of one scale, so a scaler
     is fitted with it, once per fold."""
@@ -155,7 +156,7 @@ def _search(name: str, est, grid: list, train: DataFrame, folds: int, parallelis
         if name == "perceptron" else None
     folded = train.withColumn("fold", split.hash_fold("vec_id", folds, SALT + "-fold"))
     return tune.prefix_search(est, grid, folded, "label", "fold", folds, stages=scaler,
-                              parallelism=parallelism, gate=gate, **rounds)
+                              parallelism=parallelism, pool=pool, **rounds)
 
 
 def _grid(name: str, est, axes: dict, n_features: int) -> list:
@@ -174,25 +175,24 @@ def tune_models(spark, sf_dir, names=("random_forest", "gbt", "perceptron"), gri
     way at once over all searches."""
     grids = grids or REFERENCE_GRIDS
     prepared(spark, sf_dir)  # write the parts once before the searches start
-    # One gate for all searches: the fits of the longest take the places that
-    # the others leave.
-    gate = BoundedSemaphore(parallelism)
 
-    @inheritable_thread_target(spark)
-    def one(name):
-        return shared(spark, f"search {name} {grids[name]!r} {folds}", sf_dir,
-                      lambda: _tune_one(spark, sf_dir, name, grids[name], folds, parallelism, gate))
+    # Independent searches of many short jobs each: run them together, their
+    # fits on the same threads.
+    with ThreadPoolExecutor(max_workers=parallelism) as fits, ThreadPoolExecutor(max_workers=len(names)) as searches:
+        def one(name):
+            return shared(spark, f"search {name} {grids[name]!r} {folds}", sf_dir,
+                          lambda: _tune_one(spark, sf_dir, name, grids[name], folds, parallelism, fits))
 
-    # Independent searches of many short jobs each: run them together.
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        return list(pool.map(one, names))
+        order = sorted(names, key=SERVED.index)
+        found = dict(zip(order, together(spark, searches, one, order), strict=True))
+    return [found[name] for name in names]
 
 
-def _tune_one(spark, sf_dir, name, axes, folds, parallelism, gate):
+def _tune_one(spark, sf_dir, name, axes, folds, parallelism, fits):
     train, test, width = prepared(spark, sf_dir)
     with persisted(train), persisted(test):
         est = _estimator(name, width)
-        cv = _search(name, est, _grid(name, est, axes, width), train, folds, parallelism, gate)
+        cv = _search(name, est, _grid(name, est, axes, width), train, folds, parallelism, fits)
         scored = cv.bestModel.transform(test).select(
             "label", "prediction", metrics.positive_score().alias("score"))
         row = {"model": name, "cv_f1": float(max(cv.avgMetrics))}
@@ -215,7 +215,7 @@ def _comparison(spark, fitted) -> DataFrame:
         best = tune.best_params(tune.grid_table(spark, cv, name)).first()["params"]
         rows.append((name, best, r["cv_f1"], r["accuracy"], r["weighted_f1"], r["auc_hard"],
                      r["auc"], r["base_rate"], r["n_test"]))
-    return spark.createDataFrame(rows, _SCHEMA)
+    return small_table(spark, rows, _SCHEMA)
 
 
 def forest(spark, sf_dir):

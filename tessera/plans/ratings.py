@@ -6,12 +6,11 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cuts, metrics, models, ranking, segments, split, tags
-from ..session import ensure_checkpoint_dir, materialized, shared, sized_shuffles, stored
+from ..session import ensure_checkpoint_dir, materialized, shared, sized_shuffles, small_table, stored, together
 from ..sources.files import table
 from ..sources.standins import movies_table, ratings_table, segments_table
 
@@ -170,7 +169,6 @@ def als_errors(spark, sf_dir, settings: list[str] | None = None, concurrency: in
     data = _ranked_input(spark, sf_dir)
     at_once = fits_at_once(data.count(), concurrency)
 
-    @inheritable_thread_target(spark)
     def one(job):
         f, name = job
         s = SETTINGS[name]
@@ -184,10 +182,10 @@ def als_errors(spark, sf_dir, settings: list[str] | None = None, concurrency: in
 
     jobs = [(f, name) for f in FRACTIONS for name in names]
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        rows = list(pool.map(one, jobs))
+        rows = together(spark, pool, one, jobs)
     schema = ("split double, setting string, rank int, max_iter int, reg_param double, rmse double, "
               "mse double, mae double, n_scored bigint, n_test bigint, covered double")
-    return spark.createDataFrame(rows, schema)
+    return small_table(spark, rows, schema)
 
 
 def _split_clusters(spark, sf_dir, setting: str = "setting2"):
@@ -197,13 +195,12 @@ def _split_clusters(spark, sf_dir, setting: str = "setting2"):
         # Builds the shared input before the threads start.
         at_once = fits_at_once(_ranked_input(spark, sf_dir).count(), len(FRACTIONS))
 
-        @inheritable_thread_target(spark)
         def one(f):
             factors = _factor_keys(spark, sf_dir, als_model(spark, sf_dir, f, setting).userFactors)
             return segments.cluster_factors(factors, CLUSTERS, SEED).withColumn("split", F.lit(f))
 
         with ThreadPoolExecutor(max_workers=at_once) as pool:
-            return reduce(DataFrame.unionByName, pool.map(one, FRACTIONS))
+            return reduce(DataFrame.unionByName, together(spark, pool, one, FRACTIONS))
 
     return materialized(spark, f"clusters-{setting}", sf_dir, build)
 
